@@ -183,7 +183,7 @@ def bucket(
     """Name of the bucket; see :func:`bucket_ordinal` for values outside the edges."""
     names = list(labels) + ([] if overflow is None else [overflow])
     ordinal = bucket_ordinal(value, edges, overflow is not None, lower)
-    return F.element_at(F.array(*[F.lit(name) for name in names]), ordinal + 1)
+    return F.get(F.array(*[F.lit(name) for name in names]), ordinal)
 
 
 # --- road readings ---------------------------------------------------------------

@@ -194,7 +194,7 @@ def fare_by_distance(
     names = F.array(*[F.lit(name) for name in [*labels, *([rest] if rest else [])]])
     table = summarize(placed, ["bucket_no"], ["avg_fare", "avg_total"], count_col=count_col)
     return table.select(
-        F.element_at(names, F.col("bucket_no") + 1).alias("distance_bucket"),
+        F.get(names, F.col("bucket_no")).alias("distance_bucket"),
         "bucket_no",
         "trip_count",
         "avg_fare",

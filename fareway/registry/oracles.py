@@ -421,7 +421,7 @@ COUNT_WINDOWS = f"""WITH {EVENT_ROWS},
 last AS (SELECT max(n) AS n FROM numbered),
 ends AS (SELECT DISTINCT k FROM (SELECT unnest(range(25, n + 1, 25)) AS k FROM last UNION ALL SELECT n FROM last)),
 covered AS (SELECT k, t.* FROM ends JOIN numbered t ON t.n > k - 120 AND t.n <= k),
-zones AS (SELECT k, pickup_zone, count(*) AS c FROM covered GROUP BY ALL
+zones AS (SELECT k, pickup_zone, count(*) AS c FROM covered GROUP BY k, pickup_zone
   QUALIFY row_number() OVER (PARTITION BY k ORDER BY count(*) DESC, pickup_zone) = 1)
 SELECT k AS event_id, CAST(count(*) AS INTEGER) AS window_size, count(*) AS trip_count, {FARE} AS avg_fare,
   {DISTANCE} AS avg_distance, any_value(z.pickup_zone) AS hotspot_zone
