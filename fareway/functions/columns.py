@@ -269,13 +269,17 @@ def iou(a: Sequence[Column], b: Sequence[Column], epsilon: float = 0.0) -> Colum
 # --- portable hash ------------------------------------------------------------------
 
 
-def hash_bits(key: Column, part: int = 0) -> Column:
-    """32 bits of an md5 digest as a number: ``part`` 0 to 3 picks the slice."""
-    digits = F.substring(F.md5(key.cast("binary")), 1 + 8 * part, 8)
-    return F.conv(digits, 16, 10).cast("bigint")
+def key_digest(*keys: str | Column, seed: int) -> Column:
+    """md5 of a row key and a seed; the same in any partitioning and in SQL."""
+    cols = [(F.col(k) if isinstance(k, str) else k).cast("string") for k in keys]
+    return F.md5(F.concat_ws("|", *cols, F.lit(str(seed))).cast("binary"))
 
 
-def key_hash(*keys: str | Column, seed: int, part: int = 0) -> Column:
-    """Repeatable hash of a row key; the same in any partitioning and in SQL."""
-    cols = [(F.col(k) if isinstance(k, str) else k).cast("string") for k in keys]
-    return hash_bits(F.concat_ws("|", *cols, F.lit(str(seed))), part)
+def digest_bits(digest: str | Column, part: int = 0) -> Column:
+    """32 bits of a digest as a number: ``part`` 0 to 3 picks the slice."""
+    return F.conv(F.substring(digest, 1 + 8 * part, 8), 16, 10).cast("bigint")
+
+
+def key_hash(*keys: str | Column, seed: int) -> Column:
+    """Repeatable 32-bit hash of a row key."""
+    return digest_bits(key_digest(*keys, seed=seed))

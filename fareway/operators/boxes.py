@@ -1,11 +1,11 @@
 """Box annotations, detection windows, suppression and matching.
 
-Overlap joins are equi-joins on (image, cell). A box lives in one cell, chosen by
-its size class and its upper left corner; the other side is copied to the cells
-where a partner with enough overlap can live. Two boxes that reach an overlap of t
-differ in size by at most 1/t, which bounds the size classes, and they touch, which
-bounds the cells, so every qualifying pair meets exactly once. An image with very
-many boxes is thereby spread over many keys.
+Overlap joins are equi-joins on the image. A crowded image would put all its pairs
+into one task, so its boxes are joined on (image, cell) instead: a box lives in one
+cell, chosen by its size class and its upper left corner; the other side is copied to
+the cells where a partner with enough overlap can live. Two boxes that reach an
+overlap of t differ in size by at most 1/t, which bounds the size classes, and they
+touch, which bounds the cells, so every qualifying pair meets exactly once.
 """
 
 from __future__ import annotations
@@ -136,17 +136,71 @@ def _meet(image: str) -> Column:
     return condition
 
 
+# boxes per image beyond which its pairs are spread over cells: of the side that asks,
+# and of the side that is compared against
+CROWD = (50_000, 1_000)
+
+
+def _side_counts(left: DataFrame, right: DataFrame, image: str) -> DataFrame:
+    sides = left.select(image, F.lit(1).alias("l"), F.lit(0).alias("r")).unionByName(
+        right.select(image, F.lit(0).alias("l"), F.lit(1).alias("r"))
+    )
+    return sides.groupBy(image).agg(F.sum("l").alias("n_left"), F.sum("r").alias("n_right"))
+
+
+def _crowded(counts: DataFrame, image: str, crowd: tuple[int, int]) -> DataFrame | None:
+    """The crowded images as a written table of known size, or none."""
+    over = (F.col("n_left") > crowd[0]) | (F.col("n_right") > crowd[1])
+    busy = counts.filter(over & F.col(image).isNotNull()).select(image)
+    return None if busy.isEmpty() else materialize(busy, "crowded")
+
+
+def _partners(
+    left: DataFrame,
+    right: DataFrame,
+    condition: Column,
+    threshold: float,
+    image: str,
+    crowded: DataFrame | None,
+    how: str,
+) -> DataFrame:
+    """Join boxes of one image where ``condition`` holds, which must imply an overlap
+    of ``threshold``. Columns of ``right`` get the prefix ``t_``."""
+
+    def plain(a: DataFrame, b: DataFrame) -> DataFrame:
+        same = F.col(image) == F.col(f"t_{image}")
+        return a.join(_prefixed(b, "t_"), same & condition, how)
+
+    if crowded is None:
+        return plain(left, right)
+    quiet = plain(left.join(crowded, image, "left_anti"), right.join(crowded, image, "left_anti"))
+    near = _prefixed(_in_reach(right.join(crowded, image, "left_semi"), threshold), "t_")
+    home = _at_home(left.join(crowded, image, "left_semi"))
+    busy = home.join(near, _meet(image) & condition, how)
+    return quiet.unionByName(busy.drop(*_CELL, *[f"t_{name}" for name in _CELL]))
+
+
 # --- background samples ----------------------------------------------------------------
 
 
+def _free_boxes(
+    candidates: DataFrame, truth: DataFrame, max_iou: float, image: str, crowded: DataFrame | None
+) -> DataFrame:
+    distinct = truth.select(image, *CORNERS).distinct()
+    hit = C.iou(C.corners(), C.corners("t_")) > max_iou
+    return _partners(candidates, distinct, hit, max_iou, image, crowded, "left_anti")
+
+
 def background_boxes(
-    candidates: DataFrame, truth: DataFrame, max_iou: float = 0.15, image: str = "image"
+    candidates: DataFrame,
+    truth: DataFrame,
+    max_iou: float = 0.15,
+    image: str = "image",
+    crowd: tuple[int, int] = CROWD,
 ) -> DataFrame:
     """Candidates that overlap no true box of their image by more than ``max_iou``."""
-    distinct = truth.select(image, *CORNERS).distinct()
-    near = _prefixed(_in_reach(distinct, max_iou), "t_")
-    overlap = C.iou(C.corners(), C.corners("t_")) > max_iou
-    return _at_home(candidates).join(near, _meet(image) & overlap, "left_anti").drop(*_CELL)
+    crowded = _crowded(_side_counts(candidates, truth, image), image, crowd)
+    return _free_boxes(candidates, truth, max_iou, image, crowded)
 
 
 def sample_background(
@@ -158,22 +212,50 @@ def sample_background(
     attempts: int = BACKGROUND_ATTEMPTS,
     window: tuple[int, int] = (WINDOW_WIDTH, WINDOW_HEIGHT),
     max_iou: float = 0.15,
+    crowd: tuple[int, int] = CROWD,
 ) -> DataFrame:
     """Random background boxes: the first ``per_image`` accepted of ``attempts`` draws
     per image, and at most ``cap`` boxes overall in image order.
 
     Size and place come from a hash of image and attempt, so the draw does not
-    depend on partitioning. ``cap`` may be a scalar column; since it can grow with the
-    data, it is applied by distributed row numbers, not by a sort in one task.
+    depend on partitioning. Few images need all draws: the first ones are made for
+    every image, the others only for images still short of boxes. ``cap`` may be a
+    scalar column; since it can grow with the data, it is applied by distributed row
+    numbers, not by a sort in one task.
     """
     sizes = images.groupBy("image").agg(F.max("width").alias("width"), F.max("height").alias("height"))
-    tries = sizes.withColumn("attempt", F.explode(F.sequence(F.lit(1), F.lit(attempts))))
+    crowded = _crowded(_side_counts(truth.limit(0), truth, "image"), "image", crowd)
+
+    def free(chosen: DataFrame, first: int, last: int) -> DataFrame:
+        tries = _draws(chosen, first, last, seed, window)
+        return _free_boxes(tries, truth, max_iou, "image", crowded)
+
+    def first_ones(found: DataFrame) -> DataFrame:
+        # at most ``attempts`` rows per image, whatever the size of the data
+        order = F.row_number().over(Window.partitionBy("image").orderBy("attempt"))
+        return found.withColumn("_n", order).filter(F.col("_n") <= per_image).drop("_n")
+
+    early = min(attempts, 4 * per_image)
+    chosen = first_ones(free(sizes, 1, early))
+    if early < attempts:
+        chosen = materialize(chosen, "background")
+        served = chosen.groupBy("image").agg(F.count("*").alias("n")).filter(F.col("n") >= per_image)
+        short = sizes.join(served, "image", "left_anti")
+        chosen = first_ones(chosen.unionByName(free(short, early + 1, attempts)))
+    if cap is None:
+        return chosen
+    numbered = number_rows(chosen, ["image", "attempt"], "_row")
+    return numbered.filter(F.col("_row") <= cap).drop("_row")
 
-    def draw(part: int) -> Column:
-        return C.key_hash("image", "attempt", seed=seed, part=part)
 
-    scale = F.lit(0.5) + draw(0) / F.lit(float(2**32))
-    sized = tries.withColumns(
+def _draws(
+    images: DataFrame, first: int, last: int, seed: int, window: tuple[int, int]
+) -> DataFrame:
+    """Boxes of half to one and a half window sizes, drawn inside the image."""
+    tries = images.withColumn("attempt", F.explode(F.sequence(F.lit(first), F.lit(last))))
+    digest = C.key_digest("image", "attempt", seed=seed)
+    scale = F.lit(0.5) + C.digest_bits("_digest", 0) / F.lit(float(2**32))
+    sized = tries.withColumn("_digest", digest).withColumns(
         {
             "_w": F.floor(scale * window[0]).cast("int"),
             "_h": F.floor(scale * window[1]).cast("int"),
@@ -181,10 +263,11 @@ def sample_background(
     ).filter((F.col("_w") <= F.col("width")) & (F.col("_h") <= F.col("height")))
     placed = sized.withColumns(
         {
-            "x1": (draw(1) % (F.col("width") - F.col("_w") + 1)).cast("int"),
-            "y1": (draw(2) % (F.col("height") - F.col("_h") + 1)).cast("int"),
+            "x1": (C.digest_bits("_digest", 1) % (F.col("width") - F.col("_w") + 1)).cast("int"),
+            "y1": (C.digest_bits("_digest", 2) % (F.col("height") - F.col("_h") + 1)).cast("int"),
         }
-    ).select(
+    )
+    return placed.select(
         "image",
         "attempt",
         "x1",
@@ -192,14 +275,6 @@ def sample_background(
         (F.col("x1") + F.col("_w")).alias("x2"),
         (F.col("y1") + F.col("_h")).alias("y2"),
     )
-    free = background_boxes(placed, truth, max_iou)
-    # at most ``attempts`` rows per image, whatever the size of the data
-    order = F.row_number().over(Window.partitionBy("image").orderBy("attempt"))
-    chosen = free.withColumn("_n", order).filter(F.col("_n") <= per_image).drop("_n")
-    if cap is None:
-        return chosen
-    numbered = number_rows(chosen, ["image", "attempt"], "_row")
-    return numbered.filter(F.col("_row") <= cap).drop("_row")
 
 
 # --- detection windows --------------------------------------------------------------------
@@ -275,11 +350,6 @@ def _fold_nms(dets: DataFrame, threshold: float, image: str, score: str) -> Data
     return kept.select("_kept._row.*")
 
 
-def _largest_group(df: DataFrame, image: str) -> int:
-    sizes = df.groupBy(image).agg(F.count("*").alias("n"))
-    return sizes.agg(F.max("n")).first()[0] or 0
-
-
 def nms(
     dets: DataFrame,
     threshold: float = 0.3,
@@ -295,9 +365,17 @@ def nms(
     it suppresses is gone. Both lead to the same boxes as the sequential loop, since
     a box is kept exactly when no kept box suppresses it.
     """
-    if _largest_group(dets, image) <= fold_limit:
+    crowded = _crowded(_side_counts(dets, dets.limit(0), image), image, (fold_limit, 0))
+    if crowded is None:
         return _fold_nms(dets, threshold, image, score)
+    quiet = _fold_nms(dets.join(crowded, image, "left_anti"), threshold, image, score)
+    busy = dets.join(crowded, image, "left_semi")
+    return quiet.unionByName(_round_nms(busy, threshold, image, score, fold_limit)).select(dets.columns)
 
+
+def _round_nms(
+    dets: DataFrame, threshold: float, image: str, score: str, fold_limit: int
+) -> DataFrame:
     # of identical boxes only the best can stay, so copies go before any shuffle of pairs;
     # a box too small to suppress its own copy suppresses nothing and is never suppressed
     own = C.corners()
@@ -311,38 +389,38 @@ def nms(
         .select(image, *CORNERS, F.col(f"b.{score}"), *[F.col(f"b.{c}") for c in others])
         .select(dets.columns)
     )
-    done = [dets.filter(flat)]
-    left = materialize(solid, "nms-left")
-    while _largest_group(left, image) > fold_limit:
-        rank = F.struct((-F.col(score)).alias("r"), *CORNERS)
-        better = F.struct((-F.col(f"t_{score}")).alias("r"), *[f"t_{c}" for c in CORNERS]) < rank
-        hit = _suppresses(C.corners(), C.corners("t_"), threshold)
+    result = dets.filter(flat)
+    rank = F.struct((-F.col(score)).alias("r"), *CORNERS)
+    better = F.struct((-F.col(f"t_{score}")).alias("r"), *[f"t_{c}" for c in CORNERS]) < rank
+    hit = _suppresses(C.corners(), C.corners("t_"), threshold)
 
-        def reaching(df: DataFrame) -> DataFrame:
-            return _prefixed(_in_reach(df.select(image, score, *CORNERS), threshold), "t_")
+    def unless(rows: DataFrame, by: DataFrame, condition: Column) -> DataFrame:
+        near = _prefixed(_in_reach(by.select(image, score, *CORNERS), threshold), "t_")
+        return _at_home(rows).join(near, _meet(image) & condition, "left_anti").drop(*_CELL)
 
-        final = materialize(
-            _at_home(left).join(reaching(left), _meet(image) & better & hit, "left_anti").drop(*_CELL),
-            "nms-final",
-        )
-        done.append(final)
+    left = materialize(solid, "nms-left")
+    while True:
+        sizes = left.groupBy(image).agg(F.count("*").alias("n"))
+        if (sizes.agg(F.max("n")).first()[0] or 0) <= fold_limit:
+            return result.unionByName(_fold_nms(left, threshold, image, score))
+        final = materialize(unless(left, left, better & hit), "nms-final")
+        result = result.unionByName(final)
         # a final box suppresses itself too, so it leaves the remainder as well
-        left = materialize(
-            _at_home(left).join(reaching(final), _meet(image) & hit, "left_anti").drop(*_CELL),
-            "nms-left",
-        )
-    done.append(_fold_nms(left, threshold, image, score))
-    result = done[0]
-    for part in done[1:]:
-        result = result.unionByName(part)
-    return result
+        left = materialize(unless(left, final, hit), "nms-left")
 
 
 # --- matching -----------------------------------------------------------------------------------
 
 
 def _overlap_edges(
-    preds: DataFrame, truth: DataFrame, threshold: float, image: str, pred_id: str, score: str, object_id: str
+    preds: DataFrame,
+    truth: DataFrame,
+    threshold: float,
+    image: str,
+    pred_id: str,
+    score: str,
+    object_id: str,
+    crowded: DataFrame | None,
 ) -> DataFrame:
     """Pairs of a prediction and a true box that overlap enough.
 
@@ -352,10 +430,10 @@ def _overlap_edges(
     boxes = truth.groupBy(image, *CORNERS).agg(
         F.min(object_id).cast("bigint").alias("box"), F.count("*").alias("capacity")
     )
-    near = _prefixed(_in_reach(boxes, threshold), "t_")
-    pairs = _at_home(preds.select(image, F.col(pred_id).alias("pred"), F.col(score).alias("score"), *CORNERS))
+    asked = preds.select(image, F.col(pred_id).alias("pred"), F.col(score).alias("score"), *CORNERS)
     value = C.iou(C.corners(), C.corners("t_"))
-    return pairs.join(near, _meet(image) & (value >= threshold)).select(
+    pairs = _partners(asked, boxes, value >= threshold, threshold, image, crowded, "inner")
+    return pairs.select(
         image,
         (-F.col("score")).alias("rank"),
         "pred",
@@ -438,35 +516,39 @@ def match_boxes(
     score: str = "score",
     object_id: str = "object_id",
     fold_limit: int = 50_000,
+    crowd: tuple[int, int] = CROWD,
 ) -> DataFrame:
     """Greedy one-to-one matching per image in score order.
 
     Each prediction takes the free true box it overlaps most (equal overlap: lowest
     object id); at ``threshold`` and above it is a true positive. Only pairs that
-    reach the threshold matter. Images whose pairs could exceed ``fold_limit`` are
-    matched in rounds instead of a fold.
+    reach the threshold matter. Images whose pairs exceed ``fold_limit`` are matched
+    in rounds instead of a fold.
     """
-    sides = preds.select(image, F.lit(1).alias("p"), F.lit(0).alias("g")).unionByName(
-        truth.select(image, F.lit(0).alias("p"), F.lit(1).alias("g"))
-    )
-    counts = sides.groupBy(image).agg(
-        F.sum("g").alias("n_gt"), F.sum("p").alias("n_pred")
-    )
-    edges = _overlap_edges(preds, truth, threshold, image, pred_id, score, object_id)
-    bound = counts.agg(F.max(F.col("n_gt").cast("double") * F.col("n_pred"))).first()[0] or 0
-    if bound <= fold_limit:
+    if not 0 < threshold <= 1:
+        raise ValueError("the overlap threshold must lie in (0, 1]")
+    counts = _side_counts(preds, truth, image)
+    most = counts.agg(
+        F.max("n_left").alias("left"),
+        F.max("n_right").alias("right"),
+        F.max(F.col("n_left").cast("double") * F.col("n_right")).alias("pairs"),
+    ).first()
+    spread = (most.left or 0) > crowd[0] or (most.right or 0) > crowd[1]
+    crowded = _crowded(counts, image, crowd) if spread else None
+    edges = _overlap_edges(preds, truth, threshold, image, pred_id, score, object_id, crowded)
+    if (most.pairs or 0) <= fold_limit:
         matched = _fold_matches(edges, image)
     else:
         edges = materialize(edges, "match-edges")
-        busy = edges.groupBy(image).agg(F.count("*").alias("n")).filter(F.col("n") > fold_limit)
-        busy = materialize(busy.select(image), "match-busy")
-        quiet = _fold_matches(edges.join(busy, image, "left_anti"), image)
+        per_image = edges.groupBy(image).agg(F.count("*").alias("n"))
+        busy = materialize(per_image.filter(F.col("n") > fold_limit).select(image), "match-busy")
         if busy.isEmpty():
-            matched = quiet
+            matched = _fold_matches(edges, image)
         else:
-            matched = quiet.unionByName(
+            matched = _fold_matches(edges.join(busy, image, "left_anti"), image).unionByName(
                 _round_matches(edges.join(busy, image, "left_semi"), image)
             )
+    counts = counts.withColumnsRenamed({"n_left": "n_pred", "n_right": "n_gt"})
     zero = F.lit(0).cast("bigint")
     rows = counts.select(image, zero.alias("tp"), "n_gt", "n_pred").unionByName(
         matched.select(image, "tp", zero.alias("n_gt"), zero.alias("n_pred"))

@@ -44,7 +44,7 @@ def hash_split(
     return df.filter(place < percent), df.filter(place >= percent)
 
 
-_SPLIT_BITS = 20
+_SPLIT_BITS = 16
 
 
 def stratified_split(
@@ -52,7 +52,7 @@ def stratified_split(
 ) -> DataFrame:
     """Add ``in_train``: exactly the first ⌊percent·n⌋ rows per label in hash order.
 
-    Rows are never sorted as a whole. The hash order is cut into 2^20 cells; counts
+    Rows are never sorted as a whole. The hash order is cut into 2^16 cells; counts
     per cell tell the cell in which a label's cut falls, cells before it are train,
     and only the rows of that one cell are ranked. ``key`` should be unique.
     """

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 
 from fareway.constants import SPLIT_SEED
 from fareway.operators import models
+from fareway.session import materialize
 
 LINEAR = "linear_regression_baseline"
 FOREST = "random_forest_regressor"
@@ -55,7 +56,12 @@ def train_demand_models(
     The averages among the features come from the same trips that are counted as
     demand, so the models describe demand; they do not forecast it.
     """
-    train, test = models.hash_split(models.labelled(features), seed=seed)
+    # training passes over its rows many times, so the features are written once, in as
+    # many files as there are shuffle partitions: the trees are grown in that many tasks
+    width = int(features.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = models.labelled(features).repartition(width, *models.DEMAND_KEY)
+    table = materialize(spread, "demand-features")
+    train, test = models.hash_split(table, seed=seed)
     linear = models.demand_pipeline(models.linear_model(), scale=scale).fit(train)
     forest = models.demand_pipeline(
         models.forest_model(trees=trees, depth=depth, min_leaf=min_leaf, seed=seed), scale=scale

@@ -31,7 +31,7 @@ from fareway.operators import (
 )
 from fareway.plans import congestion as stream_plan
 from fareway.plans import demand, detection, warehouse
-from fareway.session import new_folder
+from fareway.session import materialize, new_folder
 from fareway.sources import streams, tables
 from fareway.streaming import congestion as S
 
@@ -874,7 +874,7 @@ def svm_decisions(spark, sf):
     rows = B.table(spark, sf, "embeddings").select(
         "vec_id", "embedding", (F.col("label") < 5).cast("int").alias("label")
     )
-    split = L.as_vectors(L.stratified_split(rows, "label", "vec_id"), "embedding")
+    split = L.as_vectors(materialize(L.stratified_split(rows, "label", "vec_id"), "split"), "embedding")
     model = L.scaled_svm().fit(split.filter("in_train"))
     return L.decision_values(model.transform(split.filter("NOT in_train"))).select(
         "vec_id", "label", "prediction", "decision"
