@@ -29,8 +29,8 @@ from fareway.functions.columns import CORNERS
 from fareway.operators.numbering import number_rows
 from fareway.session import materialize
 
-# fixed value: the box line of an annotation text
-BOX_PATTERN = r"Bounding box for object \d+[^\n]*?:\s*\((\d+),\s*(\d+)\)\s*-\s*\((\d+),\s*(\d+)\)"
+# fixed value: the box line of an annotation text, its corners as one group
+BOX_PATTERN = r"Bounding box for object \d+[^\n]*?:\s*\((\d+,\s*\d+\)\s*-\s*\(\d+,\s*\d+)\)"
 
 NMS_EPSILON = 1e-6
 _CELL_SPAN = 8.0
@@ -41,17 +41,17 @@ _CELL = ("_level", "_cx", "_cy")
 
 
 def parse_boxes(texts: DataFrame, image: str = "image", text: str = "value") -> DataFrame:
-    """One row per box line of an annotation text, numbered in text order."""
+    """One row per box line of an annotation text, numbered in text order.
 
-    def corner(i: int) -> Column:
-        return F.regexp_extract_all(text, F.lit(BOX_PATTERN), F.lit(i))
-
-    boxes = F.arrays_zip(*[corner(i + 1).alias(name) for i, name in enumerate(CORNERS)])
-    found = texts.select(F.col(image).alias("image"), F.posexplode(boxes).alias("pos", "b"))
-    return found.select(
+    The text is searched once; the corners are then split out of the short match.
+    """
+    lines = F.regexp_extract_all(text, F.lit(BOX_PATTERN), F.lit(1))
+    found = texts.select(F.col(image).alias("image"), F.posexplode(lines).alias("pos", "line"))
+    numbers = found.withColumn("n", F.split("line", r"\D+"))
+    return numbers.select(
         "image",
         (F.col("pos") + 1).alias("object_id"),
-        *[F.col(f"b.{name}").cast("int").alias(name) for name in CORNERS],
+        *[F.get("n", F.lit(i)).cast("int").alias(name) for i, name in enumerate(CORNERS)],
     )
 
 

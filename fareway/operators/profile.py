@@ -147,8 +147,8 @@ def _exact_quartiles(counts: DataFrame, names: Sequence[str]) -> DataFrame:
         "column",
         "name",
         (F.col("place") - F.floor("place")).alias("share"),
-        F.explode(F.array(F.floor("place"), F.ceil("place"))).alias("rank"),
-    ).distinct()
+        F.explode(F.array_distinct(F.array(F.floor("place"), F.ceil("place")))).alias("rank"),
+    )
     hits = wanted.join(
         cells.select("column", "cell", "before", "upto"), "column"
     ).filter((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("upto")))
@@ -164,11 +164,12 @@ def _exact_quartiles(counts: DataFrame, names: Sequence[str]) -> DataFrame:
     found = hits.drop("before", "upto").join(ordered, ["column", "cell"]).filter(
         (F.col("rank") >= F.col("first_rank")) & (F.col("rank") < F.col("last_rank"))
     )
-    spread = F.max("value") - F.min("value")
-    per_name = found.groupBy("column", "name").agg(
-        (F.min("value") + spread * F.max("share")).alias("quantile")
-    )
-    return per_name.groupBy("column").pivot("name", list(names)).agg(F.first("quantile"))
+    quartiles = []
+    for name in names:
+        mine = F.when(F.col("name") == name, F.col("value"))
+        share = F.max(F.when(F.col("name") == name, F.col("share")))
+        quartiles.append((F.min(mine) + (F.max(mine) - F.min(mine)) * share).alias(name))
+    return found.groupBy("column").agg(*quartiles)
 
 
 # --- delivery checks -----------------------------------------------------------------
