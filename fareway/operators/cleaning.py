@@ -153,6 +153,18 @@ def quality_report(
         F.count("*").alias("before_rows"),
         F.count_if(trip_validity(limits, nulls)).alias("after_rows"),
     )
+    return _removal(counted, digits)
+
+
+def stored_quality_report(before: DataFrame, after: DataFrame, digits: int = 6) -> DataFrame:
+    """The same report from two written tables: both counts come from file footers."""
+    counted = before.agg(F.count("*").alias("before_rows")).withColumn(
+        "after_rows", after.agg(F.count("*")).scalar()
+    )
+    return _removal(counted, digits)
+
+
+def _removal(counted: DataFrame, digits: int) -> DataFrame:
     removed = F.col("before_rows") - F.col("after_rows")
     unit = float(10**digits)
     rate = F.floor(

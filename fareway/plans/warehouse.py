@@ -77,11 +77,11 @@ def build_silver(
     named = cleaning.standardize_trips(bronze)
     clean = cleaning.clean_trips(named, limits, nulls)
     io.write_table(clean, layout.silver, partition_by=["pickup_month"])
-    io.write_table(
-        cleaning.quality_report(named, limits, nulls), layout.report("quality_report")
-    )
     # the month comes back from the folder names, as text
     silver = bronze.sparkSession.read.schema(clean.schema).parquet(layout.silver)
+    io.write_table(
+        cleaning.stored_quality_report(bronze, silver), layout.report("quality_report")
+    )
     io.write_table(profile.numeric_summary(silver), layout.report("numeric_summary"))
     return silver
 

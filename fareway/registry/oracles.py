@@ -13,9 +13,6 @@ from fareway.constants import (
     SPLIT_SEED,
 )
 
-assert MODEL_DISPLAY
-
-
 # --- pieces of SQL ---------------------------------------------------------------------
 
 
@@ -440,6 +437,11 @@ def share(a: str, b: str) -> str:
     return f"coalesce(CAST({a} AS DOUBLE) / nullif(CAST({b} AS DOUBLE), 0), 0)"
 
 
+SCALED = f"""WITH cells AS (SELECT vec_id, CAST(i - 1 AS INTEGER) AS dim, CAST(embedding[i] AS DOUBLE) AS v FROM embeddings, range(1, 65) AS r(i)),
+    stats AS (SELECT dim, avg(v) AS m, stddev_samp(v) AS s FROM cells GROUP BY dim)
+    SELECT vec_id, dim, {rounded('(v - m) / s', 4)} AS z FROM cells JOIN stats USING (dim)"""
+
+
 def all_oracles() -> dict[str, str]:
     return {name: sql.strip() for name, sql in _ORACLES.items()}
 
@@ -623,7 +625,12 @@ _ORACLES: dict[str, str] = {
         FROM judged, (VALUES (0), (1)) AS l(k) GROUP BY k),
         r AS (SELECT *, {share('hit', 'guessed')} AS p, {share('hit', 'support')} AS q FROM c)
         SELECT class, {rounded('p', 4)} AS precision, {rounded('q', 4)} AS recall, {rounded(share('2e0 * p * q', 'p + q'), 4)} AS f1, support FROM r""",
-    "scaled_vectors": f"""WITH cells AS (SELECT vec_id, CAST(i - 1 AS INTEGER) AS dim, CAST(embedding[i] AS DOUBLE) AS v FROM embeddings, range(1, 65) AS r(i)),
-        stats AS (SELECT dim, avg(v) AS m, stddev_samp(v) AS s FROM cells GROUP BY dim)
-        SELECT vec_id, dim, {rounded('(v - m) / s', 4)} AS z FROM cells JOIN stats USING (dim)""",
+    "scaled_vectors": SCALED,
+    "stored_model": SCALED,
+    "stored_table": f"WITH {FEATURES} SELECT * FROM features",
+    "stored_csv": f"WITH {TRIPS} {GOLD_TABLES['od_routes']}",
+    "stored_records": f"WITH {FEATURES} SELECT * FROM features ORDER BY pickup_date, pickup_hour, pickup_zone LIMIT 500",
+    "model_display_names": f"""WITH {MODEL_ROWS}, m AS ({regression('model,', 'guesses', 'y', 'p', 'GROUP BY model')}),
+        named AS (SELECT CASE model WHEN 'by_quantity' THEN 'linear_regression_baseline' ELSE model END AS model, r2 FROM m)
+        SELECT model, {case_map('model', MODEL_DISPLAY, 'model')} AS model_display, r2 FROM named""",
 }

@@ -443,6 +443,34 @@ def first_feature_records(spark, sf):
     return M.first_n(table, ["pickup_date", "pickup_hour", "pickup_zone"], 500)
 
 
+@query
+def stored_table(spark, sf):
+    """Written twice, read back with its schema."""
+    table = M.demand_features(B.clean(spark, sf))
+    path = new_folder(spark, "stored")
+    for _ in range(2):
+        tables.write_table(table, path)
+    return tables.read_table(spark, path, table.schema)
+
+
+@query
+def stored_csv(spark, sf):
+    """S6, S2."""
+    table = M.od_routes(B.clean(spark, sf))
+    path = new_folder(spark, "stored") + ".csv"
+    tables.export_csv(table, path)
+    return tables.read_table(spark, path, table.schema)
+
+
+@query
+def stored_records(spark, sf):
+    """The JSON records an export leaves behind."""
+    table = M.demand_features(B.clean(spark, sf))
+    path = new_folder(spark, "stored")
+    tables.export_records(table, path, warehouse.export_order("demand_features"), 500)
+    return spark.read.schema(table.schema).json(path)
+
+
 def _gold(spark, sf):
     clean = B.clean(spark, sf)
     return warehouse.gold_tables(M.trip_cube(clean), clean), clean
@@ -827,6 +855,15 @@ def best_model(spark, sf):
     return L.best_model(_price_models(spark, sf))
 
 
+@query
+def model_display_names(spark, sf):
+    """P20 on model names; a name without entry stays."""
+    renamed = _price_models(spark, sf).withColumn(
+        "model", F.when(F.col("model") == "by_quantity", demand.LINEAR).otherwise(F.col("model"))
+    )
+    return C.display_labels(renamed, model="model").select("model", "model_display", "r2")
+
+
 WEIGHTS = [((i * 7) % 13 - 6) / 10 for i in range(64)]
 
 
@@ -868,6 +905,18 @@ def scaled_vectors(spark, sf):
     )
 
 
+@query
+def stored_model(spark, sf):
+    """A fitted scaler saved, loaded and applied."""
+    rows = L.as_vectors(B.table(spark, sf, "embeddings"), "embedding")
+    path = new_folder(spark, "model")
+    L.save_model(L.Pipeline(stages=[L.standard_scaler()]).fit(rows), path)
+    scaled = L.load_model(path).transform(rows)
+    return scaled.select("vec_id", F.posexplode(L.vector_to_array("scaled")).alias("dim", "z")).select(
+        "vec_id", "dim", round_half_up(F.col("z"), 4).alias("z")
+    )
+
+
 @query
 def svm_decisions(spark, sf):
     """Linear SVM on embeddings, decision values of the held-out rows."""
