@@ -219,10 +219,9 @@ def test_normalised_and_enriched(spark):
 
 def test_hot_alert_key(spark):
     """A third of the rows are deliveries of one alert; the last one stays."""
-    many = spark.range(3000).select(F.col("id").alias("arrival"))
-    one = alert_rows(spark, {})
-    keyed = one.crossJoin(many) if False else many.join(one, F.lit(True)).withColumn(
-        "road_id", F.when(F.col("arrival") % 3 == 0, F.lit("R001")).otherwise(F.col("arrival").cast("string")))
+    first = alert_rows(spark, {}).first()
+    rows = [(*first[:2], "R001" if i % 3 == 0 else str(i), *first[3:], i) for i in range(3000)]
+    keyed = spark.createDataFrame(rows, ALERT + ", arrival INT")
     got = A.latest_alerts(keyed, 5000, "arrival")
     assert got.count() == 2001
     assert got.filter("road_id = 'R001'").first().arrival == 2997
