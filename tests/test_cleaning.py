@@ -24,7 +24,7 @@ def trips(spark, *changes):
     return K.standardize_trips(spark.createDataFrame(rows, COLUMNS))
 
 
-def test_reference_rows(spark):
+def test_good_and_bad_row(spark):
     df = trips(spark, {}, {"trip_distance": -1.0})
     row = K.clean_trips(df).collect()
     assert len(row) == 1
