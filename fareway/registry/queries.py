@@ -562,7 +562,9 @@ def stream_congestion_alerts(spark, sf):
     """S3, S4, ST1-ST5: the same alerts from a stream of JSON messages, closed windows only."""
     messages = streams.reading_messages(B.readings_of(B.event_stream(spark, sf), roads_table(spark)))
     folder = new_folder(spark, "alerts")
-    run = stream_plan.start(messages, f"{folder}/sink", f"{folder}/state")
+    cores = spark.sparkContext.defaultParallelism
+    width = min(int(spark.conf.get("spark.sql.shuffle.partitions")), cores)
+    run = stream_plan.start(messages, f"{folder}/sink", f"{folder}/state", state_partitions=width)
     run.awaitTermination()
     stored = stream_plan.stored_alerts(spark, f"{folder}/sink")
     times = {c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")}

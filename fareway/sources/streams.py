@@ -76,10 +76,13 @@ def write_alerts(
     available_now: bool = True,
     every: str = "10 seconds",
     options: Mapping[str, str] | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Append alerts to a Parquet or JSON folder, or to a Kafka topic as JSON.
 
-    For ``kafka`` the path is the topic and ``options`` name the servers.
+    For ``kafka`` the path is the topic and ``options`` name the servers. The number of
+    state partitions is fixed for the life of a checkpoint; without
+    ``state_partitions`` it is the shuffle width of the session.
     """
     if fmt == "kafka":
         alerts = alerts.select(
@@ -93,5 +96,16 @@ def write_alerts(
     writer = writer.outputMode("append").option("checkpointLocation", checkpoint)
     writer = writer.options(**(options or {}))
     if available_now:
-        return writer.trigger(availableNow=True).start()
-    return writer.trigger(processingTime=every).start()
+        writer = writer.trigger(availableNow=True)
+    else:
+        writer = writer.trigger(processingTime=every)
+    if state_partitions is None:
+        return writer.start()
+    # a query copies the settings of its session when it starts
+    conf, key = alerts.sparkSession.conf, "spark.sql.shuffle.partitions"
+    before = conf.get(key)
+    conf.set(key, str(state_partitions))
+    try:
+        return writer.start()
+    finally:
+        conf.set(key, before)
