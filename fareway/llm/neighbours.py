@@ -97,7 +97,7 @@ def scan(rotated: np.ndarray, query: np.ndarray, k: int, worst: float) -> np.nda
     return alive
 
 
-def nearest(rows: DataFrame, queries: DataFrame, k: int = 10, lists: int | None = None, probe: float = 0.25,
+def nearest(rows: DataFrame, queries: DataFrame, k: int = 10, lists: int | None = None, probe: float = 0.6,
             id_col: str = "vec_id", column: str = "embedding") -> DataFrame:
     """query_id, rank (from 1), vec_id and score of the ``k`` nearest rows found for each query.
 
