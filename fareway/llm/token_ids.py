@@ -20,9 +20,22 @@ from fareway.llm.common import id_and_text, map_rows, unkey
 from fareway.session import materialize
 
 MAGIC = 0x31423853
-_REMEMBERED = 800_000
-_SEGMENT_IDS = 2_000_000
-_CHUNK_CHARS = 4_000_000
+_REMEMBERED = 400_000
+_SEGMENT_IDS = 1_000_000
+_CHUNK_CHARS = 1_000_000
+#: Marks that may stand behind letters as one token; apostrophes and angle brackets have rules of their own.
+_MARKS = '!"#$%&()*+,-./:;=?@[\\]^_`{|}~'
+
+
+def _is_latin(text: str) -> bool:
+    """Only Latin-1, which has no combining marks: lower case and composition cannot meet."""
+    if text.isascii():
+        return True
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
 
 
 class WordIds:
@@ -40,59 +53,91 @@ class WordIds:
         self.tokenizer.no_padding()
         if self._encode("a \n b") != self._encode("a") + self._encode("b"):
             raise ValueError("the tokenizer keeps white space")
-        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.ends = np.zeros(max(vocab.values()) + 1, bool)
-        self.ends[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
-        self.lower = self._encode("ABC") == self._encode("abc")
-        alphabet = "thequickbrownfoxjumpsoverthelazydog"
-        self.direct = self.lower and [t.id for t in self.tokenizer.model.tokenize(alphabet)] == self._encode(alphabet)
-        self.pauses = {p: self._encode(p) for p in ",." if self._encode("a" + p) == self._encode("a") + self._encode(p)}
+        self.lower = self._encode("ABC À") == self._encode("abc à")
+        # runs of Latin letters, and of marks behind them, are tokens of their own
+        self.parts = all(self._encode("ab" + m + " ") == self._encode("ab") + self._encode(m) for m in (",", ".", "$$$", "?!"))
+        self.bytes = self._byte_letters()
         self.end_id = end_id
         self._clear()
 
     def _encode(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
+    def _byte_letters(self) -> dict[int, str] | None:
+        """How the model spells lower-case Latin-1 letters, if words of them may go to the model itself."""
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        spell = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        letters = [chr(i) for i in range(256) if chr(i).isalpha() and chr(i).lower() == chr(i)]
+        table = {ord(c): spell(c)[0][0] for c in letters}
+        for word in ("thequickbrownfoxjumpsoverthelazydog", *letters, "".join(letters), "".join(reversed(letters))):
+            if not self.lower or [t.id for t in self.tokenizer.model.tokenize(word.translate(table))] != self._encode(word):
+                return None
+        return table
+
     def _clear(self) -> None:
         self.index = _Index()
         self.starts = np.zeros(0, np.int64)
         self.lengths = np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint32)
 
-    def _learn(self, words: list[str]) -> None:
-        """Lower-case ASCII words go to the model itself, other words of letters in one text, the rest one by one."""
+    def _learn(self) -> None:
+        """Ids of the new words.
+
+        Letters with marks behind them are put together from both; words of lower-case
+        Latin-1 letters go to the model itself, other words one by one to the tokenizer.
+        """
+        words, known = self.index.new, len(self.lengths)
+        whole, made, letters_at, marks_at = [], [], [], []
+        i = 0
+        while i < len(words):  # the letters and the marks may be new words themselves and then join the list
+            word = words[i]
+            letters = word.rstrip(_MARKS)
+            if self.parts and letters != word and letters.isalpha() and _is_latin(letters):
+                made.append(known + i)
+                letters_at.append(self.index[letters])
+                marks_at.append(self.index[word[len(letters) :]])
+            else:
+                whole.append(i)
+            i += 1
         flat: list[int] = []
         starts, lengths = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
-        other, rest = [], []
-        tokenize = self.tokenizer.model.tokenize
-        for i, word in enumerate(words):
-            # a comma or full stop behind letters is a token of its own
-            letters, pause = (word[:-1], word[-1]) if word[-1:] in self.pauses else (word, "")
-            if not letters.isalpha():
-                rest.append(i)
-            elif self.direct and letters.isascii() and letters.islower():
+        rest = []
+        tokenize, table = self.tokenizer.model.tokenize, self.bytes
+        for i in whole:
+            word = words[i]
+            if table is not None and word.isalpha() and word.islower():
+                if not word.isascii():
+                    if not _is_latin(word):
+                        rest.append(i)
+                        continue
+                    word = word.translate(table)
                 starts[i] = len(flat)
-                flat += [t.id for t in tokenize(letters)] + self.pauses.get(pause, [])
+                flat += [t.id for t in tokenize(word)]
                 lengths[i] = len(flat) - starts[i]
             else:
-                (rest if pause else other).append(i)
-        for k in range(0, len(other), 100):
-            chosen = other[k : k + 100]
-            ids = self._encode(" ".join([words[i] for i in chosen]))
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) == len(chosen):
-                lengths[chosen] = np.diff(np.r_[0, cuts])
-                starts[chosen] = len(flat) + np.r_[0, cuts[:-1]]
-                flat += ids
-            else:
-                rest += chosen
+                rest.append(i)
         for i, found in zip(rest, self.tokenizer.encode_batch_fast([words[i] for i in rest], add_special_tokens=False), strict=True):
             starts[i], lengths[i] = len(flat), len(found.ids)
             flat += found.ids
         self.starts = np.r_[self.starts, starts + len(self.flat)]
         self.lengths = np.r_[self.lengths, lengths]
         self.flat = np.r_[self.flat, np.array(flat, np.uint32)]
-        self.index.new.clear()
+        if made:
+            pairs = np.array([letters_at, marks_at]).T.reshape(-1)
+            ids, sizes = self._gather(pairs)
+            sizes = sizes.reshape(-1, 2).sum(1)
+            self.starts[made] = len(self.flat) + np.cumsum(sizes) - sizes
+            self.lengths[made] = sizes
+            self.flat = np.r_[self.flat, ids]
+        words.clear()
+
+    def _gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of indexed words in a row, and how many each has."""
+        lengths = self.lengths[at]
+        ends = np.cumsum(lengths)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.flat[np.repeat(self.starts[at] - ends + lengths, lengths) + np.arange(total)], lengths
 
     def texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, each closed by the end id, and how many each has."""
@@ -102,18 +147,16 @@ class WordIds:
         counts = []
         for text in texts:
             text = text.replace("\n", " ")
-            if self.lower and text.isascii() and "<" not in text:
+            if self.lower and "<" not in text and _is_latin(text):
                 text = text.lower()
             own = text.split(" ")
             words += own
             counts.append(len(own))
         at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
         if self.index.new:
-            self._learn(self.index.new)
-        lengths = self.lengths[at]
-        cum = np.r_[0, np.cumsum(lengths)]
-        ids = self.flat[np.repeat(self.starts[at] - cum[:-1], lengths) + np.arange(cum[-1])]
-        borders = cum[np.cumsum(counts)]
+            self._learn()
+        ids, lengths = self._gather(at)
+        borders = np.cumsum(lengths)[np.cumsum(counts) - 1]
         return np.insert(ids, borders, self.end_id), np.diff(np.r_[0, borders]) + 1
 
 
@@ -161,7 +204,7 @@ def write_token_ids(docs: DataFrame, path: str, tokenizer_file: str, end_id: int
     """Write the ids of every whole text, in ascending id order, to files below ``path``.
 
     Rows are range-partitioned by id (``partitions``, or the session's shuffle width) and
-    sorted by id and text; a file holds at most eight segments of about two million ids,
+    sorted by id and text; a file holds at most eight segments of about a million ids,
     however large its partition. Null texts are empty: only the end id. Null ids come
     first, as the smallest number; repeated rows are written as often as they occur. The
     write goes through Spark's committer, so a lost executor's tasks leave nothing behind.
