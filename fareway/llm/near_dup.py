@@ -5,7 +5,9 @@ in the search. Classes that share a band key are candidates. Not all pairs of a
 bucket are looked at: first each member meets the bucket's smallest member; then,
 in buckets that still hold several components, each member meets its best partner in
 another component by signature; last, the pairs across components that are left.
-Candidates whose signatures agree enough are confirmed on full sets.
+Candidates whose signatures agree enough are confirmed on full sets. Where a member
+has very many of them left, the families it belongs to meet block by block instead,
+and only confirmed links leave the task.
 """
 
 from __future__ import annotations
@@ -13,16 +15,18 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fareway.llm.common import NO_ID, WordCodes, distinct, id_and_text, key, map_rows, shingles, ship, unkey
 from fareway.session import materialize
 
-BANDS, ROWS = 40, 5
+BANDS, ROWS = 32, 5
 _MINIMA = BANDS * ROWS
-#: Members of a bucket that meet in one task, and texts that meet one text in one task.
+#: Members of a bucket or family in one half of a block pair.
 _BLOCK = 256
+#: Candidates of a member in a block pair that are confirmed one by one; beyond, its families meet in blocks.
+_FEW = 32
 _rng = np.random.default_rng(20240801)
 _A = (_rng.integers(0, 2**63, _MINIMA, dtype=np.int64).astype(np.uint64) << np.uint64(1)) | np.uint64(1)
 _B = _rng.integers(0, 2**63, _MINIMA, dtype=np.int64).astype(np.uint64)
@@ -72,15 +76,14 @@ def _agreement(threshold: float) -> float:
     return threshold - 5 * (threshold * (1 - threshold) / _MINIMA) ** 0.5
 
 
-def _star(buckets: DataFrame) -> DataFrame:
-    """Each bucket member with the bucket's smallest member: u > v."""
-    hubs = buckets.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("last")).filter("hub < last")
-    pairs = buckets.join(hubs, "band").filter("node > hub")
-    return pairs.select(F.col("node").alias("u"), F.col("hub").alias("v")).distinct()
+def _best(pairs: DataFrame) -> DataFrame:
+    """Of pairs u, v, agree: each u with the v it agrees with most."""
+    best = pairs.groupBy("u").agg(F.max(F.struct("agree", (-F.col("v")).alias("w"))).alias("best"))
+    return best.select("u", (-F.col("best.w")).alias("v"))
 
 
 def _agreeing(pairs: DataFrame, sigs: DataFrame, least: float) -> DataFrame:
-    """Pairs whose signatures agree in a share of ``least`` or more."""
+    """Pairs whose signatures agree in a share of ``least`` or more, with that share."""
     joined = pairs.join(sigs.select(F.col("node").alias("u"), F.col("sig").alias("su")), "u").join(
         sigs.select(F.col("node").alias("v"), F.col("sig").alias("sv")), "v"
     )
@@ -90,45 +93,87 @@ def _agreeing(pairs: DataFrame, sigs: DataFrame, least: float) -> DataFrame:
             if not batch.num_rows:
                 continue
             su, sv = (np.frombuffer(b"".join(batch[c].to_pylist()), np.uint8).reshape(-1, _MINIMA) for c in ("su", "sv"))
-            keep = (su == sv).mean(1) >= least
-            yield {"u": np.asarray(batch["u"])[keep], "v": np.asarray(batch["v"])[keep]}
+            agree = (su == sv).mean(1)
+            keep = agree >= least
+            yield {"u": np.asarray(batch["u"])[keep], "v": np.asarray(batch["v"])[keep], "agree": agree[keep]}
 
-    return map_rows(joined, "u long, v long", run).distinct()
+    return map_rows(joined, "u long, v long, agree double", run)
 
 
-def _blocks(buckets: DataFrame, sigs: DataFrame, components: DataFrame) -> DataFrame:
-    """Members of buckets with several components, dealt so that any two of a bucket meet in one block pair."""
-    placed = buckets.join(components, "node")
-    mixed = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members"))
-    mixed = mixed.filter("low < high").withColumn("parts", F.ceil(F.col("members") / _BLOCK).cast("int"))
-    dealt = placed.join(mixed.select("band", "parts"), "band").join(sigs, "node")
-    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-    return dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
-        "band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "component", "sig"
-    )
+def _deal(members: DataFrame, group: str) -> DataFrame:
+    """Rows of each group in blocks i <= j, so that any two rows of a group meet in one block pair; own is a row's block."""
+    sizes = members.groupBy(group).agg(F.ceil(F.count("*") / _BLOCK).cast("int").alias("parts"))
+    dealt = members.join(sizes, group).withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    return dealt.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")).drop("parts", "other")
+
+
+def _mixed(buckets: DataFrame, placed: DataFrame) -> DataFrame:
+    """Members, with their components, of the buckets that hold several components."""
+    rows = buckets.join(placed, "node")
+    mixed = rows.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
+    return rows.join(mixed.select("band"), "band", "left_semi")
 
 
 def _across(blocks: DataFrame, least: float, best: bool) -> DataFrame:
-    """Pairs of different components in a block pair with agreeing signatures; with ``best`` one for each member."""
+    """u, v, agree of members of different components whose signatures agree.
+
+    With ``best`` one pair for each member of a block pair. Else all, but for members
+    with more than ``_FEW``: those give one row with the band and no v.
+    """
 
     def run(block: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
         node, component, own = (np.asarray(t[c]) for c in ("node", "component", "own"))
         sig = np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint8).reshape(-1, _MINIMA)
-        left = np.flatnonzero(own == block[1].as_py())
-        right = np.flatnonzero(own == block[2].as_py())
-        us, vs = [], []
+        band, i, j = (x.as_py() for x in block)
+        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        us, vs, shares, bands = [], [], [], []
         for some, others in ((left, right), (right, left))[: 2 if best else 1]:
-            for k in some:
+            for k in some if len(others) else ():
                 agree = (sig[others] == sig[k]).mean(1)
                 agree[component[others] == component[k]] = -1
-                found = others[[agree.argmax()]] if best else others
-                found = found[(agree[[agree.argmax()]] if best else agree) >= least]
-                us.append(np.maximum(node[k], node[found]))
-                vs.append(np.minimum(node[k], node[found]))
-        return pa.table({"u": np.concatenate([np.zeros(0, np.int64), *us]), "v": np.concatenate([np.zeros(0, np.int64), *vs])})
+                hits = np.array([agree.argmax()]) if best else np.arange(len(others))
+                hits = hits[agree[hits] >= least]
+                if not best and len(hits) > _FEW:
+                    us.append(int(node[k])), vs.append(None), shares.append(1.0), bands.append(band)
+                    continue
+                us += [int(node[k])] * len(hits)
+                vs += node[others[hits]].tolist()
+                shares += agree[hits].tolist()
+                bands += [None] * len(hits)
+        kinds = {"u": (us, pa.int64()), "v": (vs, pa.int64()), "agree": (shares, pa.float64()), "band": (bands, pa.int64())}
+        return pa.table({name: pa.array(values, kind) for name, (values, kind) in kinds.items()})
+
+    ship(blocks.sparkSession)
+    return blocks.groupBy("band", "i", "j").applyInArrow(run, "u long, v long, agree double, band long")
+
+
+def _within_families(members: DataFrame, texts: DataFrame, n: int, numerator: int, denominator: int) -> DataFrame:
+    """Confirmed links between components of each family (family, node, component); one for two components in a block pair."""
+    blocks = _deal(members.join(texts, "node"), "family")
+
+    def run(block: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
+        node, component, own = (np.asarray(t[c]) for c in ("node", "component", "own"))
+        codes = WordCodes()
+        sets = [_set(codes, text.as_py(), n) for text in t["text"]]
+        sizes = np.array([len(x) for x in sets])
+        left, right = np.flatnonzero(own == block[1].as_py()), np.flatnonzero(own == block[2].as_py())
+        us, vs, seen = [], [], set()
+        others = np.concatenate([sets[k] for k in right]) if len(right) else np.zeros(0, np.uint64)
+        starts = np.r_[0, np.cumsum(sizes[right])[:-1]].astype(np.int64)
+        for k in left if len(others) else ():
+            at = np.minimum(np.searchsorted(sets[k], others), sizes[k] - 1)
+            both = np.add.reduceat(sets[k][at] == others, starts)
+            linked = denominator * both >= numerator * (sizes[k] + sizes[right] - both)
+            for m in right[linked & (component[right] != component[k])]:
+                two = (min(component[k], component[m]), max(component[k], component[m]))
+                if two not in seen:
+                    seen.add(two)
+                    us.append(int(node[k])), vs.append(int(node[m]))
+        return pa.table({"u": pa.array(us, pa.int64()), "v": pa.array(vs, pa.int64())})
 
     ship(blocks.sparkSession)
-    return blocks.groupBy("band", "i", "j").applyInArrow(run, "u long, v long").distinct()
+    return blocks.groupBy("family", "i", "j").applyInArrow(run, "u long, v long")
 
 
 def _linked(a: np.ndarray, b: np.ndarray, numerator: int, denominator: int) -> bool:
@@ -139,35 +184,22 @@ def _linked(a: np.ndarray, b: np.ndarray, numerator: int, denominator: int) -> b
 
 
 def confirm(pairs: DataFrame, texts: DataFrame, n: int, numerator: int, denominator: int) -> DataFrame:
-    """Pairs u, v whose full sets hold: denominator * intersection >= numerator * union.
-
-    The texts of all v that belong to one u meet it in blocks of bounded size.
-    """
-    counted = pairs.withColumn("at", F.row_number().over(Window.partitionBy("u", F.pmod(F.xxhash64("v"), F.lit(64))).orderBy("v")))
-    dealt = counted.select("u", "v", F.struct(F.pmod(F.xxhash64("v"), F.lit(64)).alias("a"), F.floor(F.col("at") / _BLOCK).alias("b")).alias("part"))
-    few = dealt.groupBy("u").agg(F.count("*").alias("partners"))
-    dealt = dealt.join(few, "u").withColumn(
-        "part", F.when(F.col("partners") <= _BLOCK, F.struct(F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b"))).otherwise(
-            F.struct(F.col("part.a").cast("long").alias("a"), F.col("part.b").cast("long").alias("b"))
-        )
-    )
-    heads = dealt.select("u", "part").distinct().withColumn("node", F.col("u")).withColumn("head", F.lit(True))
-    rows = heads.select("u", "part", "node", "head").unionByName(
-        dealt.select("u", "part", F.col("v").alias("node"), F.lit(False).alias("head"))
-    )
-    rows = rows.join(texts, "node").select("u", F.col("part.a").alias("a"), F.col("part.b").alias("b"), "head", "node", "text")
-    rows = rows.repartition("u", "a", "b").sortWithinPartitions("u", "a", "b", F.desc("head"), "node")
+    """Pairs u, v whose full sets hold: denominator * intersection >= numerator * union. The texts of all v stream past u's."""
+    pairs = pairs.select("u", "v").distinct()
+    heads = pairs.select("u", F.col("u").alias("node"), F.lit(True).alias("head")).distinct()
+    rows = heads.unionByName(pairs.select("u", F.col("v").alias("node"), F.lit(False).alias("head")))
+    rows = rows.join(texts, "node").repartition("u").sortWithinPartitions("u", F.desc("head"), "node")
 
     def run(batches):
         codes, at, own = WordCodes(), None, []
         for batch in batches:
             us, vs = [], []
-            for u, a, b, head, node, text in zip(*(batch[c].to_pylist() for c in ("u", "a", "b", "head", "node", "text")), strict=True):
+            for u, head, node, text in zip(*(batch[c].to_pylist() for c in ("u", "head", "node", "text")), strict=True):
                 mine = _set(codes, text, n)
                 if head:
-                    own = [*own, mine] if at == (u, a, b) else [mine]
-                    at = (u, a, b)
-                elif at == (u, a, b) and any(_linked(mine, other, numerator, denominator) for other in own):
+                    own = [*own, mine] if at == u else [mine]
+                    at = u
+                elif at == u and any(_linked(mine, other, numerator, denominator) for other in own):
                     us.append(u), vs.append(node)
             yield {"u": us, "v": vs}
 
@@ -207,7 +239,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, numerator: int = 80, denominato
     distinct ``n``-word shingles, the whole sequence if it is shorter. Texts link when
     denominator * intersection >= numerator * union; component_id is the smallest doc_id
     reachable, kept tells whether it is the row's own. A pair at the threshold itself
-    shares no band with probability 1e-7; every link is confirmed on full sets.
+    shares no band with probability 3e-6; every link is confirmed on full sets.
 
     Null and empty texts have an empty set and link with nothing. Rows that share an id
     are one node: linked with whatever any of them links with. Null ids stay null and
@@ -215,29 +247,38 @@ def near_duplicates(docs: DataFrame, n: int = 5, numerator: int = 80, denominato
     """
     least = _agreement(numerator / denominator)
     rows = materialize(signatures(docs, n), "signatures")
-    classes = rows.filter("n_shingles > 0").groupBy("content").agg(F.min("doc_id").alias("node"))
-    copies = rows.filter("n_shingles > 0").select("content", "doc_id").distinct().join(classes, "content")
-    alike = copies.filter("doc_id <> node").select(F.col("doc_id").alias("u"), F.col("node").alias("v"))
-    chosen = materialize(
-        rows.select("doc_id", "content", "bands", "sig").join(classes.withColumnRenamed("content", "own"), (F.col("content") == F.col("own")) & (F.col("doc_id") == F.col("node")))
-        .dropDuplicates(["node", "content"]).select("node", "bands", "sig"),
-        "classes",
-    )
-    # an id with several texts has several signatures; any may stand for the node in a block, all are in the buckets
+    own = rows.filter("n_shingles > 0").select("content", "doc_id").distinct()
+    classes = materialize(own.groupBy("content").agg(F.min("doc_id").alias("node")), "classes")
+    alike = own.join(classes, "content").filter("doc_id <> node").select(F.col("doc_id").alias("u"), F.col("node").alias("v"))
+    first = classes.select(F.col("node").alias("doc_id"), F.col("content").alias("class"))
+    chosen = rows.join(first, "doc_id").filter("content = class").select(F.col("doc_id").alias("node"), "sig", "bands")
     sigs = chosen.select("node", "sig")
-    buckets = chosen.select("node", F.explode("bands").alias("band")).distinct()
     texts = id_and_text(docs).withColumnRenamed("doc_id", "node")
 
-    shared = buckets.groupBy("band").agg(F.count("*").alias("members")).filter("members > 1").select("band")
-    buckets = materialize(buckets.join(shared, "band", "left_semi"), "buckets")
-    links = materialize(confirm(_agreeing(_star(buckets), sigs, least), texts, n, numerator, denominator), "star")
+    members = chosen.select("node", F.explode("bands").alias("band"))
+    hubs = members.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("last")).filter("hub < last")
+    buckets = materialize(members.join(hubs.select("band", "hub"), "band"), "buckets")
+    stars = buckets.filter("node > hub").select(F.col("node").alias("u"), F.col("hub").alias("v")).distinct()
+    links = materialize(confirm(_best(_agreeing(stars, sigs, least)), texts, n, numerator, denominator), "star")
     nodes = buckets.select("node").distinct()
-    for best in (True, False):
+
+    def placed() -> DataFrame:
         found = components(links)
-        placed = nodes.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
-        pairs = _across(_blocks(buckets, sigs, materialize(placed, "placed")), least, best)
-        more = confirm(materialize(pairs, "pairs"), texts, n, numerator, denominator)
-        links = materialize(links.unionByName(more), "confirmed")
+        at = nodes.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
+        return materialize(at, "placed")
+
+    blocks = _deal(_mixed(buckets.select("node", "band"), placed()).join(sigs, "node"), "band")
+    more = confirm(_best(_across(blocks, least, best=True)), texts, n, numerator, denominator)
+    links = materialize(links.unionByName(more), "nearer")
+
+    now = placed()
+    blocks = _deal(_mixed(buckets.select("node", "band"), now).join(sigs, "node"), "band")
+    left = materialize(_across(blocks, least, best=False).distinct(), "left")
+    more = confirm(left.filter("v IS NOT NULL"), texts, n, numerator, denominator)
+    crowded = buckets.join(left.filter("v IS NULL").select("band").distinct(), "band", "left_semi")
+    families = components(crowded.select(F.col("node").alias("u"), F.col("hub").alias("v")))
+    families = families.withColumnRenamed("component", "family").join(now, "node")
+    links = links.unionByName(more).unionByName(_within_families(families, texts, n, numerator, denominator))
     found = components(links.unionByName(alike))
     return rows.select("doc_id", "n_shingles").join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
         unkey().alias("doc_id"), "n_shingles",
