@@ -253,14 +253,15 @@ def near_duplicates(docs: DataFrame, n: int = 5, numerator: int = 80, denominato
     first = classes.select(F.col("node").alias("doc_id"), F.col("content").alias("class"))
     chosen = rows.join(first, "doc_id").filter("content = class").select(F.col("doc_id").alias("node"), "sig", "bands")
     sigs = chosen.select("node", "sig")
-    texts = id_and_text(docs).withColumnRenamed("doc_id", "node")
 
     members = chosen.select("node", F.explode("bands").alias("band"))
     hubs = members.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("last")).filter("hub < last")
     buckets = materialize(members.join(hubs.select("band", "hub"), "band"), "buckets")
+    nodes = materialize(buckets.select("node").distinct(), "nodes")
+    # only texts that share a band with another are read again
+    texts = materialize(id_and_text(docs).withColumnRenamed("doc_id", "node").join(nodes, "node", "left_semi"), "texts")
     stars = buckets.filter("node > hub").select(F.col("node").alias("u"), F.col("hub").alias("v")).distinct()
     links = materialize(confirm(_best(_agreeing(stars, sigs, least)), texts, n, numerator, denominator), "star")
-    nodes = buckets.select("node").distinct()
 
     def placed() -> DataFrame:
         found = components(links)
