@@ -23,8 +23,8 @@ from fareway.session import materialize
 
 BANDS, ROWS = 32, 5
 _MINIMA = BANDS * ROWS
-#: Members of a bucket or family in one half of a block pair.
-_BLOCK = 256
+#: Signatures of a bucket, and texts of a family, in one half of a block pair.
+_SIGNATURES, _TEXTS = 2048, 256
 #: Candidates of a member in a block pair that are confirmed one by one; beyond, its families meet in blocks.
 _FEW = 32
 _rng = np.random.default_rng(20240801)
@@ -100,9 +100,9 @@ def _agreeing(pairs: DataFrame, sigs: DataFrame, least: float) -> DataFrame:
     return map_rows(joined, "u long, v long, agree double", run)
 
 
-def _deal(members: DataFrame, group: str) -> DataFrame:
+def _deal(members: DataFrame, group: str, block: int) -> DataFrame:
     """Rows of each group in blocks i <= j, so that any two rows of a group meet in one block pair; own is a row's block."""
-    sizes = members.groupBy(group).agg(F.ceil(F.count("*") / _BLOCK).cast("int").alias("parts"))
+    sizes = members.groupBy(group).agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
     dealt = members.join(sizes, group).withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     return dealt.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")).drop("parts", "other")
@@ -150,7 +150,7 @@ def _across(blocks: DataFrame, least: float, best: bool) -> DataFrame:
 
 def _within_families(members: DataFrame, texts: DataFrame, n: int, numerator: int, denominator: int) -> DataFrame:
     """Confirmed links between components of each family (family, node, component); one for two components in a block pair."""
-    blocks = _deal(members.join(texts, "node"), "family")
+    blocks = _deal(members.join(texts, "node"), "family", _TEXTS)
 
     def run(block: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
         node, component, own = (np.asarray(t[c]) for c in ("node", "component", "own"))
@@ -268,12 +268,12 @@ def near_duplicates(docs: DataFrame, n: int = 5, numerator: int = 80, denominato
         at = nodes.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
         return materialize(at, "placed")
 
-    blocks = _deal(_mixed(buckets.select("node", "band"), placed()).join(sigs, "node"), "band")
+    blocks = _deal(_mixed(buckets.select("node", "band"), placed()).join(sigs, "node"), "band", _SIGNATURES)
     more = confirm(_best(_across(blocks, least, best=True)), texts, n, numerator, denominator)
     links = materialize(links.unionByName(more), "nearer")
 
     now = placed()
-    blocks = _deal(_mixed(buckets.select("node", "band"), now).join(sigs, "node"), "band")
+    blocks = _deal(_mixed(buckets.select("node", "band"), now).join(sigs, "node"), "band", _SIGNATURES)
     left = materialize(_across(blocks, least, best=False).distinct(), "left")
     more = confirm(left.filter("v IS NOT NULL"), texts, n, numerator, denominator)
     crowded = buckets.join(left.filter("v IS NULL").select("band").distinct(), "band", "left_semi")
