@@ -11,6 +11,7 @@ the first place of each window stays.
 from __future__ import annotations
 
 import hashlib
+import zlib
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -28,25 +29,31 @@ def split_words(text: str) -> list[bytes]:
     return text.encode().split()
 
 
-def _minimisers(codes: np.ndarray, window: int) -> np.ndarray:
-    """Minimiser of each window."""
+def _minimisers(codes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the runs of ``MINIMISER`` words, and the minimiser of each window."""
     m = min(MINIMISER, window)
     hashes = shingles(codes, m, salt=1)
-    return np.lib.stride_tricks.sliding_window_view(hashes, window - m + 1).min(axis=1) if len(codes) >= window else hashes[:0]
+    if len(codes) < window:
+        return hashes, hashes[:0]
+    # minima over 1, 2, 4, ... places, then over all places of a window
+    best, span, places = hashes, 1, window - m + 1
+    while span < places:
+        step = min(span, places - span)
+        best = np.minimum(best[:-step], best[step:])
+        span += step
+    return hashes, best
 
 
 def runs(codes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """First window, number of windows, minimiser and its places (1 or 2 for more) of each run."""
-    best = _minimisers(codes, window)
+    hashes, best = _minimisers(codes, window)
     if not len(best):
         return (np.zeros(0, np.int64),) * 2 + (best, np.zeros(0, np.int64))
     first = np.flatnonzero(np.r_[True, best[1:] != best[:-1]])
     sizes = np.diff(np.r_[first, len(best)])
-    m = min(MINIMISER, window)
-    hashes = shingles(codes, m, salt=1)
     # places of the minimiser among the hashes the run covers
     hits = np.zeros(len(first), np.int64)
-    longest = window - m
+    longest = window - min(MINIMISER, window)
     step = np.repeat(np.arange(len(first)), sizes)
     same = hashes[: len(best)] == best
     hits += np.bincount(step[same], minlength=len(first))
@@ -56,18 +63,22 @@ def runs(codes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.nda
     return first, sizes, best[first], np.minimum(hits, 2)
 
 
-def _window_hashes(codes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Two independent 64-bit codes of every window."""
-    return shingles(codes, window, salt=2), shingles(codes, window, salt=3)
+def _window_hashes(strings: list[bytes], window: int, codes: WordCodes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Two independent 64-bit codes of every window of packed strings, its string and its offset there."""
+    counts = np.array([s.count(b" ") + 1 for s in strings])
+    words = codes.of(b" ".join(strings).split(b" "))
+    windows = counts - window + 1
+    owner = np.repeat(np.arange(len(strings)), windows)
+    offset = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
+    at = np.repeat(np.cumsum(counts) - counts, windows) + offset
+    return shingles(words, window, salt=2)[at], shingles(words, window, salt=3)[at], owner, offset
 
 
 def _first_places(strings: list[tuple], window: int, codes: WordCodes) -> dict:
     """Places of the windows of packed strings (doc_id, start, content, packed) that stand nowhere earlier in the list."""
-    hashes = [_window_hashes(codes.of(s[3].split(b" ")), window) for s in strings]
-    counts = [len(h[0]) for h in hashes]
-    high, low = map(np.concatenate, zip(*hashes, strict=True))
-    docs, starts, contents = (np.repeat(np.array([s[i] for s in strings], np.int64), counts) for i in range(3))
-    at = starts + np.concatenate([np.arange(n) for n in counts])
+    high, low, owner, offset = _window_hashes([s[3] for s in strings], window, codes)
+    docs, starts, contents = (np.array([s[i] for s in strings], np.int64)[owner] for i in range(3))
+    at = starts + offset
     order = np.lexsort((contents, at, docs, low, high))
     high, low = high[order], low[order]
     first = order[np.r_[True, (high[1:] != high[:-1]) | (low[1:] != low[:-1])]]
@@ -109,8 +120,8 @@ def duplicate_windows(docs: DataFrame, window: int = 20) -> DataFrame:
             out: dict[str, list] = {"doc_id": [], "content": [], "start": [], "minimiser": [], "packed": []}
             rows = zip(*(batch[c].to_pylist() for c in ("doc_id", "content")), batch["text"], batch["suspects"], strict=True)
             for doc_id, content, text, mine in rows:
-                own = split_words(text.as_py())
-                best = _minimisers(codes.of(own), window).view(np.int64)
+                own = zlib.decompress(text.as_py()).split()
+                best = _minimisers(codes.of(own), window)[1].view(np.int64)
                 for run in mine.as_py():
                     start = run["start"]
                     out["doc_id"].append(doc_id)
@@ -120,7 +131,7 @@ def duplicate_windows(docs: DataFrame, window: int = 20) -> DataFrame:
                     out["packed"].append(b" ".join(own[start : start + run["size"] + window - 1]))
             yield out
 
-    with_runs = texts.join(suspects, ["doc_id", "content"])
+    with_runs = _packed_texts(docs).join(suspects, ["doc_id", "content"])
     strings = map_rows(with_runs, "doc_id long, content long, start long, minimiser long, packed binary", pack)
     strings = strings.groupBy("minimiser", "packed").agg(F.min(F.struct("doc_id", "start", "content")).alias("first"))
     strings = materialize(strings.select("minimiser", "packed", "first.*"), "strings")
@@ -147,14 +158,11 @@ def duplicate_windows(docs: DataFrame, window: int = 20) -> DataFrame:
     def spread(batches):
         codes = WordCodes()
         for batch in batches:
-            hashes = [_window_hashes(codes.of(packed.split(b" ")), window) for packed in batch["packed"].to_pylist()]
-            counts = [len(h[0]) for h in hashes]
-            if not counts:
-                continue
-            high, low = (np.concatenate(h).view(np.int64) for h in zip(*hashes, strict=True))
-            at = np.concatenate([start + np.arange(n) for start, n in zip(batch["start"].to_pylist(), counts, strict=True)])
-            ids = {c: np.repeat(np.asarray(batch[c]), counts) for c in ("doc_id", "content")}
-            yield ids | {"at": at, "high": high, "low": low}
+            if batch.num_rows:
+                high, low, owner, offset = _window_hashes(batch["packed"].to_pylist(), window, codes)
+                taken = {c: np.asarray(batch[c])[owner] for c in ("doc_id", "content", "start")}
+                at = taken.pop("start") + offset
+                yield taken | {"at": at, "high": high.view(np.int64), "low": low.view(np.int64)}
 
     alone = map_rows(
         strings.join(hot, "minimiser", "left_semi"), "doc_id long, content long, at long, high long, low long", spread
@@ -169,6 +177,16 @@ def _texts(docs: DataFrame) -> DataFrame:
     return id_and_text(docs).withColumn("content", F.xxhash64("text"))
 
 
+def _packed_texts(docs: DataFrame) -> DataFrame:
+    """Texts compressed for the shuffle to their runs, at half the size the shuffle's own codec reaches."""
+
+    def run(batches):
+        for batch in batches:
+            yield {"doc_id": batch["doc_id"], "content": batch["content"], "text": [zlib.compress(t.as_py().encode(), 1) for t in batch["text"]]}
+
+    return map_rows(_texts(docs), "doc_id long, content long, text binary", run)
+
+
 def removed_words(n_words: int, suspects, firsts, window: int) -> np.ndarray:
     """Which words a repeated window covers."""
     delta = np.zeros(n_words + 1, np.int64)
@@ -202,7 +220,7 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
             out: dict[str, list] = {"doc_id": [], "n_words": [], "n_removed": [], "kept_sha256": [], "kept": []}
             lists = zip(batch["doc_id"].to_pylist(), batch["text"], batch["suspects"], batch["firsts"], strict=True)
             for doc_id, text, suspects, firsts in lists:
-                own = split_words(text.as_py())
+                own = zlib.decompress(text.as_py()).split()
                 n = len(own)
                 suspects = suspects.as_py()
                 if suspects:
@@ -214,6 +232,6 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
                     out[name].append(value)
             yield out
 
-    rows = _texts(docs).join(found, ["doc_id", "content"], "left")
+    rows = _packed_texts(docs).join(found, ["doc_id", "content"], "left")
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string"
     return map_rows(rows, schema, cut).withColumn("doc_id", unkey())
