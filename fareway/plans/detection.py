@@ -24,12 +24,12 @@ def training_boxes(
 def detect(
     windows: DataFrame, model: PipelineModel, threshold: float = 0.5, suppression: float = 0.3
 ) -> DataFrame:
-    """Score windows that carry a feature vector, keep the good ones, suppress overlaps."""
+    """Score windows that carry a feature vector, keep the good ones, suppress overlaps; det_id is a hash of the box."""
     scored = models.decision_values(model.transform(windows), threshold)
     found = boxes.rescale_boxes(scored).select(
         "image", "x1", "y1", "x2", "y2", F.col("decision").alias("score")
     )
-    return boxes.nms(found, suppression)
+    return boxes.nms(found.withColumn("det_id", F.xxhash64("image", "x1", "y1", "x2", "y2")), suppression)
 
 
 def evaluate(

@@ -74,7 +74,7 @@ trip_rows AS (
     value / 5e0 AS trip_distance, user_id AS pickup_location_id,
     CASE WHEN event_id % 101 <> 0 THEN event_id * 7 % 150 END AS dropoff_location_id,
     event_id % 8 AS payment_type, value AS fare_amount, value * 1e-1 AS tip_amount,
-    CASE WHEN event_id % 11 <> 0 THEN value * 12e-1 END AS total_amount
+    CASE WHEN event_id % 11 <> 0 THEN value * 1.2e0 END AS total_amount
   FROM events),
 trip_raw AS (
   SELECT *, {case_map('payment_type', PAYMENT_LABELS, "'unknown'")} AS payment_type_label,
@@ -111,9 +111,9 @@ ROAD_ROWS = "roads(road_id, road_name, district, capacity, lat, lon) AS (VALUES
     f"('{r[0]}', '{r[1]}', '{r[2]}', {r[4]}, {r[5]}::DOUBLE, {r[6]}::DOUBLE)" for r in ROADS
 ) + ")"
 
-CLASS = """CASE WHEN speed_kmh <= 12 OR occupancy >= 88e-2 THEN 'severe'
-    WHEN speed_kmh <= 22 OR occupancy >= 72e-2 THEN 'moderate'
-    WHEN speed_kmh <= 35 OR occupancy >= 55e-2 THEN 'slow' ELSE 'smooth' END"""
+CLASS = """CASE WHEN speed_kmh <= 12 OR occupancy >= 0.88e0 THEN 'severe'
+    WHEN speed_kmh <= 22 OR occupancy >= 0.72e0 THEN 'moderate'
+    WHEN speed_kmh <= 35 OR occupancy >= 0.55e0 THEN 'slow' ELSE 'smooth' END"""
 
 READINGS = f"""
 {ROAD_ROWS},
@@ -122,7 +122,7 @@ flat AS (
     TIMESTAMP '2024-01-01 00:00:00' + to_milliseconds(event_id * 500) AS event_time,
     'R' || lpad(CAST(user_id % 10 + 1 AS VARCHAR), 3, '0') AS road_id, value AS speed_kmh,
     CAST(event_id % 90 + 1 AS INTEGER) AS vehicle_count, (event_id * 13 % 100) / 1e2 AS occupancy,
-    {rounded('1e3 / greatest(value, 1e0) * 36e-1', 2)} AS travel_time_sec
+    {rounded('1e3 / greatest(value, 1e0) * 3.6e0', 2)} AS travel_time_sec
   FROM events),
 readings AS (
   SELECT event_id, event_time, road_id, road_name, district, speed_kmh, vehicle_count, occupancy,
@@ -144,12 +144,12 @@ sums AS (
 alerts AS (
   SELECT window_start, window_end, road_id, road_name, district, vehicle_count, avg_speed_kmh,
     avg_occupancy, avg_travel_time_sec, severe_event_count,
-    CASE WHEN speed <= 12 OR occ >= 88e-2 THEN 'severe'
-      WHEN speed <= 20 OR occ >= 75e-2 THEN 'moderate' ELSE 'slow' END AS severity,
+    CASE WHEN speed <= 12 OR occ >= 0.88e0 THEN 'severe'
+      WHEN speed <= 20 OR occ >= 0.75e0 THEN 'moderate' ELSE 'slow' END AS severity,
     road_name || ' 在 ' || strftime(window_start, '%Y-%m-%d %H:%M:%S.%g') || ' 至 '
       || strftime(window_end, '%Y-%m-%d %H:%M:%S.%g') || ' 窗口内平均速度 '
       || CAST(avg_speed_kmh AS VARCHAR) || ' km/h' AS alert_text
-  FROM sums WHERE speed <= 25 OR occ >= 65e-2 OR severe_event_count >= 5)"""
+  FROM sums WHERE speed <= 25 OR occ >= 0.65e0 OR severe_event_count >= 5)"""
 
 RANKED = """coalesce(severity <> 'severe', true), coalesce(avg_speed_kmh, 999),
     -coalesce(vehicle_count, 0), window_end DESC, window_start DESC, road_id"""
@@ -242,7 +242,7 @@ numbered AS (SELECT *, row_number() OVER (ORDER BY image, attempt) AS n FROM sam
 stacked AS (
   SELECT * FROM positive UNION ALL
   SELECT image, x1, y1, x2, y2, 0 FROM numbered
-  WHERE n <= (SELECT CAST(floor(count(*) * 12e-1) AS BIGINT) FROM positive))"""
+  WHERE n <= (SELECT CAST(floor(count(*) * 1.2e0) AS BIGINT) FROM positive))"""
 
 FEATURES = f"""{TRIPS},
 features AS (

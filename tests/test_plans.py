@@ -101,6 +101,9 @@ def test_detector_from_windows_to_boxes(spark):
     assert {r.image for r in found.collect()} == {1}
     assert found.filter("x1 >= 64").isEmpty()
     assert 0 < found.count() < windows.filter("label = 1").count()
+    truth = found.select("image", F.col("det_id").alias("object_id"), "x1", "y1", "x2", "y2")
+    rated = detection.evaluate(found, truth).first()
+    assert (rated["tp"], rated["fp"], rated["fn"]) == (found.count(), 0, 0)
 
 
 def test_served_alerts_from_a_stored_stream(spark, sf_dir, tmp_path):
