@@ -100,10 +100,14 @@ def _at_home(boxes: DataFrame) -> DataFrame:
     )
 
 
+def _check_overlap(overlap: float, least_open: bool = True) -> None:
+    """Same refusal for small and crowded images."""
+    if not 0 <= overlap <= 1 or (least_open and overlap == 0):
+        raise ValueError(f"the overlap threshold must lie in {'(' if least_open else '['}0, 1]")
+
+
 def _in_reach(boxes: DataFrame, overlap: float) -> DataFrame:
     """The box copied to every cell where a partner of at least ``overlap`` can live."""
-    if not 0 < overlap <= 1:
-        raise ValueError("the overlap threshold must lie in (0, 1]")
     size = _longest_side()
     lowest = _level(size * (overlap * (1 - 1e-9)))
     highest = _level(size * ((1 + 1e-9) / overlap))
@@ -165,7 +169,7 @@ def _partners(
     how: str,
 ) -> DataFrame:
     """Join boxes of one image where ``condition`` holds, which must imply an overlap
-    of ``threshold``. Columns of ``right`` get the prefix ``t_``."""
+    of ``threshold``, above 0. Columns of ``right`` get the prefix ``t_``."""
 
     def plain(a: DataFrame, b: DataFrame) -> DataFrame:
         same = F.col(image) == F.col(f"t_{image}")
@@ -188,9 +192,46 @@ def _free_boxes(
 ) -> DataFrame:
     distinct = truth.select(image, *CORNERS).distinct()
     hit = C.iou(C.corners(), C.corners("t_")) > max_iou
+    if max_iou == 0 and crowded is not None:
+        quiet = _partners(
+            candidates.join(crowded, image, "left_anti"), distinct, hit, max_iou, image, None, "left_anti"
+        )
+        busy = candidates.join(crowded, image, "left_semi")
+        return quiet.unionByName(_untouched(busy, distinct.join(crowded, image, "left_semi"), hit, image))
     return _partners(candidates, distinct, hit, max_iou, image, crowded, "left_anti")
 
 
+def _climbing(boxes: DataFrame, levels: DataFrame, image: str) -> DataFrame:
+    """The box copied to the cells, at its own and all larger size classes in ``levels``,
+    where a box it touches can live: at most two a side and class."""
+    own = _prefixed(levels, "l_")
+    higher = (F.col(image) == F.col(f"l_{image}")) & (_level(_longest_side()) <= F.col("l__level"))
+    placed = boxes.join(own, higher).withColumn("_level", F.col("l__level")).drop(*own.columns)
+    partner = F.pow(F.lit(2.0), F.col("_level"))
+
+    def cells(low: str, high: str) -> Column:
+        first = _cell_no(F.col(low) - partner, F.col("_level"))
+        return F.explode(F.sequence(first, _cell_no(F.col(high), F.col("_level"))))
+
+    return placed.withColumn("_cx", cells("x1", "x2")).withColumn("_cy", cells("y1", "y2"))
+
+
+def _untouched(candidates: DataFrame, truth: DataFrame, hit: Column, image: str) -> DataFrame:
+    """Candidates that no true box touches. Sizes of a touching pair are unbounded, so
+    the smaller box climbs to the size class of the larger one."""
+
+    def levels(boxes: DataFrame) -> DataFrame:
+        # a class per doubling of the side: a few dozen rows an image
+        return _at_home(boxes).filter("_level IS NOT NULL").select(image, "_level").distinct()
+
+    climbing = _climbing(candidates.select(image, *CORNERS).distinct(), levels(truth), image)
+    home = _prefixed(_at_home(truth), "t_")
+    small = climbing.join(home, _meet(image) & hit, "left_semi").select(image, *CORNERS).distinct()
+    left = candidates.join(small, [image, *CORNERS], "left_anti").select(candidates.columns)
+    near = _prefixed(_climbing(truth, levels(candidates), image), "t_")
+    return _at_home(left).join(near, _meet(image) & hit, "left_anti").drop(*_CELL)
+
+
 def background_boxes(
     candidates: DataFrame,
     truth: DataFrame,
@@ -198,7 +239,8 @@ def background_boxes(
     image: str = "image",
     crowd: tuple[int, int] = CROWD,
 ) -> DataFrame:
-    """Candidates that overlap no true box of their image by more than ``max_iou``."""
+    """Candidates that overlap no true box of their image by more than ``max_iou``, which may be 0."""
+    _check_overlap(max_iou, least_open=False)
     crowded = _crowded(_side_counts(candidates, truth, image), image, crowd)
     return _free_boxes(candidates, truth, max_iou, image, crowded)
 
@@ -223,6 +265,7 @@ def sample_background(
     scalar column; since it can grow with the data, it is applied by distributed row
     numbers, not by a sort in one task.
     """
+    _check_overlap(max_iou, least_open=False)
     sizes = images.groupBy("image").agg(F.max("width").alias("width"), F.max("height").alias("height"))
     crowded = _crowded(_side_counts(truth.limit(0), truth, "image"), "image", crowd)
 
@@ -365,6 +408,7 @@ def nms(
     it suppresses is gone. Both lead to the same boxes as the sequential loop, since
     a box is kept exactly when no kept box suppresses it.
     """
+    _check_overlap(threshold)
     crowded = _crowded(_side_counts(dets, dets.limit(0), image), image, (fold_limit, 0))
     if crowded is None:
         return _fold_nms(dets, threshold, image, score)
@@ -425,12 +469,19 @@ def _overlap_edges(
     """Pairs of a prediction and a true box that overlap enough.
 
     Equal true boxes of an image are one row with a capacity, named by their lowest
-    object id, so copies on both sides do not multiply.
+    object id, so copies on both sides do not multiply. A prediction is known by its id,
+    score and corners, and equal rows by a running number, so a repeated id is no repeat
+    of the prediction.
     """
     boxes = truth.groupBy(image, *CORNERS).agg(
         F.min(object_id).cast("bigint").alias("box"), F.count("*").alias("capacity")
     )
-    asked = preds.select(image, F.col(pred_id).alias("pred"), F.col(score).alias("score"), *CORNERS)
+    asked = (
+        preds.groupBy(image, F.col(pred_id).alias("id"), F.col(score).alias("score"), *CORNERS)
+        .agg(F.count("*").alias("copies"))
+        .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
+        .select(image, "score", *CORNERS, F.struct("id", "score", *CORNERS, "copy").alias("pred"))
+    )
     value = C.iou(C.corners(), C.corners("t_"))
     pairs = _partners(asked, boxes, value >= threshold, threshold, image, crowded, "inner")
     return pairs.select(
@@ -467,8 +518,8 @@ def _fold_matches(edges: DataFrame, image: str) -> DataFrame:
     )
 
 
-def _round_matches(edges: DataFrame, image: str) -> DataFrame:
-    """Matches per image in rounds, without bringing an image together.
+def _round_matches(edges: DataFrame, image: str, fold_limit: int) -> DataFrame:
+    """Matches per image in rounds, until at most ``fold_limit`` pairs an image are left to fold.
 
     A pair is final when the box is the best free one of the prediction and the
     prediction is among the best of the box, as many as the box has room for: no
@@ -477,7 +528,7 @@ def _round_matches(edges: DataFrame, image: str) -> DataFrame:
     """
     totals: list[DataFrame] = []
     left = materialize(edges, "match-left")
-    while not left.isEmpty():
+    while (left.groupBy(image).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0) > fold_limit:
         best = left.groupBy(image, "pred").agg(
             F.min(F.struct("distance", "box")).getField("box").alias("_best")
         )
@@ -501,7 +552,7 @@ def _round_matches(edges: DataFrame, image: str) -> DataFrame:
             .select(edges.columns),
             "match-left",
         )
-    result = edges.select(image, F.lit(0).cast("bigint").alias("tp")).limit(0)
+    result = _fold_matches(left, image)
     for part in totals:
         result = result.unionByName(part)
     return result
@@ -515,7 +566,7 @@ def match_boxes(
     pred_id: str = "det_id",
     score: str = "score",
     object_id: str = "object_id",
-    fold_limit: int = 50_000,
+    fold_limit: int = 5_000,
     crowd: tuple[int, int] = CROWD,
 ) -> DataFrame:
     """Greedy one-to-one matching per image in score order.
@@ -525,8 +576,7 @@ def match_boxes(
     reach the threshold matter. Images whose pairs exceed ``fold_limit`` are matched
     in rounds instead of a fold.
     """
-    if not 0 < threshold <= 1:
-        raise ValueError("the overlap threshold must lie in (0, 1]")
+    _check_overlap(threshold)
     counts = _side_counts(preds, truth, image)
     most = counts.agg(
         F.max("n_left").alias("left"),
@@ -546,7 +596,7 @@ def match_boxes(
             matched = _fold_matches(edges, image)
         else:
             matched = _fold_matches(edges.join(busy, image, "left_anti"), image).unionByName(
-                _round_matches(edges.join(busy, image, "left_semi"), image)
+                _round_matches(edges.join(busy, image, "left_semi"), image, fold_limit)
             )
     counts = counts.withColumnsRenamed({"n_left": "n_pred", "n_right": "n_gt"})
     zero = F.lit(0).cast("bigint")

@@ -43,12 +43,10 @@ def number_rows(df: DataFrame, order: Sequence[str | Column], name: str = "row_n
 
 def number_events(
     df: DataFrame,
-    order: Sequence[str | Column] = ("pickup_datetime",),
+    order: Sequence[str | Column],
     limit: int | None = None,
     name: str = "event_id",
 ) -> DataFrame:
-    """Number events from 1 in time order; ``limit`` keeps the first events only."""
-    if limit is None:
-        return number_rows(df, order, name)
-    first = df.orderBy(*order).limit(limit)
-    return first.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
+    """Number events from 1 in ``order``, whose last keys must tell rows apart; ``limit`` keeps the first ones."""
+    numbered = number_rows(df, order, name)
+    return numbered if limit is None else numbered.filter(F.col(name) <= limit)

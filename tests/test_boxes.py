@@ -102,7 +102,7 @@ def test_matching_equals_a_loop(spark, seed, hot, copies, threshold):
         assert got == want, (limit, crowd)
 
 
-@pytest.mark.parametrize("limit", [0.15, 0.5])
+@pytest.mark.parametrize("limit", [0.0, 0.15, 0.5])
 def test_background_equals_a_loop(spark, limit):
     cands, truth = random_boxes(8, 6, 100, 50), random_boxes(9, 6, 30, 10)
     c, t = spark.createDataFrame(cands, BOX), spark.createDataFrame(truth, BOX)
@@ -114,6 +114,26 @@ def test_background_equals_a_loop(spark, limit):
         assert sorted(r.id for r in free.collect()) == want, crowd
 
 
+def test_thresholds_are_refused_alike(spark):
+    df = spark.createDataFrame(random_boxes(12, 1), BOX)
+    for wrong in (0, -0.1, 1.1):
+        for limit in (2000, 1):
+            with pytest.raises(ValueError):
+                X.nms(df, wrong, fold_limit=limit)
+    for crowd in (X.CROWD, (0, 0)):
+        with pytest.raises(ValueError):
+            X.background_boxes(df, df, 1.1, crowd=crowd)
+
+
+def test_repeated_detection_ids(spark):
+    spots = [(0, 0, 10, 10), (50, 0, 60, 10), (99, 0, 109, 10)]
+    truth = spark.createDataFrame([(1, i, *b) for i, b in enumerate(spots)] + [(1, 7, *spots[0])], "image INT, object_id BIGINT, x1 INT, y1 INT, x2 INT, y2 INT")
+    preds = [(1, 7, *spots[0], 0.9), (1, 8, *spots[1], 0.8), (1, 7, *spots[2], 0.7), (1, 7, *spots[0], 0.9), (1, 7, *spots[0], 0.9)]
+    dets = spark.createDataFrame(preds, BOX).withColumnRenamed("id", "det_id")
+    for limit in (1000, 2, 0):
+        assert tuple(X.match_boxes(dets, truth, fold_limit=limit).first()) == (1, 4, 1, 0, 4, 5), limit
+
+
 def test_reach_covers_every_partner(spark):
     """Each pair over the threshold meets in exactly one cell."""
     a, b = random_boxes(10, 3, 200), random_boxes(11, 3, 200)
