@@ -3,7 +3,8 @@
 A floating-point sum changes in its last digits with the order of its rows, and
 a tie then rounds either way. Measures here are therefore counted in whole units
 (1/10,000 for money, distance, speed and ratios, milliseconds for minutes) and
-summed as BIGINT, which stays inside generated code. An overflow raises an error.
+summed as BIGINT, which stays inside generated code. A value beyond BIGINT units, an
+infinite one too, and an overflowing sum raise an error.
 """
 
 from __future__ import annotations
@@ -28,10 +29,14 @@ class Measure:
 
 
 def as_units(col: Column | str, units: int = UNITS) -> Column:
-    """Nearest whole number of 1/units; NaN becomes null."""
+    """Nearest whole number of 1/units; NaN becomes null, a value too large for them is an error."""
     value = F.col(col) if isinstance(col, str) else col
     value = value.cast("double")
-    return F.when(~F.isnan(value), F.floor(value * F.lit(float(units)) + F.lit(0.5)))
+    scaled = value * F.lit(float(units)) + F.lit(0.5)
+    # NaN is larger than any number here
+    known = value.isNotNull() & ~F.isnan(value)
+    refused = F.when(known, F.raise_error(F.lit("a measure exceeds the range of its units")).cast("bigint"))
+    return F.when(F.abs(scaled) < F.lit(float(2**63)), F.floor(scaled)).otherwise(refused)
 
 
 def _half_up(value: Column, digits: int) -> Column:

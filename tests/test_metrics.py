@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from fareway.functions.measures import round_half_up
@@ -111,3 +112,13 @@ def test_count_window_averages(spark):
                                "event_id BIGINT, pickup_zone STRING, fare_amount DOUBLE, trip_distance DOUBLE")
     got = {r.event_id: (r.avg_fare, r.avg_distance) for r in W.count_window(df, 10, 25).collect()}
     assert got == {25: (20.5, 0.5), 30: (25.5, 0.5)}
+
+
+def test_measures_beyond_their_units_are_refused(spark):
+    from fareway.functions.measures import as_units
+
+    df = spark.createDataFrame([(1.23456,), (float("nan"),), (None,), (-9e14,)], "v DOUBLE")
+    assert [r[0] for r in df.select(as_units("v")).collect()] == [12346, None, None, -9 * 10**18]
+    for wrong in (1e16, -1e16, float("inf"), float("-inf")):
+        with pytest.raises(Exception, match="range of its units"):
+            spark.createDataFrame([(wrong,)], "v DOUBLE").select(as_units("v")).collect()
