@@ -206,16 +206,24 @@ def confirm(pairs: DataFrame, texts: DataFrame, n: int, numerator: int, denomina
     return map_rows(rows, "u long, v long", run)
 
 
+def _settled(links: DataFrame) -> bool:
+    """Whether distinct ``links`` are stars: each u names one v, and no v is a u."""
+    ends = links.select(F.explode(F.array(
+        F.struct(F.col("u").alias("node"), F.lit(1).alias("named")), F.struct(F.col("v").alias("node"), F.lit(0).alias("named"))
+    )).alias("e")).select("e.*")
+    nodes = ends.groupBy("node").agg(F.sum("named").alias("named"), F.count("*").alias("links"))
+    return nodes.filter("named > 0 AND links > 1").agg(F.count("*")).first()[0] == 0
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node and component (smallest node reachable) of every node that ``edges`` (u, v) names.
 
     Alternating large-star and small-star: every node links its larger neighbours, then
-    its smaller ones, to the smallest it sees, until nothing changes. Each round is
+    its smaller ones, to the smallest it sees, until only stars are left. Each round is
     written to the shared folder, so a lost executor costs one round at most.
     """
     links = materialize(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct(), "links")
-    seen = None
-    while True:
+    while not _settled(links):
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("low"))
         large = both.join(low, "u").filter("v > u AND v <> low").select(F.col("v").alias("u"), F.col("low").alias("v")).distinct()
@@ -224,14 +232,22 @@ def components(edges: DataFrame) -> DataFrame:
             F.struct(F.col("v").alias("u"), F.col("low").alias("v")), F.struct(F.col("u").alias("u"), F.col("low").alias("v"))
         )).alias("e")).select("e.*").filter("u <> v").distinct()
         links = materialize(small, "links")
-        now = tuple(links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if now == seen:
-            break
-        seen = now
     roots = links.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return links.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 
 
+def _merged(placed: DataFrame, links: DataFrame) -> DataFrame:
+    """``placed`` (node, component) after ``links`` (u, v) between its nodes; only links between components are followed."""
+    ends = links.select("u", "v")
+    for end in ("u", "v"):
+        at = placed.select(F.col("node").alias(end), F.col("component").alias(f"{end}_at"))
+        ends = ends.join(at, end)
+    found = components(ends.select(F.col("u_at").alias("u"), F.col("v_at").alias("v")))
+    found = found.select(F.col("node").alias("component"), F.col("component").alias("lower"))
+    after = placed.join(found, "component", "left").select("node", F.coalesce("lower", "component").alias("component"))
+    return materialize(after, "placed")
+
+
 def near_duplicates(docs: DataFrame, n: int = 5, numerator: int = 80, denominator: int = 100) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row of ``docs``.
 
@@ -261,26 +277,26 @@ def near_duplicates(docs: DataFrame, n: int = 5, numerator: int = 80, denominato
     # only texts that share a band with another are read again
     texts = materialize(id_and_text(docs).withColumnRenamed("doc_id", "node").join(nodes, "node", "left_semi"), "texts")
     stars = buckets.filter("node > hub").select(F.col("node").alias("u"), F.col("hub").alias("v")).distinct()
-    links = materialize(confirm(_best(_agreeing(stars, sigs, least)), texts, n, numerator, denominator), "star")
-
-    def placed() -> DataFrame:
-        found = components(links)
-        at = nodes.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
-        return materialize(at, "placed")
+    links = confirm(_best(_agreeing(stars, sigs, least)), texts, n, numerator, denominator)
+    found = components(links)
+    now = nodes.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
+    now = materialize(now, "placed")
 
-    blocks = _deal(_mixed(buckets.select("node", "band"), placed()).join(sigs, "node"), "band", _SIGNATURES)
-    more = confirm(_best(_across(blocks, least, best=True)), texts, n, numerator, denominator)
-    links = materialize(links.unionByName(more), "nearer")
+    blocks = _deal(_mixed(buckets.select("node", "band"), now).join(sigs, "node"), "band", _SIGNATURES)
+    now = _merged(now, confirm(_best(_across(blocks, least, best=True)), texts, n, numerator, denominator))
 
-    now = placed()
     blocks = _deal(_mixed(buckets.select("node", "band"), now).join(sigs, "node"), "band", _SIGNATURES)
     left = materialize(_across(blocks, least, best=False).distinct(), "left")
-    more = confirm(left.filter("v IS NOT NULL"), texts, n, numerator, denominator)
-    crowded = buckets.join(left.filter("v IS NULL").select("band").distinct(), "band", "left_semi")
-    families = components(crowded.select(F.col("node").alias("u"), F.col("hub").alias("v")))
-    families = families.withColumnRenamed("component", "family").join(now, "node")
-    links = links.unionByName(more).unionByName(_within_families(families, texts, n, numerator, denominator))
-    found = components(links.unionByName(alike))
+    links = confirm(left.filter("v IS NOT NULL"), texts, n, numerator, denominator)
+    crowds = left.filter("v IS NULL").select("band").distinct()
+    if crowds.count():
+        crowded = buckets.join(crowds, "band", "left_semi")
+        families = components(crowded.select(F.col("node").alias("u"), F.col("hub").alias("v")))
+        families = families.withColumnRenamed("component", "family").join(now, "node")
+        links = links.unionByName(_within_families(families, texts, n, numerator, denominator))
+    now = _merged(now, links)
+    copies = alike.join(now, alike.v == now.node, "left").select("u", F.coalesce("component", "v").alias("v"))
+    found = components(copies.unionByName(now.filter("node <> component").select(F.col("node").alias("u"), F.col("component").alias("v"))))
     return rows.select("doc_id", "n_shingles").join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
         unkey().alias("doc_id"), "n_shingles",
         F.nullif(F.coalesce("component", "doc_id"), F.lit(NO_ID)).alias("component_id"),
