@@ -65,6 +65,42 @@ BACKGROUND_RATIO = 1.2
 
 SPLIT_SEED = 20260509
 
+# columns a raw trip table must have
+REQUIRED_TRIP_COLUMNS = (
+    "pickup_datetime",
+    "dropoff_datetime",
+    "passenger_count",
+    "trip_distance",
+    "pickup_location_id",
+    "dropoff_location_id",
+    "payment_type",
+    "fare_amount",
+    "total_amount",
+)
+
+# inputs of the demand models, key of a demand row, columns of the prediction table
+NUMERIC_FEATURES = (
+    "pickup_hour",
+    "pickup_weekday",
+    "is_weekend",
+    "avg_distance",
+    "avg_fare",
+    "avg_duration_min",
+)
+DEMAND_KEY = ("pickup_date", "pickup_hour", "pickup_zone")
+PREDICTION_COLUMNS = (
+    "pickup_date",
+    "pickup_hour",
+    "pickup_weekday",
+    "pickup_zone",
+    "demand",
+    "improved_prediction",
+)
+
+# names of the trained models
+LINEAR = "linear_regression_baseline"
+FOREST = "random_forest_regressor"
+
 # --- end of fixed values ------------------------------------------------------
 
 
@@ -129,18 +165,6 @@ READING_SCHEMA = flat_schema(
     " congestion_level STRING, lat DOUBLE, lon DOUBLE"
 )
 
-REQUIRED_TRIP_COLUMNS = (
-    "pickup_datetime",
-    "dropoff_datetime",
-    "passenger_count",
-    "trip_distance",
-    "pickup_location_id",
-    "dropoff_location_id",
-    "payment_type",
-    "fare_amount",
-    "total_amount",
-)
-
 TRIP_TYPES = {
     "pickup_datetime": "timestamp",
     "dropoff_datetime": "timestamp",

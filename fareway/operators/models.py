@@ -13,22 +13,11 @@ from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fareway.constants import SPLIT_SEED
+from fareway.constants import DEMAND_KEY, NUMERIC_FEATURES, PREDICTION_COLUMNS, SPLIT_SEED
 from fareway.functions import columns as C
 from fareway.functions.measures import round_half_up
 from fareway.session import materialize
 
-NUMERIC_FEATURES = (
-    "pickup_hour",
-    "pickup_weekday",
-    "is_weekend",
-    "avg_distance",
-    "avg_fare",
-    "avg_duration_min",
-)
-DEMAND_KEY = ("pickup_date", "pickup_hour", "pickup_zone")
-
-
 # --- splits ---------------------------------------------------------------------------
 
 
@@ -184,14 +173,7 @@ def mean_baseline(
 def predictions(
     scored: DataFrame,
     n: int = 5000,
-    columns: Sequence[str] = (
-        "pickup_date",
-        "pickup_hour",
-        "pickup_weekday",
-        "pickup_zone",
-        "demand",
-        "improved_prediction",
-    ),
+    columns: Sequence[str] = PREDICTION_COLUMNS,
 ) -> DataFrame:
     """The first ``n`` scored rows in date, hour and zone order."""
     return scored.select(*columns).orderBy(*DEMAND_KEY).limit(n)
@@ -289,8 +271,27 @@ def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "pre
     )
 
 
-def class_report(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """Precision, recall, F1 and support per class, 0 where undefined."""
+def _share(part: Column, whole: Column) -> Column:
+    return F.coalesce(part.cast("double") / F.nullif(whole.cast("double"), F.lit(0.0)), F.lit(0.0))
+
+
+def full_confusion_matrix(
+    df: DataFrame, label: str = "label", prediction: str = "prediction"
+) -> DataFrame:
+    """A cell for each label with each prediction among the classes of either side; 0 where no row falls."""
+    cells = confusion_matrix(df, label, prediction)
+    # a cell per pair of classes at most, so one row holds them all
+    classes = F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.array("label", "prediction")))))
+    counts = F.map_from_entries(F.collect_list(F.struct(F.struct("label", "prediction"), "rows")))
+    grid = cells.agg(classes.alias("classes"), counts.alias("counts"))
+    grid = grid.select(F.explode("classes").alias("label"), "classes", "counts")
+    grid = grid.select("label", F.explode("classes").alias("prediction"), "counts")
+    found = F.try_element_at("counts", F.struct("label", "prediction"))
+    return grid.select("label", "prediction", F.coalesce(found, F.lit(0)).alias("rows"))
+
+
+def _class_rates(df: DataFrame, label: str, prediction: str) -> DataFrame:
+    """class, hit, actual, guessed, p, r and f1 of each class, not rounded."""
     cells = confusion_matrix(df, label, prediction)
     hit = F.when(F.col("label") == F.col("prediction"), F.col("rows")).otherwise(0)
     zero = F.lit(0).cast("bigint")
@@ -303,25 +304,52 @@ def class_report(df: DataFrame, label: str = "label", prediction: str = "predict
     )
     sums = sides.groupBy("class").agg(*[F.sum(c).alias(c) for c in ("hit", "actual", "guessed")])
 
-    def share(part: Column, whole: Column) -> Column:
-        return F.coalesce(part.cast("double") / F.nullif(whole.cast("double"), F.lit(0.0)), F.lit(0.0))
-
     rated = sums.withColumns(
         {
-            "p": share(F.col("hit"), F.col("guessed")),
-            "r": share(F.col("hit"), F.col("actual")),
+            "p": _share(F.col("hit"), F.col("guessed")),
+            "r": _share(F.col("hit"), F.col("actual")),
         }
     )
-    f1 = share(F.lit(2.0) * F.col("p") * F.col("r"), F.col("p") + F.col("r"))
-    return rated.select(
+    both = F.col("p") + F.col("r")
+    return rated.withColumn("f1", _share(F.lit(2.0) * F.col("p") * F.col("r"), both))
+
+
+def class_report(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+    """Precision, recall, F1 and support per class, 0 where undefined."""
+    return _class_rates(df, label, prediction).select(
         "class",
         round_half_up(F.col("p"), 4).alias("precision"),
         round_half_up(F.col("r"), 4).alias("recall"),
-        round_half_up(f1, 4).alias("f1"),
+        round_half_up(F.col("f1"), 4).alias("f1"),
         F.col("actual").alias("support"),
     )
 
 
+def report_averages(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+    """Accuracy, and precision, recall and F1 over all classes: plain means and means weighted by support."""
+    rates = ("p", "r", "f1")
+    sums = _class_rates(df, label, prediction).agg(
+        F.sum("actual").alias("support"),
+        _share(F.sum("hit"), F.sum("actual")).alias("accuracy"),
+        *[F.avg(c).alias(f"macro_{c}") for c in rates],
+        *[_share(F.sum(F.col(c) * F.col("actual")), F.sum("actual")).alias(f"weighted_{c}") for c in rates],
+    )
+    none = F.lit(None).cast("double")
+    rows = [("accuracy", none, none, F.col("accuracy"))]
+    rows += [(f"{kind} avg", *[F.col(f"{kind}_{c}") for c in rates]) for kind in ("macro", "weighted")]
+    entries = [
+        F.struct(
+            F.lit(name).alias("average"),
+            round_half_up(p, 4).alias("precision"),
+            round_half_up(r, 4).alias("recall"),
+            round_half_up(f1, 4).alias("f1"),
+            F.col("support"),
+        )
+        for name, p, r, f1 in rows
+    ]
+    return sums.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+
+
 # --- storage ---------------------------------------------------------------------------------
 
 

@@ -73,7 +73,8 @@ SUMMARY_COLUMNS = (
     "passenger_count",
 )
 QUARTILES = (0.25, 0.5, 0.75)
-_CELLS = 4096
+#: Accuracy of the sketch that brackets the wanted ranks, and the share of rows on either side of one.
+_ACCURACY, _BRACKET = 50_000, 1e-4
 
 
 def _long_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -90,9 +91,10 @@ def numeric_summary(
 
     The approximate form is one pass with a quantile sketch of fixed size. The
     exact form interpolates between the two neighbouring ranks and never sorts the
-    table: values are counted once, the counts of 4,096 cells per column tell which
-    cells hold the wanted ranks, and only the distinct values of those cells are
-    put in order.
+    table: a sketch gives a value below and one above each wanted rank, values are
+    counted once between those, and only the distinct values of the cells that hold
+    a wanted rank are put in order. The cells hold shares of the rows, not of the
+    range, so outliers do not fill one; a poor sketch would cost time, not rightness.
     """
     values = _long_values(df, columns)
     moments = [
@@ -111,21 +113,17 @@ def numeric_summary(
 
     stats = values.groupBy("column").agg(*moments)
     counts = values.groupBy("column", "value").agg(F.count("*").alias("n"))
-    quartiles = F.broadcast(_exact_quartiles(counts, names))
+    quartiles = F.broadcast(_exact_quartiles(values, counts, names))
     return stats.join(quartiles, "column").select(
         "column", "count", "mean", "stddev", "min", *names, "max"
     )
 
 
-def _exact_quartiles(counts: DataFrame, names: Sequence[str]) -> DataFrame:
-    extent = counts.groupBy("column").agg(
-        F.min("value").alias("low"), F.max("value").alias("high"), F.sum("n").alias("total")
-    )
-    width = (F.col("high") - F.col("low")) / F.lit(float(_CELLS))
-    cell = F.when(
-        F.col("high") > F.col("low"),
-        F.least(F.floor((F.col("value") - F.col("low")) / width), F.lit(_CELLS - 1)),
-    ).otherwise(F.lit(0))
+def _exact_quartiles(values: DataFrame, counts: DataFrame, names: Sequence[str]) -> DataFrame:
+    shares = sorted(min(max(q + side, 0.0), 1.0) for q in QUARTILES for side in (-_BRACKET, _BRACKET))
+    edges = F.percentile_approx("value", shares, _ACCURACY)
+    extent = values.groupBy("column").agg(F.count("*").alias("total"), edges.alias("edges"))
+    cell = F.size(F.filter("edges", lambda e: e <= F.col("value")))
     # hints below are safe at any size: one row per summarised column, times six at most
     placed = counts.join(F.broadcast(extent), "column").withColumn("cell", cell)
 

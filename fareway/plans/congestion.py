@@ -28,6 +28,17 @@ def stored_alerts(spark: SparkSession, sink: str) -> DataFrame:
     return spark.read.schema(ALERT_SCHEMA).parquet(sink)
 
 
+def dashboard(alerts: DataFrame, cap: int = 100, arrival: str | None = None) -> dict[str, DataFrame]:
+    """Counts, road ranking, trend and headline of the newest ``cap`` alerts, each alert once."""
+    current = A.latest_alerts(alerts, cap, arrival)
+    return {
+        "severity_counts": A.severity_counts(current),
+        "road_ranking": A.road_ranking(current),
+        "speed_trend": A.speed_trend(current),
+        "alert_headline": A.alert_headline(current),
+    }
+
+
 def served(spark: SparkSession, sink: str) -> DataFrame:
     """The ranked list of the newest stored alerts."""
     return A.serve_alerts(stored_alerts(spark, sink), roads_table(spark))

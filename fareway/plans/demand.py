@@ -7,13 +7,10 @@ from dataclasses import dataclass
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
-from fareway.constants import SPLIT_SEED
+from fareway.constants import FOREST, LINEAR, SPLIT_SEED
 from fareway.operators import models
 from fareway.session import materialize
 
-LINEAR = "linear_regression_baseline"
-FOREST = "random_forest_regressor"
-
 
 @dataclass(frozen=True)
 class DemandModels:

@@ -17,7 +17,7 @@ from fareway.constants import (
 
 
 def half_up(value: str, digits: int) -> str:
-    return f"(sign({value}) * floor(abs({value}) + 5e-1) / 1e{digits})"
+    return f"(sign({value}) * floor(abs({value}) + 0.5e0) / 1e{digits})"
 
 
 def rounded(value: str, digits: int) -> str:
@@ -25,7 +25,7 @@ def rounded(value: str, digits: int) -> str:
 
 
 def units(column: str, per_one: str = "1e4") -> str:
-    return f"CAST(floor(({column}) * {per_one} + 5e-1) AS BIGINT)"
+    return f"CAST(floor(({column}) * {per_one} + 0.5e0) AS BIGINT)"
 
 
 def avg(column: str, digits: int = 3, per_one: str = "1e4") -> str:
@@ -73,7 +73,7 @@ trip_rows AS (
     CASE WHEN event_id % 97 <> 0 THEN CAST(event_id % 10 AS DOUBLE) END AS passenger_count,
     value / 5e0 AS trip_distance, user_id AS pickup_location_id,
     CASE WHEN event_id % 101 <> 0 THEN event_id * 7 % 150 END AS dropoff_location_id,
-    event_id % 8 AS payment_type, value AS fare_amount, value * 1e-1 AS tip_amount,
+    event_id % 8 AS payment_type, value AS fare_amount, value * 0.1e0 AS tip_amount,
     CASE WHEN event_id % 11 <> 0 THEN value * 1.2e0 END AS total_amount
   FROM events),
 trip_raw AS (
@@ -151,6 +151,8 @@ alerts AS (
       || CAST(avg_speed_kmh AS VARCHAR) || ' km/h' AS alert_text
   FROM sums WHERE speed <= 25 OR occ >= 0.65e0 OR severe_event_count >= 5)"""
 
+CURRENT = "newest AS (SELECT * FROM alerts ORDER BY window_end DESC, window_start DESC, road_id LIMIT 100)"
+
 RANKED = """coalesce(severity <> 'severe', true), coalesce(avg_speed_kmh, 999),
     -coalesce(vehicle_count, 0), window_end DESC, window_start DESC, road_id"""
 
@@ -195,7 +197,7 @@ SELECT image, k.det_id AS det_id, k.score AS score FROM (SELECT image, unnest(ke
 MATCHES = f"""{BOXES},
 pairs AS (
   SELECT d.image, d.det_id, list(t.object_id ORDER BY {iou('d', 't')} DESC, t.object_id) AS near
-  FROM dets d JOIN truth t ON t.image = d.image AND {iou('d', 't')} >= 5e-1 GROUP BY d.image, d.det_id),
+  FROM dets d JOIN truth t ON t.image = d.image AND {iou('d', 't')} >= 0.5e0 GROUP BY d.image, d.det_id),
 ranked AS (
   SELECT d.image, p.near, row_number() OVER (PARTITION BY d.image ORDER BY d.score DESC, d.det_id) AS rn
   FROM dets d JOIN pairs p ON p.image = d.image AND p.det_id = d.det_id),
@@ -224,15 +226,15 @@ draws AS (
     {md5_bits("image || '|' || attempt", 42, 2)} AS h2
   FROM images, range(1, 201) AS tries(attempt)),
 sized AS (
-  SELECT *, CAST(floor((5e-1 + h0 / 4294967296e0) * 64) AS INTEGER) AS w,
-    CAST(floor((5e-1 + h0 / 4294967296e0) * 128) AS INTEGER) AS h FROM draws),
+  SELECT *, CAST(floor((0.5e0 + h0 / 4294967296e0) * 64) AS INTEGER) AS w,
+    CAST(floor((0.5e0 + h0 / 4294967296e0) * 128) AS INTEGER) AS h FROM draws),
 placed AS (
   SELECT image, attempt, CAST(h1 % (width - w + 1) AS INTEGER) AS x1, CAST(h2 % (height - h + 1) AS INTEGER) AS y1, w, h
   FROM sized WHERE w <= width AND h <= height),
 cands AS (SELECT image, attempt, x1, y1, x1 + w AS x2, y1 + h AS y2 FROM placed),
 free AS (
   SELECT * FROM cands c WHERE NOT EXISTS (
-    SELECT 1 FROM truth t WHERE t.image = c.image AND {iou('c', 't')} > 15e-2)),
+    SELECT 1 FROM truth t WHERE t.image = c.image AND {iou('c', 't')} > 0.15e0)),
 sampled AS (
   SELECT * FROM free QUALIFY row_number() OVER (PARTITION BY image ORDER BY attempt) <= 10)"""
 
@@ -263,7 +265,7 @@ numbered AS (SELECT *, row_number() OVER (ORDER BY pickup_datetime, event_id) AS
 LINE_TRIPS = """
 line_trips AS (
   SELECT 'zone_' || l_suppkey AS pickup_zone, 'zone_' || l_suppkey || '_to_zone_' || l_partkey AS od_pair,
-    l_quantity AS trip_distance, l_extendedprice AS fare_amount, l_linenumber * 75e-1 AS trip_duration_min,
+    l_quantity AS trip_distance, l_extendedprice AS fare_amount, l_linenumber * 7.5e0 AS trip_duration_min,
     l_extendedprice * (1 - l_discount) AS revenue
   FROM lineitem)"""
 
@@ -271,7 +273,7 @@ WEIGHT_LIST = "[" + ", ".join(f"{((i * 7) % 13 - 6) / 10}::DOUBLE" for i in rang
 SCORES = f"""
 scored AS (
   SELECT vec_id, list_reduce(list_prepend(0e0, list_transform(range(1, 65),
-      lambda i: CAST(embedding[i] AS DOUBLE) * ({WEIGHT_LIST})[i])), lambda a, b: a + b) + 1e-1 AS decision,
+      lambda i: CAST(embedding[i] AS DOUBLE) * ({WEIGHT_LIST})[i])), lambda a, b: a + b) + 0.1e0 AS decision,
     CASE WHEN label < 5 THEN 1 ELSE 0 END AS label
   FROM embeddings),
 judged AS (SELECT *, CASE WHEN decision >= 0 THEN 1 ELSE 0 END AS prediction FROM scored)"""
@@ -306,7 +308,7 @@ def quality(rule: str, digits: int) -> str:
     return f"""WITH {TRIP_ROWS}, n AS (
     SELECT count(*) AS before_rows, count(*) FILTER (WHERE {rule}) AS after_rows FROM trip_raw)
     SELECT before_rows, after_rows, before_rows - after_rows AS removed_rows,
-    floor(CAST(before_rows - after_rows AS DOUBLE) * 1e{digits} / CAST(before_rows AS DOUBLE) + 5e-1) / 1e{digits} AS removal_rate FROM n"""
+    floor(CAST(before_rows - after_rows AS DOUBLE) * 1e{digits} / CAST(before_rows AS DOUBLE) + 0.5e0) / 1e{digits} AS removal_rate FROM n"""
 
 
 CLEAN_COLUMNS = """event_id, passenger_count, trip_duration_min, pickup_date, pickup_month, pickup_hour,
@@ -542,7 +544,7 @@ _ORACLES: dict[str, str] = {
         UNION ALL BY NAME SELECT 'pattern' AS "table", * FROM ({ANALYSIS_TABLES['demand_pattern']})""",
     "congestion_classes": f"SELECT event_id, {CLASS} AS congestion_level FROM (SELECT event_id, value AS speed_kmh, (event_id * 13 % 100) / 1e2 AS occupancy FROM events)",
     "reading_measures": f"""WITH {READINGS} SELECT event_id,
-        {rounded('least(1e0, greatest(5e-2, vehicle_count / CAST(capacity AS DOUBLE)))', 4)} AS occupancy, travel_time_sec
+        {rounded('least(1e0, greatest(0.05e0, vehicle_count / CAST(capacity AS DOUBLE)))', 4)} AS occupancy, travel_time_sec
         FROM readings JOIN roads USING (road_id)""",
     "json_readings": f"WITH {READINGS} SELECT * FROM readings",
     "hop_windows": f"WITH {READINGS} SELECT window_start, window_start + INTERVAL '60 seconds' AS window_end, road_id, count(*) AS readings FROM hopped GROUP BY window_start, road_id",
@@ -574,6 +576,17 @@ _ORACLES: dict[str, str] = {
     "alert_headline": f"""WITH {ALERTS} SELECT count(*) FILTER (WHERE severity = 'severe') AS severe_alerts,
         min(CASE WHEN coalesce(avg_speed_kmh, 0) = 0 THEN 999e0 ELSE avg_speed_kmh END) AS min_speed_kmh,
         (SELECT vehicle_count FROM alerts ORDER BY window_end DESC, window_start DESC, vehicle_count DESC LIMIT 1) AS latest_vehicles FROM alerts""",
+    "current_severity_counts": f"""WITH {ALERTS}, {CURRENT} SELECT s AS severity, count(severity) AS alerts,
+        {case_map('s', SEVERITY_DISPLAY, f"'{SEVERITY_DISPLAY_OTHER}'")} AS severity_display
+        FROM (VALUES ('severe'), ('moderate'), ('slow')) AS l(s) LEFT JOIN newest ON severity = s GROUP BY s""",
+    "current_road_ranking": f"""WITH {ALERTS}, {CURRENT} SELECT coalesce(nullif(road_name, ''), road_id) AS road, count(*) AS alerts,
+        min(CASE WHEN coalesce(avg_speed_kmh, 0) = 0 THEN 999e0 ELSE avg_speed_kmh END) AS min_speed_kmh
+        FROM newest GROUP BY 1 ORDER BY alerts DESC, min_speed_kmh, road LIMIT 10""",
+    "current_alert_headline": f"""WITH {ALERTS}, {CURRENT} SELECT count(*) FILTER (WHERE severity = 'severe') AS severe_alerts,
+        min(CASE WHEN coalesce(avg_speed_kmh, 0) = 0 THEN 999e0 ELSE avg_speed_kmh END) AS min_speed_kmh,
+        (SELECT vehicle_count FROM newest ORDER BY window_end DESC, window_start DESC, vehicle_count DESC LIMIT 1) AS latest_vehicles FROM newest""",
+    "current_speed_trend": f"""WITH {ALERTS}, {CURRENT}, top AS (SELECT * FROM newest QUALIFY row_number() OVER (PARTITION BY window_start, window_end ORDER BY {RANKED}) = 1)
+        SELECT window_start, window_end, coalesce(avg_speed_kmh, 0) AS speed_kmh FROM top ORDER BY window_end DESC LIMIT 30""",
     "ingest_stats": f"WITH {ALERTS} SELECT count(*) AS messages, max(window_end) AS last_message_time, least(count(*), 100) AS alerts_held FROM alerts",
     "numbered_events": f"WITH {EVENT_ROWS} SELECT n AS event_id, event_id AS trip_id FROM numbered",
     "first_events": f"WITH {EVENT_ROWS} SELECT n AS event_id, event_id AS trip_id, pickup_zone FROM numbered WHERE n <= 500",
@@ -583,14 +596,14 @@ _ORACLES: dict[str, str] = {
         CAST((event_id * 97 + k * 11) % 400 + 60 AS INTEGER) AS x2, CAST((event_id * 53 + k * 7) % 200 + 120 AS INTEGER) AS y2
         FROM events JOIN range(1, 4) AS r(k) ON k <= event_id % 3 + 1""",
     "large_boxes": f"WITH {BOXES} SELECT * FROM truth WHERE x2 - x1 >= 70 AND y2 - y1 >= 70",
-    "confident_detections": f"WITH {BOXES} SELECT image, det_id, score FROM dets WHERE score >= 25e-2",
+    "confident_detections": f"WITH {BOXES} SELECT image, det_id, score FROM dets WHERE score >= 0.25e0",
     "detection_classes": f"WITH {BOXES} SELECT image, class, count(*) AS detections FROM dets GROUP BY image, class",
     "images_with_boxes": f"WITH {BOXES} SELECT * FROM images WHERE image IN (SELECT image FROM truth WHERE x2 - x1 >= 95 AND y2 - y1 >= 95)",
     "background_boxes": f"""WITH {BOXES} SELECT image, det_id, x1, y1, x2, y2 FROM dets d WHERE NOT EXISTS (
-        SELECT 1 FROM truth t WHERE t.image = d.image AND {iou('d', 't')} > 15e-2)""",
-    "suppressed_boxes": suppression("3e-1"),
-    "suppressed_boxes_loose": suppression("45e-2"),
-    "suppressed_boxes_in_rounds": suppression("3e-1"),
+        SELECT 1 FROM truth t WHERE t.image = d.image AND {iou('d', 't')} > 0.15e0)""",
+    "suppressed_boxes": suppression("0.3e0"),
+    "suppressed_boxes_loose": suppression("0.45e0"),
+    "suppressed_boxes_in_rounds": suppression("0.3e0"),
     "matched_boxes": MATCHED_BOXES,
     "matched_boxes_in_rounds": MATCHED_BOXES,
     "detection_totals": f"""WITH RECURSIVE {MATCHES}, sums AS (SELECT CAST(sum(tp) AS BIGINT) AS tp, CAST(sum(fp) AS BIGINT) AS fp, CAST(sum(fn) AS BIGINT) AS fn FROM matches),
@@ -619,6 +632,21 @@ _ORACLES: dict[str, str] = {
     "model_comparison": f"WITH {MODEL_ROWS} " + regression("model,", "guesses", "y", "p", "GROUP BY model"),
     "best_model": f"WITH {MODEL_ROWS}, m AS ({regression('model,', 'guesses', 'y', 'p', 'GROUP BY model')}) SELECT model, r2 FROM m ORDER BY r2 DESC, model LIMIT 1",
     "linear_scores": f"WITH {SCORES} SELECT vec_id, {rounded('decision', 6)} AS decision FROM scored",
+    "report_averages": f"""WITH {SCORES}, c AS (SELECT k, count(*) FILTER (WHERE label = k AND prediction = k) AS hit,
+        count(*) FILTER (WHERE label = k) AS support, count(*) FILTER (WHERE prediction = k) AS guessed
+        FROM judged, (VALUES (0), (1)) AS l(k) GROUP BY k),
+        r AS (SELECT *, {share('hit', 'guessed')} AS p, {share('hit', 'support')} AS q FROM c),
+        s AS (SELECT *, {share('2e0 * p * q', 'p + q')} AS f FROM r),
+        n AS (SELECT CAST(sum(support) AS BIGINT) AS support, CAST(sum(hit) AS DOUBLE) / CAST(sum(support) AS DOUBLE) AS hits,
+        avg(p) AS mp, avg(q) AS mq, avg(f) AS mf, sum(p * support) / sum(support) AS wp, sum(q * support) / sum(support) AS wq,
+        sum(f * support) / sum(support) AS wf FROM s)
+        SELECT 'accuracy' AS average, CAST(NULL AS DOUBLE) AS precision, CAST(NULL AS DOUBLE) AS recall, {rounded('hits', 4)} AS f1, support FROM n
+        UNION ALL SELECT 'macro avg', {rounded('mp', 4)}, {rounded('mq', 4)}, {rounded('mf', 4)}, support FROM n
+        UNION ALL SELECT 'weighted avg', {rounded('wp', 4)}, {rounded('wq', 4)}, {rounded('wf', 4)}, support FROM n""",
+    "full_confusion_matrix": f"""WITH {SCORES}, shown AS (SELECT * FROM judged WHERE prediction = 1),
+        k AS (SELECT label AS c FROM shown UNION SELECT prediction FROM shown)
+        SELECT a.c AS label, b.c AS prediction, (SELECT count(*) FROM shown WHERE label = a.c AND prediction = b.c) AS rows
+        FROM k AS a, k AS b""",
     "confusion_matrix": f"WITH {SCORES} SELECT label, prediction, count(*) AS rows FROM judged GROUP BY label, prediction",
     "class_report": f"""WITH {SCORES}, c AS (SELECT k AS class, count(*) FILTER (WHERE label = k AND prediction = k) AS hit,
         count(*) FILTER (WHERE label = k) AS support, count(*) FILTER (WHERE prediction = k) AS guessed

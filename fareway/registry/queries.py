@@ -646,6 +646,36 @@ def alert_headline(spark, sf):
     return A.alert_headline(_alerts(spark, sf))
 
 
+def _current(spark, sf):
+    """The dashboard over alerts of which every one was delivered twice."""
+    alerts = _alerts(spark, sf)
+    return stream_plan.dashboard(alerts.unionByName(alerts))
+
+
+@query
+def current_severity_counts(spark, sf):
+    """W4, A16, P20."""
+    return C.display_labels(_current(spark, sf)["severity_counts"], severity="severity")
+
+
+@query
+def current_road_ranking(spark, sf):
+    """W4, A17."""
+    return _current(spark, sf)["road_ranking"]
+
+
+@query
+def current_alert_headline(spark, sf):
+    """W4, A18."""
+    return _current(spark, sf)["alert_headline"]
+
+
+@query
+def current_speed_trend(spark, sf):
+    """W4, W6."""
+    return _current(spark, sf)["speed_trend"]
+
+
 @query
 def ingest_stats(spark, sf):
     """ST7."""
@@ -897,6 +927,18 @@ def class_report(spark, sf):
     return L.class_report(_scored(spark, sf))
 
 
+@query
+def report_averages(spark, sf):
+    """A20."""
+    return L.report_averages(_scored(spark, sf))
+
+
+@query
+def full_confusion_matrix(spark, sf):
+    """Only rows judged 1, so two of four cells are empty."""
+    return L.full_confusion_matrix(_scored(spark, sf).filter("prediction = 1"))
+
+
 @query
 def scaled_vectors(spark, sf):
     """M5: fitted on all rows, one output row per vector and dimension."""

@@ -115,3 +115,16 @@ def test_counts_and_stack(spark):
     row = L.sample_counts(both).first()
     assert (row.positives, row.negatives, row.negatives_per_positive) == (4, 6, 1.5)
     assert L.sample_counts(both.limit(0)).first().negatives_per_positive is None
+
+
+def test_full_matrix_and_averages(spark):
+    df = spark.createDataFrame([(1, 1), (1, 0), (2, 0)], "label INT, prediction INT")
+    cells = {(r.label, r.prediction): r["rows"] for r in L.full_confusion_matrix(df).collect()}
+    assert cells == {(a, b): {(1, 1): 1, (1, 0): 1, (2, 0): 1}.get((a, b), 0) for a in (0, 1, 2) for b in (0, 1, 2)}
+    got = {r.average: (r.precision, r.recall, r.f1, r.support) for r in L.report_averages(df).collect()}
+    assert got == {
+        "accuracy": (None, None, 0.3333, 3),
+        "macro avg": (0.3333, 0.1667, 0.2222, 3),
+        "weighted avg": (0.6667, 0.3333, 0.4444, 3),
+    }
+    assert L.full_confusion_matrix(df.limit(0)).count() == 0

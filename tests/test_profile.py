@@ -68,3 +68,10 @@ def test_checks(spark):
 def test_manifest(spark):
     rows = P.manifest({"t": (spark.range(3), "p/t")}).collect()
     assert [tuple(r) for r in rows] == [("t", "p/t", 3, ["id"])]
+
+
+def test_exact_quartiles_beside_an_outlier(spark):
+    values = [float(i % 997) for i in range(20_000)] + [1e12, float("inf")]
+    df = spark.createDataFrame([(v,) for v in values], "v DOUBLE")
+    row = P.numeric_summary(df, ["v"], exact=True).first()
+    assert (row.q25, row.q50, row.q75) == tuple(np.percentile(values, [25, 50, 75]))
