@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from fareway.constants import BACKGROUND_RATIO
 from fareway.operators import boxes, models
+from fareway.session import materialize
 
 
 def training_boxes(
@@ -24,9 +25,14 @@ def training_boxes(
 def detect(
     windows: DataFrame, model: PipelineModel, threshold: float = 0.5, suppression: float = 0.3
 ) -> DataFrame:
-    """Score windows that carry a feature vector, keep the good ones, suppress overlaps; det_id is a hash of the box."""
-    scored = models.decision_values(model.transform(windows), threshold)
-    found = boxes.rescale_boxes(scored).select(
+    """Score windows that carry a feature vector, keep the good ones, suppress overlaps."""
+    return detections(models.decision_values(model.transform(windows)), threshold, suppression)
+
+
+def detections(scored: DataFrame, threshold: float = 0.5, suppression: float = 0.3) -> DataFrame:
+    """The best of overlapping windows whose ``decision`` reaches ``threshold``; det_id is a hash of the box."""
+    good = boxes.above_score(scored, threshold, "decision")
+    found = boxes.rescale_boxes(good).select(
         "image", "x1", "y1", "x2", "y2", F.col("decision").alias("score")
     )
     return boxes.nms(found.withColumn("det_id", F.xxhash64("image", "x1", "y1", "x2", "y2")), suppression)
@@ -39,8 +45,9 @@ def evaluate(
     suppression: float | None = 0.3,
     score: float | Column | None = None,
 ) -> DataFrame:
-    """Precision, recall and F1 of detections against true boxes."""
+    """Precision, recall and F1 of detections against true boxes; suppressed once, then read back by the counts and the pairs."""
     kept = dets if score is None else boxes.above_score(dets, score)
     if suppression is not None:
         kept = boxes.nms(kept, suppression)
+    kept = materialize(kept, "kept-detections")
     return boxes.detection_totals(boxes.match_boxes(kept, truth, threshold))

@@ -163,7 +163,7 @@ def counted_text(name: str) -> str:
       || CAST(avg_speed_kmh AS VARCHAR) || ' km/h，车辆数 ' || vehicle_count"""
 
 
-BOXES = """
+ALL_BOXES = """
 all_boxes AS (
   SELECT event_id // 20 AS image, event_id AS box_id,
     CAST(event_id * 97 % 400 AS INTEGER) AS x1, CAST(event_id * 53 % 200 AS INTEGER) AS y1,
@@ -172,29 +172,43 @@ all_boxes AS (
     value / 491e0 AS score, event_type AS class
   FROM events),
 truth AS (SELECT image, box_id AS object_id, x1, y1, x2, y2 FROM all_boxes WHERE class IN ('purchase', 'signup')),
-dets AS (SELECT image, box_id AS det_id, x1, y1, x2, y2, score, class FROM all_boxes WHERE class NOT IN ('purchase', 'signup')),
 images AS (
   SELECT image, CAST(image * 37 % 240 + 320 AS INTEGER) AS width, CAST(image * 23 % 160 + 260 AS INTEGER) AS height
   FROM (SELECT DISTINCT event_id // 20 AS image FROM events))"""
 
+BOXES = f"""{ALL_BOXES},
+dets AS (SELECT image, box_id AS det_id, x1, y1, x2, y2, score, class FROM all_boxes WHERE class NOT IN ('purchase', 'signup'))"""
 
-def suppression(threshold: str) -> str:
-    return f"""WITH RECURSIVE {BOXES},
-ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY image ORDER BY score DESC, x1, y1, x2, y2) AS rn FROM dets),
-walk(image, rn, kept) AS (
+GRID = f"""
+sized AS (SELECT image, scale, greatest(64, CAST(floor(width * scale) AS INTEGER)) AS nw, greatest(128, CAST(floor(height * scale) AS INTEGER)) AS nh
+FROM images, (VALUES {', '.join(f'({s}::DOUBLE)' for s in PYRAMID_SCALES)}) AS l(scale)),
+rows AS (SELECT *, unnest(range(0, nh - 128 + 1, 16)) AS y FROM sized),
+grid AS (SELECT *, unnest(range(0, nw - 64 + 1, 16)) AS x FROM rows)"""
+
+
+def kept_of(source: str, threshold: str) -> str:
+    """Tables that end in ``{source}_kept``: image and box ``k`` of the boxes that suppression leaves of ``source``."""
+    return f"""{source}_ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY image ORDER BY score DESC, x1, y1, x2, y2) AS rn FROM {source}),
+{source}_walk(image, rn, kept) AS (
   SELECT DISTINCT image, CAST(0 AS BIGINT),
-    CAST([] AS STRUCT(det_id BIGINT, score DOUBLE, x1 INTEGER, y1 INTEGER, x2 INTEGER, y2 INTEGER)[]) FROM dets
+    CAST([] AS STRUCT(det_id BIGINT, score DOUBLE, x1 INTEGER, y1 INTEGER, x2 INTEGER, y2 INTEGER)[]) FROM {source}
   UNION ALL
   SELECT w.image, r.rn,
     CASE WHEN len(list_filter(w.kept, lambda k: {iou('k', 'r', '1e-6')} >= {threshold})) > 0 THEN w.kept
       ELSE list_append(w.kept, {{'det_id': r.det_id, 'score': r.score, 'x1': r.x1, 'y1': r.y1, 'x2': r.x2, 'y2': r.y2}}) END
-  FROM walk w JOIN ranked r ON r.image = w.image AND r.rn = w.rn + 1),
-done AS (SELECT image, max_by(kept, rn) AS kept FROM walk GROUP BY image)
-SELECT image, k.det_id AS det_id, k.score AS score FROM (SELECT image, unnest(kept) AS k FROM done)"""
+  FROM {source}_walk w JOIN {source}_ranked r ON r.image = w.image AND r.rn = w.rn + 1),
+{source}_kept AS (
+  SELECT image, unnest(kept) AS k FROM (SELECT image, max_by(kept, rn) AS kept FROM {source}_walk GROUP BY image))"""
+
 
+def suppression(threshold: str) -> str:
+    return f"""WITH RECURSIVE {BOXES},
+{kept_of('dets', threshold)}
+SELECT image, k.det_id AS det_id, k.score AS score FROM dets_kept"""
 
-MATCHES = f"""{BOXES},
+
+MATCHING = f"""
 pairs AS (
   SELECT d.image, d.det_id, list(t.object_id ORDER BY {iou('d', 't')} DESC, t.object_id) AS near
   FROM dets d JOIN truth t ON t.image = d.image AND {iou('d', 't')} >= 0.5e0 GROUP BY d.image, d.det_id),
@@ -216,6 +230,27 @@ matches AS (
   SELECT image, coalesce(tp, 0) AS tp, n_pred - coalesce(tp, 0) AS fp, n_gt - coalesce(tp, 0) AS fn, n_gt, n_pred
   FROM sides LEFT JOIN hits USING (image))"""
 
+MATCHES = f"{BOXES}, {MATCHING}"
+
+SCANNED = f"""{ALL_BOXES}, {GRID},
+valued AS (
+  SELECT *, (x * 7919 + y * 104729 + image * 31) % 999983 / 999983e0 + scale * -0.05e0 AS score FROM grid),
+found AS (
+  SELECT image, CAST(row_number() OVER (PARTITION BY image ORDER BY score DESC, scale) AS BIGINT) AS det_id, score,
+    CAST(trunc(x / scale) AS INTEGER) AS x1, CAST(trunc(y / scale) AS INTEGER) AS y1,
+    CAST(trunc((x + 64) / scale) AS INTEGER) AS x2, CAST(trunc((y + 128) / scale) AS INTEGER) AS y2
+  FROM valued WHERE score >= 0.93e0),
+{kept_of('found', '0.3e0')},
+dets AS (SELECT image, k.det_id AS det_id, k.score AS score, k.x1 AS x1, k.y1 AS y1, k.x2 AS x2, k.y2 AS y2 FROM found_kept),
+{MATCHING}"""
+
+
+def totals(matches: str) -> str:
+    return f"""WITH RECURSIVE {matches}, sums AS (SELECT CAST(sum(tp) AS BIGINT) AS tp, CAST(sum(fp) AS BIGINT) AS fp, CAST(sum(fn) AS BIGINT) AS fn FROM matches),
+        rates AS (SELECT *, {share('tp', 'tp + fp')} AS p, {share('tp', 'tp + fn')} AS r FROM sums)
+        SELECT tp, fp, fn, {rounded('p', 4)} AS precision, {rounded('r', 4)} AS recall, {rounded(share('2e0 * p * r', 'p + r'), 4)} AS f1 FROM rates"""
+
+
 MATCHED_BOXES = f"WITH RECURSIVE {MATCHES} SELECT image, tp, fp, fn, n_gt, n_pred FROM matches"
 
 BACKGROUND = f"""{BOXES},
@@ -606,18 +641,13 @@ _ORACLES: dict[str, str] = {
     "suppressed_boxes_in_rounds": suppression("0.3e0"),
     "matched_boxes": MATCHED_BOXES,
     "matched_boxes_in_rounds": MATCHED_BOXES,
-    "detection_totals": f"""WITH RECURSIVE {MATCHES}, sums AS (SELECT CAST(sum(tp) AS BIGINT) AS tp, CAST(sum(fp) AS BIGINT) AS fp, CAST(sum(fn) AS BIGINT) AS fn FROM matches),
-        rates AS (SELECT *, {share('tp', 'tp + fp')} AS p, {share('tp', 'tp + fn')} AS r FROM sums)
-        SELECT tp, fp, fn, {rounded('p', 4)} AS precision, {rounded('r', 4)} AS recall, {rounded(share('2e0 * p * r', 'p + r'), 4)} AS f1 FROM rates""",
+    "detection_totals": totals(MATCHES),
+    "scanned_images": totals(SCANNED),
     "sampled_background": f"WITH {BACKGROUND} SELECT image, CAST(attempt AS INTEGER) AS attempt, x1, y1, x2, y2 FROM sampled",
     "training_boxes": f"WITH {STACKED} SELECT * FROM stacked",
     "training_counts": f"""WITH {STACKED}, n AS (SELECT count(*) FILTER (WHERE label = 1) AS positives, count(*) FILTER (WHERE label = 0) AS negatives FROM stacked)
         SELECT positives, negatives, {rounded('CAST(negatives AS DOUBLE) / nullif(CAST(positives AS DOUBLE), 0)', 2)} AS negatives_per_positive FROM n""",
-    "detection_windows": f"""WITH {BOXES},
-        sized AS (SELECT image, scale, greatest(64, CAST(floor(width * scale) AS INTEGER)) AS nw, greatest(128, CAST(floor(height * scale) AS INTEGER)) AS nh
-        FROM images, (VALUES {', '.join(f'({s}::DOUBLE)' for s in PYRAMID_SCALES)}) AS l(scale)),
-        rows AS (SELECT *, unnest(range(0, nh - 128 + 1, 16)) AS y FROM sized),
-        grid AS (SELECT *, unnest(range(0, nw - 64 + 1, 16)) AS x FROM rows)
+    "detection_windows": f"""WITH {ALL_BOXES}, {GRID}
         SELECT image, scale, count(*) AS windows, CAST(sum(trunc(x / scale)) AS BIGINT) AS sum_x1, CAST(sum(trunc(y / scale)) AS BIGINT) AS sum_y1,
         CAST(sum(trunc((x + 64) / scale)) AS BIGINT) AS sum_x2, CAST(sum(trunc((y + 128) / scale)) AS BIGINT) AS sum_y2
         FROM grid GROUP BY image, scale""",

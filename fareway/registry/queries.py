@@ -795,6 +795,18 @@ def detection_totals(spark, sf):
     )
 
 
+@query
+def scanned_images(spark, sf):
+    """Windows of every image scored by fixed weights, suppressed, matched, rated."""
+    place = (F.col("x") * 7919 + F.col("y") * 104729 + F.col("image") * 31) % 999983 / F.lit(999983.0)
+    windows = X.window_grid(B.images(spark, sf)).withColumn("features", F.array(place, F.col("scale")))
+    found = detection.detections(L.linear_scores(windows, (1.0, -0.05), 0.0, "features"), 0.93)
+    totals = detection.evaluate(found, B.truth_boxes(spark, sf), suppression=None)
+    return totals.select(
+        "tp", "fp", "fn", *[round_half_up(F.col(c), 4).alias(c) for c in ("precision", "recall", "f1")]
+    )
+
+
 @query
 def sampled_background(spark, sf):
     """W7, H: per image only, without the overall cap."""
