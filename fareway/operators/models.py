@@ -33,6 +33,14 @@ def hash_split(
     return df.filter(place < percent), df.filter(place >= percent)
 
 
+def hash_part(
+    df: DataFrame, keys: Sequence[str] = DEMAND_KEY, seed: int = SPLIT_SEED, percent: int = 75
+) -> DataFrame:
+    """The rows of ``hash_split`` in one pass, with ``part`` train or test."""
+    place = C.key_hash(*keys, seed=seed) % 100
+    return df.withColumn("part", F.when(place < percent, "train").otherwise("test"))
+
+
 _SPLIT_BITS = 16
 
 
@@ -107,6 +115,18 @@ def sample_counts(df: DataFrame, label: str = "label", in_train: str | None = No
 # --- demand models --------------------------------------------------------------------
 
 
+def zone_index(zone: str = "pickup_zone") -> StringIndexer:
+    """Index of a zone by falling count, equal counts by name; zones not seen share the next index."""
+    return StringIndexer(inputCol=zone, outputCol=f"{zone}_index", handleInvalid="keep")
+
+
+def check_zones(df: DataFrame, zone: str = "pickup_zone", most: int = 50_000) -> None:
+    """Refuse a table of more than ``most`` zones: their labels, and a vector as wide, reach driver and every row."""
+    zones = df.select(zone).distinct().count()
+    if zones > most:
+        raise ValueError(f"{zones} values of {zone}, more than {most}: group them before a model is trained")
+
+
 def demand_pipeline(
     estimator: Estimator,
     zone: str = "pickup_zone",
@@ -118,7 +138,7 @@ def demand_pipeline(
     ``scale`` standardises the numeric features first.
     """
     stages: list = [
-        StringIndexer(inputCol=zone, outputCol=f"{zone}_index", handleInvalid="keep"),
+        zone_index(zone),
         OneHotEncoder(inputCols=[f"{zone}_index"], outputCols=[f"{zone}_vec"]),
     ]
     inputs = list(numeric)

@@ -51,13 +51,15 @@ def train_demand_models(
     """Fit both pipelines on three quarters of the rows.
 
     The averages among the features come from the same trips that are counted as
-    demand, so the models describe demand; they do not forecast it.
+    demand, so the models describe demand; they do not forecast it. A table of too many
+    zones is refused before training (``models.check_zones``).
     """
     # training passes over its rows many times, so the features are written once, in as
     # many files as there are shuffle partitions: the trees are grown in that many tasks
     width = int(features.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = models.labelled(features).repartition(width, *models.DEMAND_KEY)
     table = materialize(spread, "demand-features")
+    models.check_zones(table)
     train, test = models.hash_split(table, seed=seed)
     linear = models.demand_pipeline(models.linear_model(), scale=scale).fit(train)
     forest = models.demand_pipeline(

@@ -484,7 +484,7 @@ def all_oracles() -> dict[str, str]:
 
 
 _ORACLES: dict[str, str] = {
-    "table_scan": "SELECT l_orderkey, l_linenumber, l_shipdate FROM lineitem WHERE l_quantity >= 25",
+    "table_scan": "SELECT l_orderkey, l_linenumber, l_quantity, l_shipdate FROM lineitem",
     "raw_trip_names": f"""SELECT CAST(p AS INTEGER) AS position, n AS "column", (SELECT count(*) FROM events) AS rows
         FROM {rows_of([(i + 1, n) for i, n in enumerate(RAW_NAMES)], 'p, n')}""",
     "typed_raw_trips": f"""WITH {TRIP_ROWS} SELECT event_id,
@@ -652,6 +652,11 @@ _ORACLES: dict[str, str] = {
         CAST(sum(trunc((x + 64) / scale)) AS BIGINT) AS sum_x2, CAST(sum(trunc((y + 128) / scale)) AS BIGINT) AS sum_y2
         FROM grid GROUP BY image, scale""",
     "hash_split": f"WITH {SPLIT} SELECT pickup_date, pickup_hour, pickup_zone, CASE WHEN is_train THEN 'train' ELSE 'test' END AS part FROM parts",
+    "zone_indexes": f"""WITH {FEATURES} SELECT pickup_zone, CAST(row_number() OVER (ORDER BY count(*) DESC, pickup_zone) - 1 AS INTEGER) AS zone_index
+        FROM features GROUP BY pickup_zone""",
+    "assembled_features": f"""WITH {FEATURES} SELECT pickup_date, pickup_hour, pickup_zone,
+        [CAST(pickup_hour AS DOUBLE), CAST(pickup_weekday AS DOUBLE), CAST(is_weekend AS DOUBLE), avg_distance, avg_fare, avg_duration_min] AS vector
+        FROM features""",
     "stratified_split": f"WITH {stratified('event_type')} SELECT event_id, event_type, in_train FROM split",
     "split_counts": f"""WITH {stratified("CASE WHEN event_type IN ('purchase', 'signup') THEN 1 ELSE 0 END")},
         n AS (SELECT count(*) FILTER (WHERE label = 1) AS positives, count(*) FILTER (WHERE label = 0) AS negatives,

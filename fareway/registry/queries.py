@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,7 +68,7 @@ def table_scan(spark, sf):
     """Declared schema, only the needed columns read."""
     schema = "l_orderkey BIGINT, l_linenumber INT, l_quantity DOUBLE, l_shipdate TIMESTAMP_NTZ"
     df = tables.read_table(spark, f"{sf}/lineitem.parquet", flat_schema(schema))
-    return df.filter(F.col("l_quantity") >= 25).select("l_orderkey", "l_linenumber", "l_shipdate")
+    return df.select("l_orderkey", "l_linenumber", "l_quantity", "l_shipdate")
 
 
 @query
@@ -472,22 +474,24 @@ def stored_records(spark, sf):
 
 
 def _gold(spark, sf):
+    """Metric tables over a stored cube, the cube, clean trips."""
     clean = B.clean(spark, sf)
-    return warehouse.gold_tables(M.trip_cube(clean), clean), clean
+    cube = materialize(M.trip_cube(clean), "cube")
+    return warehouse.gold_tables(cube, clean), cube, clean
 
 
 @query
 def dashboard_small(spark, sf):
     """S8."""
-    gold, _ = _gold(spark, sf)
+    gold, _, _ = _gold(spark, sf)
     return warehouse.small_bundle(gold)
 
 
 @query
 def dashboard_full(spark, sf):
     """Metric, analysis and quality sections."""
-    gold, clean = _gold(spark, sf)
-    analysis = warehouse.analysis_tables(M.trip_cube(clean), clean)
+    gold, cube, clean = _gold(spark, sf)
+    analysis = warehouse.analysis_tables(cube, clean)
     report = K.quality_report(B.trips(spark, sf))
     return warehouse.full_bundle(gold, analysis, {"silver": (report, ["before_rows"])})
 
@@ -495,7 +499,7 @@ def dashboard_full(spark, sf):
 @query
 def dashboard_sections(spark, sf):
     """sections that have records."""
-    gold, _ = _gold(spark, sf)
+    gold, _, _ = _gold(spark, sf)
     return R.filled_sections(warehouse.small_bundle(gold))
 
 
@@ -839,9 +843,23 @@ def detection_windows(spark, sf):
 @query
 def hash_split(spark, sf):
     """M1."""
-    train, test = L.hash_split(M.demand_features(B.clean(spark, sf)))
-    tagged = [df.select(*L.DEMAND_KEY, F.lit(part).alias("part")) for df, part in ((train, "train"), (test, "test"))]
-    return tagged[0].unionByName(tagged[1])
+    return L.hash_part(M.demand_features(B.clean(spark, sf))).select(*L.DEMAND_KEY, "part")
+
+
+@query
+def zone_indexes(spark, sf):
+    """M3: index of every zone of the feature table."""
+    features = M.demand_features(B.clean(spark, sf))
+    indexed = L.zone_index().fit(features).transform(features.select("pickup_zone").distinct())
+    return indexed.select("pickup_zone", F.col("pickup_zone_index").cast("int").alias("zone_index"))
+
+
+@query
+def assembled_features(spark, sf):
+    """M4: numeric features of every row as one vector."""
+    features = M.demand_features(B.clean(spark, sf))
+    rows = VectorAssembler(inputCols=list(L.NUMERIC_FEATURES), outputCol="vector").transform(features)
+    return rows.select(*L.DEMAND_KEY, vector_to_array("vector").alias("vector"))
 
 
 @query

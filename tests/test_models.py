@@ -128,3 +128,10 @@ def test_full_matrix_and_averages(spark):
         "weighted avg": (0.6667, 0.3333, 0.4444, 3),
     }
     assert L.full_confusion_matrix(df.limit(0)).count() == 0
+
+
+def test_too_many_zones_are_refused(spark):
+    zones = spark.createDataFrame([("a",), ("b",), ("b",)], "pickup_zone STRING")
+    L.check_zones(zones, most=2)
+    with pytest.raises(ValueError, match="2 values of pickup_zone, more than 1"):
+        L.check_zones(zones, most=1)
