@@ -151,8 +151,6 @@ class PieceMerger:
         return result
 
     def _learn(self, tokens: set[str]) -> None:
-        if len(self.known) + len(tokens) > _REMEMBERED:
-            self.known.clear()
         # like lengths share a batch, so that few rounds serve it
         todo, size = [], 0
         for token in sorted(tokens, key=len):
@@ -178,11 +176,12 @@ class PieceMerger:
         return counts + self._settle(held, missing)
 
     def _settle(self, held, missing) -> list[int]:
-        known = self.known
+        if len(self.known) + len(missing) > _REMEMBERED:
+            # words that the held texts need stay, however many they are
+            self.known = {t: self.known[t] for _, tokens in held for t in tokens if t in self.known}
         if missing:
             self._learn(missing)
-            if any(t not in self.known for _, tokens in held for t in tokens):
-                self._learn({t for _, tokens in held for t in tokens} - self.known.keys())
+        known = self.known
         return [lines + sum(map(known.__getitem__, tokens)) for lines, tokens in held]
 
 
