@@ -5,6 +5,8 @@ partition of sizes up to u a document is cut into windows of 2u shingles that st
 every u, so an item of the partition that stands in the document lies whole in one
 window, however long the document is. The containment threshold becomes a Jaccard
 threshold for window and item sizes of the partition, and that the shape of the bands.
+Items too small for any shape of the bands are looked up by some of their shingles instead,
+of which a document that holds the item to the threshold has at least one.
 Candidates are verified: the exact share of an item's shingles found in the whole document.
 """
 
@@ -32,14 +34,14 @@ def words(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(PLAIN).split()
 
 
-def bands(jaccard: float) -> tuple[int, int]:
-    """Most rows a band, and bands, that still find a pair of this similarity but for ``_MISS``."""
-    for rows in range(8, 1, -1):
+def bands(jaccard: float) -> tuple[int, int] | None:
+    """Bands, and most rows a band, that still find a pair of this similarity but for ``_MISS``; None if no shape does."""
+    for rows in range(8, 0, -1):
         hit = jaccard**rows
         count = math.ceil(math.log(_MISS) / math.log1p(-hit)) if hit < 1 else 1
         if count * rows <= MINIMA:
             return count, rows
-    return MINIMA, 1
+    return None
 
 
 class Items:
@@ -51,6 +53,7 @@ class Items:
         self.short: dict[int, list[tuple[int, int]]] = {}
         self.sets: list[tuple[int, np.ndarray]] = []
         sizes: dict[int, list[int]] = {}
+        prefixes, prefix_owners = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
         for item_id, text in rows:
             own = codes.of(words(text))
             if not len(own):
@@ -62,22 +65,28 @@ class Items:
             upper = _SMALLEST
             while upper < len(own):
                 upper *= 2
-            sizes.setdefault(upper, []).append(len(self.sets))
+            if self._shape(len(own), upper) is None:
+                # a document without any of these misses more than the threshold allows
+                prefix = own[: len(own) - max(1, math.ceil(threshold * len(own) - 1e-9)) + 1]
+                prefixes.append(prefix), prefix_owners.append(np.full(len(prefix), len(self.sets)))
+            else:
+                sizes.setdefault(upper, []).append(len(self.sets))
             self.sets.append((item_id, own))
+        self.exact = _index(np.concatenate(prefixes), np.concatenate(prefix_owners))
         self.partitions = []
         for upper, members in sorted(sizes.items()):
             lower = min(len(self.sets[m][1]) for m in members)
-            count, per_band = bands(threshold * lower / (2 * upper + (1 - threshold) * lower))
+            count, per_band = self._shape(lower, upper)
             keys, owners = [], []
             for m in members:
                 found = _band_keys(_minima(self.sets[m][1], np.array([0])), count, per_band)[0]
                 keys.append(found)
                 owners.append(np.full(len(found), m))
-            keys, owners = np.concatenate(keys), np.concatenate(owners)
-            order = np.argsort(keys, kind="stable")
-            seen = np.zeros(1 << 20, bool)
-            seen[keys >> np.uint64(44)] = True
-            self.partitions.append((upper, count, per_band, keys[order], owners[order], seen))
+            self.partitions.append((upper, count, per_band, *_index(np.concatenate(keys), np.concatenate(owners))))
+
+    def _shape(self, size: int, upper: int) -> tuple[int, int] | None:
+        """Shape of the bands for items of ``size`` shingles in the partition up to ``upper``."""
+        return bands(self.threshold * size / (2 * upper + (1 - self.threshold) * size))
 
     def search(self, codes: np.ndarray) -> list[tuple[int, int, int]]:
         """item, shingles found and shingles of every item contained in the document to the threshold."""
@@ -86,15 +95,15 @@ class Items:
             if len(codes) >= length:
                 mine = set(shingles(codes, length).tolist())
                 out += [(item, 1, 1) for item, code in items if code in mine]
-        if len(codes) < self.n or not self.partitions:
+        if len(codes) < self.n or not self.sets:
             return out
         grams = shingles(codes, self.n)
-        candidates: set[int] = set()
-        smallest = self.partitions[0][0]
+        candidates = _owners(grams, *self.exact)
+        smallest = self.partitions[0][0] if self.partitions else _SMALLEST
         # minima over blocks of the smallest size; larger partitions join neighbouring blocks
-        largest = self.partitions[-1][0]
+        largest = self.partitions[-1][0] if self.partitions else _SMALLEST
         chunk = max(_CHUNK, 8 * largest)
-        for begin in range(0, len(grams), chunk):
+        for begin in range(0, len(grams) if self.partitions else 0, chunk):
             part = grams[begin : begin + chunk + 2 * largest]
             blocks, size = _minima(part, np.arange(0, len(part), smallest)), smallest
             for upper, count, per_band, keys, owners, seen in self.partitions:
@@ -103,11 +112,7 @@ class Items:
                         blocks = np.concatenate([blocks, blocks[-1:]])
                     blocks, size = np.minimum(blocks[::2], blocks[1::2]), size * 2
                 windows = np.minimum(blocks[:-1], blocks[1:]) if len(blocks) > 1 else blocks
-                found = _band_keys(windows, count, per_band).reshape(-1)
-                found = found[seen[found >> np.uint64(44)]]
-                low, high = np.searchsorted(keys, found, "left"), np.searchsorted(keys, found, "right")
-                for a, b in zip(low[low < high], high[low < high], strict=True):
-                    candidates.update(owners[a:b].tolist())
+                candidates |= _owners(_band_keys(windows, count, per_band).reshape(-1), keys, owners, seen)
         if candidates:
             grams = distinct(grams)
             for m in sorted(candidates):
@@ -119,6 +124,25 @@ class Items:
         return out
 
 
+def _index(keys: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys in order, their owners, and which upper 20 bits occur."""
+    order = np.argsort(keys, kind="stable")
+    seen = np.zeros(1 << 20, bool)
+    seen[keys >> np.uint64(44)] = True
+    return keys[order], owners[order], seen
+
+
+def _owners(found: np.ndarray, keys: np.ndarray, owners: np.ndarray, seen: np.ndarray) -> set[int]:
+    """Owners of the keys among ``found``."""
+    out: set[int] = set()
+    if len(keys):
+        found = found[seen[found >> np.uint64(44)]]
+        low, high = np.searchsorted(keys, found, "left"), np.searchsorted(keys, found, "right")
+        for a, b in zip(low[low < high], high[low < high], strict=True):
+            out.update(owners[a:b].tolist())
+    return out
+
+
 def _minima(codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Minima of every hash over each block of codes: blocks x hashes."""
     return np.minimum.reduceat(codes[None, :] * _A[:, None] + _B[:, None], starts, axis=1).T
@@ -151,8 +175,8 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, n: int = 5, threshold
     Sets are the distinct ``n``-word shingles of whole texts; n_item is the size of the
     item's set, n_shared how many of them the document holds, containment their ratio,
     ``threshold`` at least. An item of fewer words than ``n`` is one shingle of its own
-    length. An item in one piece is missed with probability 1e-5; scattered pieces count
-    once some window makes the item a candidate. Items without words match nothing, as do
+    length. An item in one piece is missed with probability 1e-5 at most; scattered pieces count
+    once some window makes the item a candidate; items too small for the bands are never missed. Items without words match nothing, as do
     null and empty texts. Null ids stay null; repeated documents and repeated items give
     a row each. The benchmark is searched in blocks of bounded size, one pass over the
     documents each. Empty tables give no rows; other columns are not read.
