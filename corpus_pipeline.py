@@ -10,15 +10,13 @@ from fareway.llm.common import table
 from fareway.llm.queries import END_ID, tokenizer_file
 from fareway.session import new_folder
 
-#: Least score of a document whose language counts as found.
-LEAST_SCORE = 0.05
-
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that is found; profiles are learned from the documents themselves."""
+    """Documents in a language that is found; profiles and least scores are learned from the documents themselves."""
     profiles = language.load_profiles(language.learn_profiles(docs))
     found = language.identify(docs.select(F.struct(*docs.columns).alias("row"), "text"), profiles)
-    found = found.filter((F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= LEAST_SCORE))
+    # at most one row a language, and no row for an undetermined one
+    found = found.join(F.broadcast(language.least_scores(docs, profiles)), "lang_pred").filter("score >= least")
     return found.select("row.*")
 
 
