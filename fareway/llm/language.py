@@ -148,19 +148,20 @@ def identify(docs: DataFrame, profiles: Profiles) -> DataFrame:
     return append(docs, "lang_pred string, score double", predict)
 
 
-def least_scores(docs: DataFrame, profiles: Profiles, distance: float = 6.0, steps: int = 1000) -> DataFrame:
+def least_scores(docs: DataFrame, profiles: Profiles, distance: float = 6.0, least_gap: float = 0.05, steps: int = 1000) -> DataFrame:
     """lang_pred and least: the score below which a text is not in the language, for each language of ``profiles``.
 
     It lies ``distance`` times the gap between median and lower quartile below the median
     of the scores of the documents that are labelled with the language and found to be
     in it, so up to a quarter of them may be noise. A language of few documents takes the
     gap of all languages if that is wider, and a language without any their median too.
-    Scores are counted in ``steps`` steps, every row of ``docs``, in any partitioning alike.
+    No gap is narrower than ``least_gap``. Scores are counted in ``steps`` steps, those of
+    equal texts once, over every row of ``docs``, in any partitioning alike.
     """
     # labelled like the learned rows; a label is compared as it is, without regard to what identify() adds
     rows = docs.select(F.col("lang").cast("string").alias("label"), "text").dropna()
     found = identify(rows, profiles).filter("label = lang_pred")
-    counted = found.groupBy("lang_pred", F.floor(F.col("score") * steps).cast("long").alias("step")).agg(F.count("*").alias("n"))
+    counted = found.groupBy("lang_pred", F.floor(F.col("score") * steps).cast("long").alias("step")).agg(F.count_distinct(F.xxhash64("text")).alias("n"))
     held: dict[str, dict[int, int]] = {}
     together: dict[int, int] = {}
     for row in counted.collect():
@@ -175,7 +176,7 @@ def least_scores(docs: DataFrame, profiles: Profiles, distance: float = 6.0, ste
     out = []
     for lang in profiles.langs if together else ():
         middle = quantile(held.get(lang, together), 0.5)
-        gap = max(middle - quantile(held.get(lang, together), 0.25), quantile(together, 0.5) - quantile(together, 0.25), 1 / steps)
+        gap = max(middle - quantile(held.get(lang, together), 0.25), quantile(together, 0.5) - quantile(together, 0.25), least_gap)
         out.append((lang, middle - distance * gap))
     return docs.sparkSession.createDataFrame(out, "lang_pred string, least double")
 

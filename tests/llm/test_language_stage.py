@@ -41,3 +41,13 @@ def test_least_scores_of_rare_languages(spark):
     found = {r["lang_pred"]: r["least"] for r in language.least_scores(some, profiles).collect()}
     scores = {r["lang"]: r["score"] for r in language.identify(some, profiles).collect() if r["lang"] and r["text"]}
     assert set(found) == {"en", "fr"} and all(found[lang] <= scores[lang] for lang in found)
+
+
+def test_copies_do_not_narrow_a_language(spark, sf_dir):
+    import corpus_pipeline
+
+    clean = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    longest = clean.filter("lang = 'en'").orderBy(F.desc(F.length("text")), "doc_id").limit(1)
+    copies = longest.withColumn("doc_id", F.explode(F.sequence(F.lit(10_000).cast("long"), F.lit(10_999).cast("long"))))
+    docs = clean.unionByName(copies.select(*clean.columns))
+    assert corpus_pipeline.language_stage(spark, docs, sf_dir).count() == corpus_pipeline.language_stage(spark, clean, sf_dir).count() + 1000
