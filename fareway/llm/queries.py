@@ -14,7 +14,10 @@ from fareway.llm import (
     mixing,
     near_dup,
     neighbours,
+    prefix_trie,
     quality,
+    simhash,
+    spelling,
     substring_dedup,
     token_counts,
     token_ids,
@@ -90,9 +93,24 @@ def op10_source_mix(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(table(spark, sf, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    """Words of the corpus with their commoner spellings."""
+    return spelling.spelling_variants(table(spark, sf, "documents"))
+
+
+def op12_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    """SimHash group of every document, by four-word shingles and four differing bits."""
+    return simhash.simhash_groups(table(spark, sf, "documents"), n=4, budget=4)
+
+
+def op13_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    """Nodes of the prefix trie of all conversations."""
+    return prefix_trie.prefix_trie(table(spark, sf, "conversations"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_substring_dedup, op2_decontamination, op3_language_id, op4_quality, op5_license_scan, op6_token_ids,
-        op7_nearest_neighbours, op8_near_duplicates, op9_token_counts, op10_source_mix,
+        op7_nearest_neighbours, op8_near_duplicates, op9_token_counts, op10_source_mix, op11_spelling_variants, op12_simhash, op13_prefix_trie,
     ]
     return {fn.__name__: fn for fn in found}
