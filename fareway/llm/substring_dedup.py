@@ -106,7 +106,8 @@ def duplicate_windows(docs: DataFrame, window: int = 20) -> DataFrame:
             }
 
     schema = "doc_id long, content long, start int, size int, minimiser long, hits int"
-    found = map_rows(texts, schema, find)
+    # read twice: for the minimisers' counts, and for the runs of those that repeat
+    found = materialize(map_rows(texts, schema, find), "runs")
     often = found.groupBy("minimiser").agg(F.sum("hits").alias("times")).filter("times > 1").select("minimiser")
     suspects = (
         found.join(often, "minimiser", "left_semi")
