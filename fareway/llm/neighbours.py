@@ -6,11 +6,13 @@ centroid. A scan adds up squared distances block by block; after each block a
 hypothesis test abandons the candidates whose distance, judged from the dimensions
 seen, exceeds the tenth best so far. Survivors get their exact distance in double
 precision from the original vectors. Equal vectors are indexed once, with the
-smallest ids that can be among the answers.
+smallest ids that can be among the answers. Neighbouring lists make up bundles, one to
+a task, so that a query goes to a task once and its bound holds for all lists there.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 
 import numpy as np
@@ -25,7 +27,7 @@ from fareway.session import materialize
 BLOCK = 16
 #: Strictness of the test; a true neighbour is abandoned with a probability of about exp(-EPSILON^2).
 EPSILON = 2.1
-#: Vectors of a list in one task.
+#: Vectors of a bundle of lists, and queries, in one task.
 _TASK_ROWS = 4096
 _TASK_QUERIES = 512
 
@@ -57,16 +59,12 @@ class Index:
 
 
 def valid_vectors(rows: DataFrame, id_col: str = "vec_id", column: str = "embedding") -> DataFrame:
-    """vec_id and vec (doubles) of rows with an id and a vector that is not null, empty or zero and has only finite components.
-
-    Vectors of another length than most are left out as well: no distance is defined.
-    """
+    """vec_id and vec (doubles) of rows with an id and a vector that is not null, empty or zero and has only finite components."""
     vec = F.col(column).cast("array<double>")
     rows = rows.select(F.col(id_col).cast("long").alias("vec_id"), F.transform(vec, lambda x: x + F.lit(0.0)).alias("vec"))
     finite = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-    rows = rows.filter(F.col("vec_id").isNotNull() & F.col("vec").isNotNull()).filter(finite & F.exists("vec", lambda x: x != 0))
-    usual = rows.groupBy(F.size("vec").alias("n")).agg(F.count("*").alias("rows")).orderBy(F.desc("rows"), "n").limit(1).collect()
-    return rows.filter(F.size("vec") == usual[0]["n"]) if usual else rows
+    rows = rows.filter(F.col("vec_id").isNotNull() & F.col("vec").isNotNull())
+    return rows.filter(finite & F.exists("vec", lambda x: x != 0))
 
 
 def fit_index(classes: DataFrame, lists: int | None = None, sample: int = 16_384) -> Index | None:
@@ -78,23 +76,57 @@ def fit_index(classes: DataFrame, lists: int | None = None, sample: int = 16_384
     return Index(np.array([r["vec"] for r in rows.select("vec").collect()], float), lists or math.ceil(math.sqrt(count)))
 
 
-def scan(rotated: np.ndarray, query: np.ndarray, k: int, worst: float) -> np.ndarray:
-    """Rows that may be among the ``k`` nearest, or nearer than ``worst``, by the adaptive test."""
-    dims = rotated.shape[1]
-    alive, partial = np.arange(len(rotated)), np.zeros(len(rotated))
+def scan(blocks: list[np.ndarray], query: np.ndarray, rows: np.ndarray, k: int) -> np.ndarray:
+    """Those of ``rows`` that may be among the ``k`` nearest, by the adaptive test; ``k`` of them at least, if there are as many.
+
+    ``blocks`` are the columns of the rotated vectors; nearer lists should come first among ``rows``.
+    """
+    dims = sum(b.shape[1] for b in blocks)
+    parts = np.split(query, np.cumsum([b.shape[1] for b in blocks])[:-1])
     # the first rows are measured whole: the k-th of them is the first bound
-    head = ((rotated[: 4 * k] - query) ** 2).sum(1)
-    if len(head) >= k:
-        worst = min(worst, np.partition(head, k - 1)[k - 1])
-    for begin in range(0, dims, BLOCK):
-        end = min(begin + BLOCK, dims)
-        partial = partial + ((rotated[alive, begin:end] - query[begin:end]) ** 2).sum(1)
+    head = rows[: 4 * k]
+    whole = sum(((b[head] - q) ** 2).sum(1) for b, q in zip(blocks, parts, strict=True))
+    if len(head) < k:
+        return rows
+    best = np.argpartition(whole, k - 1)[:k]
+    worst = whole[best].max()
+    alive, partial, end = rows, np.zeros(len(rows)), 0
+    for block, part in zip(blocks, parts, strict=True):
+        partial = partial + ((block[alive] - part) ** 2).sum(1)
+        end += len(part)
         factor = 1.0 if end == dims else (1 + EPSILON / math.sqrt(end)) ** 2 * end / dims
         keep = partial <= worst * factor * (1 + 1e-9)
         alive, partial = alive[keep], partial[keep]
     if len(alive) > k:
         alive = alive[partial <= np.partition(partial, k - 1)[k - 1] * (1 + 1e-9)]
-    return alive
+    # the test may abandon some of the best: those measured whole stay
+    return np.union1d(alive, head[best])
+
+
+class Bundles:
+    """Which bundle a vector of a list lies in: lists in a row, or a part of a large list."""
+
+    def __init__(self, sizes: dict[int, tuple[int, int]], lists: int, k: int):
+        rows = np.array([sizes.get(i, (0, 0))[0] for i in range(lists)], np.int64)
+        #: Candidates a list holds.
+        self.ids = np.array([sizes.get(i, (0, 0))[1] for i in range(lists)], np.int64)
+        self.k = k
+        self.parts = np.maximum(1, -(-rows // _TASK_ROWS))
+        self.first = np.zeros(lists, np.int64)
+        at, held = 0, 0
+        for i, n in enumerate(rows):
+            if held and (held + n > _TASK_ROWS or self.parts[i] > 1):
+                at, held = at + 1, 0
+            self.first[i] = at
+            if self.parts[i] > 1:
+                at, held = at + int(self.parts[i]), 0
+            else:
+                held += n
+
+    def probed(self, near: np.ndarray, least: int) -> np.ndarray:
+        """Lists to search, nearest first: ``least`` of them, and more until they hold k + 1 candidates."""
+        enough = np.searchsorted(np.cumsum(self.ids[near]), self.k + 1) + 1
+        return near[: max(least, int(enough))]
 
 
 def nearest(rows: DataFrame, queries: DataFrame, k: int = 10, lists: int | None = None, probe: float = 0.6,
@@ -103,15 +135,27 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 10, lists: int | None
 
     ``queries`` has the columns of ``rows``. score is the Euclidean distance of the original
     vectors in double precision; ties go to the smaller id; the query's own id is no
-    candidate. A query probes the share ``probe`` of the lists, nearest centroid first. Rows
-    without an id, null, zero or wrongly sized vectors and those with null or non-finite
-    components take no part; rows with an id that repeats are one candidate for each
-    distinct vector. An empty table gives no rows; other columns are not read. The index is
-    fitted on a bounded sample and holds every row.
+    candidate. A query probes the share ``probe`` of the lists, nearest centroid first, and
+    more until they hold ``k`` candidates, so fewer answers come only where there are fewer
+    rows. Rows without an id, null or zero vectors and those with null or non-finite
+    components take no part; vectors of each length are searched among themselves; rows
+    with an id that repeats are one candidate for each distinct vector. An empty table gives no rows;
+    other columns are not read. The index is fitted on a bounded sample and holds every row.
     """
     spark = rows.sparkSession
-    schema = "query_id long, rank int, vec_id long, score double"
     found = materialize(valid_vectors(rows, id_col, column).distinct(), "vectors")
+    asked = materialize(valid_vectors(queries, id_col, column).distinct(), "asked")
+    # one length, unless the table mixes vectors of several models
+    lengths = sorted(r["n"] for r in asked.select(F.size("vec").alias("n")).distinct().collect())
+    parts = [_nearest(*(t.filter(F.size("vec") == n) for t in (found, asked)), k, lists, probe) for n in lengths]
+    parts = [p for p in parts if p is not None]
+    if not parts:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def _nearest(found: DataFrame, asked: DataFrame, k: int, lists: int | None, probe: float) -> DataFrame | None:
+    spark = found.sparkSession
     # at most k + 1 ids of equal vectors can matter: k answers and the query itself
     order = Window.partitionBy("vec").orderBy("vec_id")
     classes = (
@@ -121,9 +165,9 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 10, lists: int | None
     classes = materialize(classes, "vector-classes")
     index = fit_index(classes, lists)
     if index is None:
-        return spark.createDataFrame([], schema)
+        return None
     shared = spark.sparkContext.broadcast(index)
-    probes = max(1, math.ceil(probe * len(index.centroids)))
+    least = max(1, math.ceil(probe * len(index.centroids)))
 
     def place(batches):
         model = shared.value
@@ -132,58 +176,85 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 10, lists: int | None
             yield {"vec": batch["vec"], "ids": batch["ids"], "list": model.nearest_lists(x @ model.rotation, 1)[:, 0]}
 
     placed = materialize(map_rows(classes, "vec array<double>, ids array<long>, list int", place), "lists")
-    sizes = placed.groupBy("list").agg(F.count("*").alias("rows")).withColumn("parts", F.ceil(F.col("rows") / _TASK_ROWS).cast("int"))
-    indexed = placed.join(sizes.select("list", "parts"), "list").withColumn("part", F.pmod(F.xxhash64("vec"), F.col("parts")).cast("int"))
+    # a row for each list, as many as centroids
+    sizes = placed.groupBy("list").agg(F.count("*").alias("rows"), F.sum(F.size("ids")).alias("ids")).collect()
+    bundles = spark.sparkContext.broadcast(Bundles({r["list"]: (r["rows"], r["ids"]) for r in sizes}, len(index.centroids), k))
+
+    def bundle(batches):
+        layout = bundles.value
+        for batch in batches:
+            at = np.asarray(batch["list"])
+            yield {
+                "bundle": layout.first[at] + np.asarray(batch["share"]) % layout.parts[at], "list": at,
+                "vec": batch["vec"], "ids": batch["ids"],
+            }
+
+    indexed = placed.withColumn("share", F.pmod(F.xxhash64("vec"), F.lit(2**31 - 1)))
+    indexed = map_rows(indexed, "bundle long, list int, vec array<double>, ids array<long>", bundle)
 
-    asked = valid_vectors(queries, id_col, column).distinct().groupBy("vec").agg(F.min("vec_id").alias("one"))
-    asked = materialize(asked, "asked")
+    # a number stands for each distinct query vector
+    numbers = asked.groupBy("vec").agg(F.min("vec_id").alias("query"))
+    numbered = materialize(asked.join(numbers, "vec").select(F.col("vec_id").alias("query_id"), "query", "vec"), "queries")
+    numbers = numbered.filter("query_id = query").select("query", "vec")
 
     def spread(batches):
-        model = shared.value
+        model, layout = shared.value, bundles.value
         for batch in batches:
             x = _matrix(batch["vec"])
-            near = model.nearest_lists(x @ model.rotation, probes)
-            at = np.repeat(np.arange(len(x)), near.shape[1])
-            yield {"vec": batch["vec"].take(pa.array(at)), "list": near.reshape(-1)}
-
-    probing = map_rows(asked.select("vec"), "vec array<double>, list int", spread).join(sizes.select("list", "parts"), "list")
-    share = F.pmod(F.xxhash64("vec"), F.lit(2**31 - 1))
-    groups = probing.groupBy("list").agg(F.ceil(F.count("*") / _TASK_QUERIES).cast("int").alias("turns"))
-    probing = probing.join(groups, "list").withColumn("turn", F.pmod(share, F.col("turns")).cast("int"))
-    probing = probing.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("list", "part", "turn", "vec")
-    stored = indexed.join(groups, "list").withColumn("turn", F.explode(F.sequence(F.lit(0), F.col("turns") - 1)))
-    stored = stored.select("list", "part", "turn", "vec", "ids")
+            near = model.nearest_lists(x @ model.rotation, len(model.centroids))
+            out: dict[str, list] = {"query": [], "bundle": [], "lists": []}
+            at = []
+            for i, query in enumerate(batch["query"].to_pylist()):
+                mine = layout.probed(near[i], least)
+                # a large list lies in several bundles
+                spread_ = np.repeat(mine, layout.parts[mine])
+                step = np.arange(len(spread_)) - np.repeat(np.cumsum(layout.parts[mine]) - layout.parts[mine], layout.parts[mine])
+                home = layout.first[spread_] + step
+                for b in np.unique(home).tolist():
+                    at.append(i)
+                    out["query"].append(query)
+                    out["bundle"].append(b)
+                    out["lists"].append(spread_[home == b].tolist())
+            yield out | {"vec": batch["vec"].take(pa.array(at, pa.int64()))}
+
+    probing = map_rows(numbers, "query long, bundle long, lists array<int>, vec array<double>", spread)
+    probing = materialize(probing, "probing")
+    groups = probing.groupBy("bundle").agg(F.ceil(F.count("*") / _TASK_QUERIES).cast("int").alias("turns"))
+    probing = probing.join(groups, "bundle").withColumn("turn", F.pmod(F.xxhash64("query"), F.col("turns")).cast("int")).drop("turns")
+    stored = indexed.join(groups, "bundle").withColumn("turn", F.explode(F.sequence(F.lit(0), F.col("turns") - 1))).drop("turns")
 
     def search(task, asked_rows: pa.Table, held: pa.Table) -> pa.Table:
         out: dict[str, list] = {"query": [], "ids": [], "score": []}
         if asked_rows.num_rows and held.num_rows:
             model = shared.value
-            x, q = _matrix(held["vec"]), _matrix(asked_rows["vec"])
+            own = np.asarray(held["list"])
+            order = np.argsort(own, kind="stable")
+            x, own, q = _matrix(held["vec"])[order], own[order], _matrix(asked_rows["vec"])
             rotated, turned = x @ model.rotation, q @ model.rotation
-            ids, vectors = held["ids"].to_pylist(), asked_rows["vec"].to_pylist()
-            for i in range(len(q)):
+            blocks = [np.ascontiguousarray(rotated[:, i : i + BLOCK]) for i in range(0, rotated.shape[1], BLOCK)]
+            ids = held["ids"].to_pylist()
+            for i, (query, near) in enumerate(zip(asked_rows["query"].to_pylist(), asked_rows["lists"].to_pylist(), strict=True)):
+                begins, ends = np.searchsorted(own, near), np.searchsorted(own, near, side="right")
+                candidates = np.concatenate([np.arange(b, e) for b, e in zip(begins, ends, strict=True)])
                 # one answer more than asked for, as the query's own vector may be one
-                alive = scan(rotated, turned[i], k + 1, math.inf)
-                distances = np.sqrt(((x[alive] - q[i]) ** 2).sum(1))
-                out["query"] += [vectors[i]] * len(alive)
-                out["ids"] += [ids[a] for a in alive]
-                out["score"] += distances.tolist()
+                alive = scan(blocks, turned[i], candidates, k + 1)
+                out["query"] += [query] * len(alive)
+                out["ids"] += [ids[order[a]] for a in alive]
+                out["score"] += np.sqrt(((x[alive] - q[i]) ** 2).sum(1)).tolist()
         return pa.table({
-            "query": pa.array(out["query"], pa.list_(pa.float64())), "ids": pa.array(out["ids"], pa.list_(pa.int64())),
-            "score": pa.array(out["score"], pa.float64()),
+            "query": pa.array(out["query"], pa.int64()), "ids": pa.array(out["ids"], pa.list_(pa.int64())), "score": pa.array(out["score"], pa.float64()),
         })
 
     ship(spark)
-    keys = ["list", "part", "turn"]
-    met = probing.groupBy(*keys).cogroup(stored.groupBy(*keys)).applyInArrow(search, "query array<double>, ids array<long>, score double")
+    keys = ["bundle", "turn"]
+    met = probing.groupBy(*keys).cogroup(stored.groupBy(*keys)).applyInArrow(search, "query long, ids array<long>, score double")
     # k + 1 nearest classes of each query vector, then their ids for each query id
     top = Window.partitionBy("query").orderBy("score", F.col("ids")[0])
     short = met.withColumn("at", F.row_number().over(top)).filter(F.col("at") <= k + 1)
-    answers = short.withColumn("vec_id", F.explode("ids")).select("query", "score", "vec_id").distinct()
+    answers = short.select("query", "score", F.explode("ids").alias("vec_id")).distinct()
     best = Window.partitionBy("query").orderBy("score", "vec_id")
-    answers = answers.withColumn("at", F.row_number().over(best)).filter(F.col("at") <= k + 1)
-    ids = valid_vectors(queries, id_col, column).distinct().select(F.col("vec_id").alias("query_id"), F.col("vec").alias("query"))
-    matched = ids.join(answers, "query").filter("query_id <> vec_id")
+    answers = answers.withColumn("at", F.row_number().over(best)).filter(F.col("at") <= k + 1).drop("at")
+    matched = numbered.select("query_id", "query").join(answers, "query").filter("query_id <> vec_id")
     rank = Window.partitionBy("query_id", "query").orderBy("score", "vec_id")
     matched = matched.withColumn("rank", F.row_number().over(rank)).filter(F.col("rank") <= k)
     return matched.select("query_id", "rank", "vec_id", "score")

@@ -5,7 +5,8 @@ runs of ``MINIMISER`` words inside. Consecutive windows that share a minimiser m
 one run, and equal windows have equal minimisers. Runs whose minimiser occurs once in
 the corpus hold no repeat. The others travel as one packed string of words to the
 bucket of their minimiser, equal strings as one, and there their windows are sorted;
-the first place of each window stays.
+the first place of each window stays. The strings of a minimiser that is very common
+are cut again by a further minimiser, into shorter strings and more buckets.
 """
 
 from __future__ import annotations
@@ -21,18 +22,20 @@ from fareway.llm.common import WordCodes, id_and_text, map_rows, mix, shingles,
 from fareway.session import materialize
 
 MINIMISER = 5
-#: Distinct packed strings of one minimiser that are sorted in one task; beyond, each window travels alone.
+#: Distinct packed strings of one bucket that are sorted in one task; beyond, they are cut by a further minimiser.
 _HOT = 2_000
+#: Further minimisers; windows that are in a crowded bucket by all of them travel alone.
+_LEVELS = 3
 
 
 def split_words(text: str) -> list[bytes]:
     return text.encode().split()
 
 
-def _minimisers(codes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the runs of ``MINIMISER`` words, and the minimiser of each window."""
+def _minimisers(codes: np.ndarray, window: int, level: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the runs of ``MINIMISER`` words, and the minimiser of each window; each level has hashes of its own."""
     m = min(MINIMISER, window)
-    hashes = shingles(codes, m, salt=1)
+    hashes = shingles(codes, m, salt=4 + level if level else 1)
     if len(codes) < window:
         return hashes, hashes[:0]
     # minima over 1, 2, 4, ... places, then over all places of a window
@@ -137,10 +140,6 @@ def duplicate_windows(docs: DataFrame, window: int = 20) -> DataFrame:
     strings = strings.groupBy("minimiser", "packed").agg(F.min(F.struct("doc_id", "start", "content")).alias("first"))
     strings = materialize(strings.select("minimiser", "packed", "first.*"), "strings")
 
-    hot = strings.groupBy("minimiser").agg(F.count("*").alias("n")).filter(F.col("n") > _HOT).select("minimiser")
-    hot = materialize(hot, "hot")
-    cold_strings = strings.join(hot, "minimiser", "left_anti").repartition("minimiser").sortWithinPartitions("minimiser")
-
     def sort_buckets(batches):
         codes, held = WordCodes(), []
         for batch in batches:
@@ -154,7 +153,17 @@ def duplicate_windows(docs: DataFrame, window: int = 20) -> DataFrame:
         if held:
             yield _first_places([r[1:] for r in held], window, codes)
 
-    cold = map_rows(cold_strings, "doc_id long, content long, at long", sort_buckets)
+    places = "doc_id long, content long, at long"
+    sorted_parts = []
+    for level in range(_LEVELS + 1):
+        sizes = strings.groupBy("minimiser").agg(F.count("*").alias("n"))
+        hot = materialize(sizes.filter(F.col("n") > _HOT).select("minimiser"), "hot")
+        cold = strings.join(hot, "minimiser", "left_anti").repartition("minimiser").sortWithinPartitions("minimiser")
+        sorted_parts.append(map_rows(cold, places, sort_buckets))
+        strings = strings.join(hot, "minimiser", "left_semi")
+        if level == _LEVELS or not hot.limit(1).count():
+            break
+        strings = _cut_again(strings, window, level + 1)
 
     def spread(batches):
         codes = WordCodes()
@@ -165,15 +174,40 @@ def duplicate_windows(docs: DataFrame, window: int = 20) -> DataFrame:
                 at = taken.pop("start") + offset
                 yield taken | {"at": at, "high": high.view(np.int64), "low": low.view(np.int64)}
 
-    alone = map_rows(
-        strings.join(hot, "minimiser", "left_semi"), "doc_id long, content long, at long, high long, low long", spread
-    )
+    alone = map_rows(strings, places + ", high long, low long", spread)
     warm = alone.groupBy("high", "low").agg(F.min(F.struct("doc_id", "at", "content")).alias("first"))
-    warm = warm.select("first.doc_id", "first.content", "first.at")
-    firsts = cold.unionByName(warm).groupBy("doc_id", "content").agg(F.collect_set("at").alias("firsts"))
+    found = warm.select("first.doc_id", "first.content", "first.at")
+    for part in sorted_parts:
+        found = found.unionByName(part)
+    firsts = found.groupBy("doc_id", "content").agg(F.collect_set("at").alias("firsts"))
     return suspects.join(firsts, ["doc_id", "content"], "left").select("doc_id", "content", "suspects", "firsts")
 
 
+def _cut_again(strings: DataFrame, window: int, level: int) -> DataFrame:
+    """Packed strings cut where the minimiser of ``level`` changes, each in the bucket of all its minimisers, equal ones as one."""
+
+    def cut(batches):
+        codes = WordCodes()
+        for batch in batches:
+            out: dict[str, list] = {"minimiser": [], "packed": [], "doc_id": [], "start": [], "content": []}
+            for bucket, packed, doc_id, start, content in zip(*(batch[c].to_pylist() for c in out), strict=True):
+                words = packed.split(b" ")
+                best = _minimisers(codes.of(words), window, level)[1]
+                first = np.flatnonzero(np.r_[True, best[1:] != best[:-1]])
+                keys = mix(best[first] + np.uint64(bucket % 2**64))
+                out["minimiser"] += keys.view(np.int64).tolist()
+                for begin, end in zip(first.tolist(), [*first[1:].tolist(), len(best)], strict=True):
+                    out["packed"].append(b" ".join(words[begin : end - 1 + window]))
+                    out["start"].append(start + begin)
+                out["doc_id"] += [doc_id] * len(first)
+                out["content"] += [content] * len(first)
+            yield out
+
+    finer = map_rows(strings, "minimiser long, packed binary, doc_id long, start long, content long", cut)
+    finer = finer.groupBy("minimiser", "packed").agg(F.min(F.struct("doc_id", "start", "content")).alias("first"))
+    return materialize(finer.select("minimiser", "packed", "first.*"), "strings")
+
+
 def _texts(docs: DataFrame) -> DataFrame:
     return id_and_text(docs).withColumn("content", F.xxhash64("text"))
 

@@ -8,6 +8,7 @@ run of spaces; no piece crosses such a cut.
 
 from __future__ import annotations
 
+import heapq
 import re
 
 import numpy as np
@@ -19,6 +20,8 @@ from fareway.llm.common import id_and_text, map_rows, unkey
 SPACE = "▁"
 _REMEMBERED = 500_000
 _BATCH_SYMBOLS = 400_000
+#: Characters from which a pre-token is a long one.
+_LONG = 256
 _NO_RANK = np.int32(2**31 - 1)
 
 
@@ -150,10 +153,94 @@ class PieceMerger:
             ids, owner = ids[~gone], owner[~gone]
         return result
 
+    def count_long(self, tokens: list[str]) -> list[int]:
+        """Number of surviving symbols of long pre-tokens, in time that hardly grows faster than their length.
+
+        Ranks come up in order over all pre-tokens. All places of a rank merge at once, every
+        second of a run of overlapping ones. Only where a made piece would merge on at once,
+        because its pair with a neighbour ranks no later, the places behind it come up again.
+        """
+        lengths = np.array([len(t) for t in tokens])
+        ids = self._symbols("".join(tokens))
+        n = len(ids)
+        owner = np.repeat(np.arange(len(tokens)), lengths)
+        after = np.arange(1, n + 1)
+        after[np.cumsum(lengths) - 1] = n
+        before = np.arange(-1, n - 1)
+        before[np.cumsum(lengths) - lengths] = -1
+        # n stands for no neighbour; -1 marks a symbol that went into the one before it
+        ids = np.r_[ids, -1]
+        waiting: dict[int, list[np.ndarray]] = {}
+        ranks: list[int] = []
+
+        def pairs(left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            left = left[(ids[left] >= 0) & (after[left] < n)]
+            joined = self._merged(ids[left], ids[after[left]])
+            return left[joined >= 0], joined[joined >= 0]
+
+        def push(left: np.ndarray) -> None:
+            left, joined = pairs(left)
+            rank = self.rank[joined]
+            order = np.argsort(rank, kind="stable")
+            left, rank = left[order], rank[order]
+            cuts = np.flatnonzero(np.r_[True, rank[1:] != rank[:-1]]) if len(rank) else []
+            for r, part in zip(rank[cuts].tolist(), np.split(left, cuts[1:]), strict=True) if len(rank) else ():
+                if r not in waiting:
+                    waiting[r] = []
+                    heapq.heappush(ranks, r)
+                waiting[r].append(part)
+
+        push(np.arange(n))
+        while ranks:
+            rank = heapq.heappop(ranks)
+            left, joined = pairs(np.unique(np.concatenate(waiting.pop(rank))))
+            now = self.rank[joined] == rank
+            left, joined = left[now], joined[now]
+            if not len(left):
+                continue
+            own = owner[left]
+            new = np.r_[True, own[1:] != own[:-1]]
+            # places that follow one another overlap: the second symbol of one is the first of the next
+            starts = np.r_[True, after[left[:-1]] != left[1:]] | new
+            step = np.arange(len(left)) - np.maximum.accumulate(np.where(starts, np.arange(len(left)), 0))
+            pick = step % 2 == 0
+            if not self.tame[joined].all():
+                pick[pick] = self._undisturbed(ids, before, after, owner, left[pick], joined[pick], rank)
+            rest, left, joined = left[~pick], left[pick], joined[pick]
+            right = after[left]
+            ids[left], ids[right] = joined, -1
+            beyond = after[right]
+            after[left] = beyond
+            inside = beyond < n
+            before[beyond[inside]] = left[inside]
+            touched = np.concatenate([left, before[left], rest])
+            push(np.unique(touched[touched >= 0]))
+        kept = ids[:-1] >= 0
+        return np.bincount(owner[kept], np.maximum(ids[:-1][kept] - self.unknown, 1), len(tokens)).astype(np.int64).tolist()
+
+    def _undisturbed(self, ids, before, after, owner, left, joined, rank: int) -> np.ndarray:
+        """Which places merge before anything else does: those up to the first of a pre-token whose piece merges on at once."""
+        right = after[left]
+        # the symbol to the left is the piece of the place before, if that ends there
+        chained = np.r_[False, before[left[1:]] == right[:-1]]
+        near = np.where(chained, np.r_[-1, joined[:-1]], ids[before[left]])
+        near[(before[left] < 0) & ~chained] = -1
+        beyond = ids[after[right]]
+        disturbed = np.zeros(len(left), bool)
+        for a, b, there in ((near, joined, near >= 0), (joined, beyond, beyond >= 0)):
+            made = self._merged(a[there].astype(np.int64), b[there].astype(np.int64))
+            disturbed[np.flatnonzero(there)[(made >= 0) & (self.rank[made] <= rank)]] = True
+        seen = np.cumsum(disturbed) - disturbed
+        first = np.r_[True, owner[left[1:]] != owner[left[:-1]]]
+        return seen == seen[np.maximum.accumulate(np.where(first, np.arange(len(left)), 0))]
+
     def _learn(self, tokens: set[str]) -> None:
+        long = [t for t in tokens if len(t) >= _LONG]
+        if long:
+            self.known.update(zip(long, self.count_long(long), strict=True))
         # like lengths share a batch, so that few rounds serve it
         todo, size = [], 0
-        for token in sorted(tokens, key=len):
+        for token in sorted((t for t in tokens if len(t) < _LONG), key=len):
             todo.append(token)
             size += len(token)
             if size >= _BATCH_SYMBOLS:
@@ -182,7 +269,11 @@ class PieceMerger:
         if missing:
             self._learn(missing)
         known = self.known
-        return [lines + sum(map(known.__getitem__, tokens)) for lines, tokens in held]
+        counts = [lines + sum(map(known.__getitem__, tokens)) for lines, tokens in held]
+        # long pre-tokens hardly come again and would fill the memory
+        for token in [t for t in missing if len(t) >= _LONG]:
+            del known[token]
+        return counts
 
 
 def pre_tokens(text: str) -> tuple[int, list[str]]:
@@ -209,7 +300,8 @@ def count_tokens(docs: DataFrame, model_file: str, limit: int = 4096) -> DataFra
     """doc_id, n_bytes, n_tokens and over_limit of every row of ``docs``, whole texts.
 
     ``model_file`` is a path every worker can read. Null and empty texts have no bytes
-    and no tokens; null ids stay null; repeated rows give equal rows; other columns are
+    and no tokens; very long texts, also without any space, count whole; null ids stay
+    null; repeated rows give equal rows; an empty table gives none; other columns are
     not read.
     """
 
