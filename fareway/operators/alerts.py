@@ -61,8 +61,9 @@ def _rank_values() -> list[Column]:
 def latest_alerts(alerts: DataFrame, cap: int = 100, arrival: str | None = None) -> DataFrame:
     """One alert per window and road, the last to arrive, newest ``cap`` windows first.
 
-    The choice is an aggregate, so repeated deliveries of one alert are reduced
-    before the shuffle, however many there are.
+    ``arrival`` names the column that tells deliveries apart; without one the deliveries
+    of an alert count as equally old, and the largest is kept. The choice is an aggregate,
+    so repeated deliveries of one alert are reduced before the shuffle, however many there are.
     """
     payload = [c for c in alerts.columns if c not in ALERT_KEY]
     first = [arrival] if arrival else []

@@ -405,8 +405,9 @@ def nms(
     Equal scores are ordered by coordinates. Images up to ``fold_limit`` boxes are
     folded in one group each. Larger ones are first reduced in rounds that never
     bring an image together: a box that no better box suppresses is final, and what
-    it suppresses is gone. Both lead to the same boxes as the sequential loop, since
-    a box is kept exactly when no kept box suppresses it.
+    it suppresses is gone; a box that one other could suppress follows from that one, so
+    a whole chain of them is settled in a round. Both lead to the same boxes as the
+    sequential loop, since a box is kept exactly when no kept box suppresses it.
     """
     _check_overlap(threshold)
     crowded = _crowded(_side_counts(dets, dets.limit(0), image), image, (fold_limit, 0))
@@ -442,15 +443,50 @@ def _round_nms(
         near = _prefixed(_in_reach(by.select(image, score, *CORNERS), threshold), "t_")
         return _at_home(rows).join(near, _meet(image) & condition, "left_anti").drop(*_CELL)
 
+    place = [image, *CORNERS]
     left = materialize(solid, "nms-left")
     while True:
         sizes = left.groupBy(image).agg(F.count("*").alias("n"))
         if (sizes.agg(F.max("n")).first()[0] or 0) <= fold_limit:
             return result.unionByName(_fold_nms(left, threshold, image, score))
-        final = materialize(unless(left, left, better & hit), "nms-final")
-        result = result.unionByName(final)
-        # a final box suppresses itself too, so it leaves the remainder as well
-        left = materialize(unless(left, final, hit), "nms-left")
+        # how many open boxes may suppress a box, and one of them
+        near = _prefixed(_in_reach(left.select(image, score, *CORNERS), threshold), "t_")
+        met = _at_home(left.select(image, score, *CORNERS)).join(near, _meet(image) & better & hit, "inner")
+        blocked = met.groupBy(*place).agg(
+            F.count("*").alias("n"), F.max(F.struct(*[F.col(f"t_{c}").alias(c) for c in place])).alias("by")
+        )
+        blocked = materialize(blocked, "nms-blocked")
+        final = materialize(left.join(blocked, place, "left_anti").select(left.columns), "nms-final")
+        # a box with a single blocker stays exactly if that one goes
+        single = blocked.filter("n = 1").select(F.struct(*place).alias("node"), F.col("by").alias("to"))
+        ends = settle_chains(single)
+        sure = ends.join(final.select(F.struct(*place).alias("to")), "to", "left_semi")
+        sure = materialize(sure.select("node.*", F.col("odd").alias("gone")), "nms-sure")
+        stays = left.join(sure.filter("NOT gone"), place, "left_semi").select(left.columns)
+        settled = materialize(final.unionByName(stays), "nms-settled")
+        result = result.unionByName(settled)
+        # a settled box suppresses itself too, so it leaves the remainder as well
+        left = left.join(sure.filter("gone"), place, "left_anti").select(left.columns)
+        left = materialize(unless(left, settled, hit), "nms-left")
+
+
+def settle_chains(links: DataFrame) -> DataFrame:
+    """node, to, odd: where each chain of ``links`` (node, to) ends, and whether its number of links is odd.
+
+    A node has one link, and links do not circle. Two links at a time are followed, so the
+    rounds grow with the logarithm of the longest chain.
+    """
+    links = materialize(links.withColumn("odd", F.lit(True)), "chains")
+    while True:
+        ahead = links.select(F.col("node").alias("to"), F.col("to").alias("further"), F.col("odd").alias("ahead_odd"))
+        step = links.join(ahead, "to", "left")
+        if step.filter("further IS NOT NULL").isEmpty():
+            return links
+        moved = F.col("further").isNotNull()
+        links = materialize(
+            step.select("node", F.coalesce("further", "to").alias("to"), F.when(moved, F.col("odd") != F.col("ahead_odd")).otherwise(F.col("odd")).alias("odd")),
+            "chains",
+        )
 
 
 # --- matching -----------------------------------------------------------------------------------
@@ -523,29 +559,35 @@ def _round_matches(edges: DataFrame, image: str, fold_limit: int) -> DataFrame:
 
     A pair is final when the box is the best free one of the prediction and the
     prediction is among the best of the box, as many as the box has room for: no
-    better prediction can fill the box before its turn. Each round settles at least
-    the best open prediction of every image.
+    better prediction can fill the box before its turn. A pair that one better pair alone
+    can prevent follows from that one, so a whole chain of them is settled in a round.
+    Each round settles at least the best open prediction of every image.
     """
     totals: list[DataFrame] = []
     left = materialize(edges, "match-left")
     while (left.groupBy(image).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0) > fold_limit:
-        best = left.groupBy(image, "pred").agg(
-            F.min(F.struct("distance", "box")).getField("box").alias("_best")
-        )
-        ranked = number_rows(left, [image, "box", "rank", "pred"], "_no")
-        starts = ranked.groupBy(image, "box").agg(F.min("_no").alias("_start"))
-        final = materialize(
-            ranked.join(starts, [image, "box"])
-            .filter(F.col("_no") - F.col("_start") < F.col("capacity"))
-            .join(best, [image, "pred"])
-            .filter(F.col("box") == F.col("_best"))
-            .select(image, "pred", "box"),
-            "match-final",
-        )
+        placed = _place_in_group(left, [image, "box"], ["rank", "pred"], "at_box")
+        placed = _place_in_group(placed, [image, "pred"], ["distance", "box"], "at_pred")
+        # better open pairs that can take an end: at the box only those that fill it
+        room = F.col("at_box") < F.col("capacity")
+        blockers = F.col("at_pred") + F.when(room, 0).when(F.col("capacity") == 1, F.col("at_box")).otherwise(2)
+        pair = F.struct(image, "pred", "box")
+        placed = materialize(placed.withColumns({"blockers": blockers, "pair": pair}), "match-placed")
+        best = placed.filter("blockers = 0").select(image, "pred", "box", "pair")
+        heads = placed.filter("at_pred = 0").select(image, "pred", F.col("pair").alias("of_pred"))
+        tops = placed.filter("at_box = 0").select(image, "box", F.col("pair").alias("of_box"))
+        single = placed.filter("blockers = 1").join(heads, [image, "pred"]).join(tops, [image, "box"])
+        single = single.select(F.col("pair").alias("node"), F.when(F.col("at_pred") == 1, F.col("of_pred")).otherwise(F.col("of_box")).alias("to"))
+        ends = settle_chains(single).join(best.select(F.col("pair").alias("to")), "to", "left_semi")
+        sure = materialize(ends.select("node", F.col("odd").alias("gone")), "match-sure")
+        final = best.select(image, "pred", "box").unionByName(sure.filter("NOT gone").select("node.*"))
+        final = materialize(final, "match-final")
         totals.append(final.groupBy(image).agg(F.count("*").alias("tp")))
         used = final.groupBy(image, "box").agg(F.count("*").alias("_used"))
+        gone = sure.filter("gone").select("node.*")
         left = materialize(
             left.join(final.select(image, "pred"), [image, "pred"], "left_anti")
+            .join(gone, [image, "pred", "box"], "left_anti")
             .join(used, [image, "box"], "left")
             .withColumn("capacity", F.col("capacity") - F.coalesce("_used", F.lit(0)))
             .filter(F.col("capacity") > 0)
@@ -558,6 +600,13 @@ def _round_matches(edges: DataFrame, image: str, fold_limit: int) -> DataFrame:
     return result
 
 
+def _place_in_group(df: DataFrame, keys: list[str], order: list[str], name: str) -> DataFrame:
+    """The place of each row among those with its keys, from 0, without bringing a group together."""
+    ranked = number_rows(df, [*keys, *order], "_no")
+    starts = ranked.groupBy(*keys).agg(F.min("_no").alias("_start"))
+    return ranked.join(starts, keys).withColumn(name, F.col("_no") - F.col("_start")).drop("_no", "_start")
+
+
 def match_boxes(
     preds: DataFrame,
     truth: DataFrame,

@@ -1,6 +1,6 @@
 """Aggregates of clean trips.
 
-Every table is built from sums and counts of whole units, so a table can be
+Every table is built from exact sums and counts, so a table can be
 re-aggregated from a finer one (``trip_cube``) with the same result to the last
 digit as from the trips. No table is ordered here; order belongs to exports.
 """
@@ -16,7 +16,9 @@ from fareway.functions import columns as C
 from fareway.functions.measures import (
     MINUTE_UNITS,
     Measure,
-    as_units,
+    count_known,
+    limb_sums,
+    resummed,
     rounded_avg,
     rounded_sum,
 )
@@ -43,20 +45,20 @@ def _filled_name(measure: Measure) -> str:
 
 
 def _partials(names: Sequence[str], reaggregate: bool) -> list[Column]:
-    """Sum of units and, for averages, the number of values behind it."""
-    made: dict[str, Column] = {}
+    """Exact sums and, for averages, the number of values behind them."""
+    sums: dict[str, list[Column]] = {}
     for name in names:
         m = MEASURES[name]
         units, filled = _units_name(m), _filled_name(m)
-        made[units] = F.sum(units) if reaggregate else F.sum(as_units(m.column, m.units))
+        sums[units] = resummed(units) if reaggregate else limb_sums(units, m.column, m.units)
         if m.kind == "avg":
-            made[filled] = F.sum(filled) if reaggregate else F.count(as_units(m.column, m.units))
-    return [col.alias(alias) for alias, col in made.items()]
+            sums[filled] = [(F.sum(filled) if reaggregate else count_known(m.column)).alias(filled)]
+    return [col for cols in sums.values() for col in cols]
 
 
 def _finish(name: str) -> Column:
     m = MEASURES[name]
-    units = F.col(_units_name(m))
+    units = _units_name(m)
     if m.kind == "sum":
         return rounded_sum(units, m.digits, m.units).alias(name)
     return rounded_avg(units, F.col(_filled_name(m)), m.digits, m.units).alias(name)

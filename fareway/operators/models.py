@@ -3,19 +3,24 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import FeatureHasher, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fareway.constants import DEMAND_KEY, NUMERIC_FEATURES, PREDICTION_COLUMNS, SPLIT_SEED
 from fareway.functions import columns as C
 from fareway.functions.measures import round_half_up
+from fareway.operators.numbering import number_rows
 from fareway.session import materialize
 
 # --- splits ---------------------------------------------------------------------------
@@ -120,11 +125,26 @@ def zone_index(zone: str = "pickup_zone") -> StringIndexer:
     return StringIndexer(inputCol=zone, outputCol=f"{zone}_index", handleInvalid="keep")
 
 
-def check_zones(df: DataFrame, zone: str = "pickup_zone", most: int = 50_000) -> None:
-    """Refuse a table of more than ``most`` zones: their labels, and a vector as wide, reach driver and every row."""
-    zones = df.select(zone).distinct().count()
-    if zones > most:
-        raise ValueError(f"{zones} values of {zone}, more than {most}: group them before a model is trained")
+def zone_numbers(df: DataFrame, zone: str = "pickup_zone") -> DataFrame:
+    """The same index as a table (zone, zone_index), numbered where the zones lie; none of them reaches the driver."""
+    counts = df.groupBy(zone).agg(F.count("*").alias("n")).filter(F.col(zone).isNotNull())
+    numbered = number_rows(counts, [F.desc("n"), F.asc(zone)], "no")
+    return numbered.select(zone, (F.col("no") - 1).alias("zone_index"))
+
+
+#: Zones that get a place of their own in a feature vector; more of them share this many places by hash.
+ZONE_PLACES = 4_096
+
+
+def zone_stages(df: DataFrame | None = None, zone: str = "pickup_zone", places: int = ZONE_PLACES) -> list:
+    """Stages from a zone to its vector: index and one-hot for up to ``places`` zones in ``df``, hashed places for more.
+
+    A vector is never wider than ``places``, and no more than that many labels reach the driver.
+    """
+    zones = 0 if df is None else df.select(zone).distinct().limit(places + 1).count()
+    if zones > places:
+        return [FeatureHasher(inputCols=[zone], outputCol=f"{zone}_vec", numFeatures=places)]
+    return [zone_index(zone), OneHotEncoder(inputCols=[f"{zone}_index"], outputCols=[f"{zone}_vec"])]
 
 
 def demand_pipeline(
@@ -132,15 +152,14 @@ def demand_pipeline(
     zone: str = "pickup_zone",
     numeric: Sequence[str] = NUMERIC_FEATURES,
     scale: bool = False,
+    encoded: Sequence | None = None,
 ) -> Pipeline:
-    """Zone index, one-hot zone, numeric features, estimator. Unseen zones are kept.
+    """Zone vector, numeric features, estimator. Unseen zones are kept.
 
-    ``scale`` standardises the numeric features first.
+    ``scale`` standardises the numeric features first; ``encoded`` replaces the stages that
+    make the zone vector.
     """
-    stages: list = [
-        zone_index(zone),
-        OneHotEncoder(inputCols=[f"{zone}_index"], outputCols=[f"{zone}_vec"]),
-    ]
+    stages: list = list(zone_stages(zone=zone) if encoded is None else encoded)
     inputs = list(numeric)
     if scale:
         stages += [
@@ -158,6 +177,83 @@ def demand_pipeline(
     return Pipeline(stages=[*stages, estimator])
 
 
+@dataclass(frozen=True)
+class ZoneLine:
+    """A line over numeric features with a level for each zone: least squares with one-hot zones."""
+
+    numeric: tuple[str, ...]
+    coefficients: tuple[float, ...]
+    #: Level of a zone that was not seen.
+    level: float
+    #: (zone, level)
+    levels: DataFrame
+    zone: str
+
+    def transform(self, df: DataFrame, prediction: str = "baseline_prediction") -> DataFrame:
+        """``df`` with the prediction; null where a feature is null."""
+        known = self.levels.select(F.col(self.zone).alias("_zone"), F.col("level").alias("_level"))
+        joined = df.join(known, F.col(self.zone).eqNullSafe(F.col("_zone")), "left")
+        slope = [F.col(c).cast("double") * F.lit(b) for c, b in zip(self.numeric, self.coefficients, strict=True)]
+        value = reduce(lambda a, b: a + b, slope, F.coalesce("_level", F.lit(self.level)))
+        return joined.withColumn(prediction, value).drop("_zone", "_level")
+
+    def table(self) -> DataFrame:
+        """(feature, coefficient) rows; the level of unseen zones is named ``level``."""
+        spark = self.levels.sparkSession
+        return spark.createDataFrame([*zip(self.numeric, self.coefficients, strict=True), ("level", self.level)], "feature STRING, coefficient DOUBLE")
+
+    def save(self, path: str) -> None:
+        self.table().coalesce(1).write.mode("overwrite").parquet(f"{path}/line")
+        self.levels.write.mode("overwrite").parquet(f"{path}/levels")
+
+
+def load_zone_line(spark, path: str, numeric: Sequence[str] = NUMERIC_FEATURES, zone: str = "pickup_zone") -> ZoneLine:
+    line = {r["feature"]: r["coefficient"] for r in spark.read.parquet(f"{path}/line").collect()}
+    return ZoneLine(tuple(numeric), tuple(line[c] for c in numeric), line["level"], spark.read.parquet(f"{path}/levels"), zone)
+
+
+def fit_zone_line(
+    train: DataFrame, label: str = "demand", numeric: Sequence[str] = NUMERIC_FEATURES, zone: str = "pickup_zone"
+) -> ZoneLine:
+    """Least squares of ``label`` on numeric features and one-hot zones, for any number of zones.
+
+    One grouped pass gives counts, sums and products of each zone. Taking the zone's means
+    off removes the zone block from the normal equations, so what is solved is as small as
+    the numeric features; a zone's level follows from its means. Features that say nothing
+    beyond the others share the smallest solution. Rows with a null or NaN are left out.
+    """
+    names, k = [*numeric, label], len(numeric)
+    values = [F.col(c).cast("double") for c in names]
+    whole = reduce(lambda a, b: a & b, [v.isNotNull() & ~F.isnan(v) for v in values])
+    rows = train.filter(whole).select(zone, *[v.alias(f"v{i}") for i, v in enumerate(values)])
+    # a column for each product; features are few
+    pairs = [(i, j) for i in range(k) for j in range(i, k + 1)]
+    sums = materialize(
+        rows.groupBy(zone).agg(
+            F.count("*").alias("n"), *[F.sum(f"v{i}").alias(f"s{i}") for i in range(k + 1)],
+            *[F.sum(F.col(f"v{i}") * F.col(f"v{j}")).alias(f"p{i}_{j}") for i, j in pairs],
+        ),
+        "zone-sums",
+    )
+    inside = [F.sum(F.col(f"p{i}_{j}") - F.col(f"s{i}") * F.col(f"s{j}") / F.col("n")).alias(f"p{i}_{j}") for i, j in pairs]
+    total = sums.agg(F.sum("n").alias("n"), *[F.sum(f"s{i}").alias(f"s{i}") for i in range(k + 1)], *inside).first()
+    if not total["n"]:
+        raise ValueError("no complete rows to fit a line to")
+    products = np.zeros((k + 1, k + 1))
+    for i, j in pairs:
+        products[i, j] = products[j, i] = total[f"p{i}_{j}"]
+    scale = np.sqrt(np.maximum(np.diag(products)[:k], 0))
+    scale[scale <= 1e-9 * max(scale.max(), 1e-300)] = 1.0
+    system = products[:k, :k] / np.outer(scale, scale)
+    line = np.linalg.lstsq(system, products[:k, k] / scale, rcond=1e-9)[0] / scale
+    rest = F.col(f"s{k}")
+    for i, b in enumerate(line):
+        rest = rest - F.col(f"s{i}") * F.lit(float(b))
+    levels = sums.select(zone, (rest / F.col("n")).alias("level"))
+    level = (total[f"s{k}"] - sum(float(b) * total[f"s{i}"] for i, b in enumerate(line))) / total["n"]
+    return ZoneLine(tuple(numeric), tuple(map(float, line)), float(level), levels, zone)
+
+
 def linear_model(prediction: str = "baseline_prediction") -> LinearRegression:
     return LinearRegression(
         featuresCol="features", labelCol="demand", predictionCol=prediction, maxIter=50
@@ -190,6 +286,13 @@ def mean_baseline(
     return test.withColumn(prediction, train.agg(F.avg(label)).scalar())
 
 
+def prediction_table(scored: DataFrame, columns: Sequence[str] = (*DEMAND_KEY, "pickup_weekday")) -> DataFrame:
+    """Actual demand, baseline and improved prediction side by side, to three digits."""
+    values = {"actual_demand": "demand", "baseline_prediction": "baseline_prediction", "improved_prediction": "improved_prediction"}
+    rounded = [round_half_up(F.col(c).cast("double"), 3).alias(name) for name, c in values.items()]
+    return scored.select(*columns, *rounded)
+
+
 def predictions(
     scored: DataFrame,
     n: int = 5000,
@@ -225,6 +328,95 @@ def scaled_svm(
     )
 
 
+@dataclass(frozen=True)
+class LinearMachine:
+    """A linear decision w·x + b."""
+
+    weights: tuple[float, ...]
+    bias: float
+    #: 0.5 (|w|² + b²) + c Σ max(0, 1 - y (w·x + b))²
+    objective: float
+    rounds: int
+
+    def transform(self, df: DataFrame, vector: str = "scaled") -> DataFrame:
+        """``df`` with ``decision``, and ``prediction`` 1 where it is positive."""
+        scored = linear_scores(df, self.weights, self.bias, vector)
+        return scored.withColumn("prediction", (F.col("decision") > 0).cast("int"))
+
+
+#: Components of a vector a machine is trained on; the driver holds a matrix of that width.
+_MOST_COMPONENTS = 4_096
+
+
+def _hinge_sums(rows: DataFrame, point: np.ndarray, c: float) -> tuple[float, np.ndarray, np.ndarray]:
+    """Objective, gradient and second derivatives at a point, from vector sums of the rows inside the margin.
+
+    A task adds up its rows in numpy and hands on a row for each row of the matrix; Spark
+    adds those up over the tasks.
+    """
+    width = len(point)
+
+    def add(batches):
+        matrix, slope, loss = np.zeros((width, width)), np.zeros(width), 0.0
+        for batch in batches:
+            n = batch.num_rows
+            x = np.c_[batch["x"].flatten().to_numpy(zero_copy_only=False).reshape(n, -1), np.ones(n)] if n else np.zeros((0, width))
+            y = batch["y"].to_numpy(zero_copy_only=False)
+            gap = 1 - y * (x @ point)
+            inside = gap > 0
+            x, y, gap = x[inside], y[inside], gap[inside]
+            loss += float(gap @ gap)
+            slope -= (y * gap) @ x
+            matrix += x.T @ x
+        values = [*matrix, np.r_[slope], np.r_[loss, np.zeros(width - 1)]]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(range(width + 2), pa.int32()), pa.array([v.tolist() for v in values], pa.list_(pa.float64()))], names=["row", "values"]
+        )
+
+    parts = rows.mapInArrow(add, "row INT, values ARRAY<DOUBLE>")
+    total = parts.groupBy("row").agg(Summarizer.sum(array_to_vector("values")).alias("total")).collect()
+    by_row = {r["row"]: r["total"].toArray() for r in total}
+    matrix = np.array([by_row[i] for i in range(width)])
+    return (
+        0.5 * float(point @ point) + c * float(by_row[width + 1][0]),
+        point + 2 * c * by_row[width],
+        np.eye(width) + 2 * c * matrix,
+    )
+
+
+def squared_hinge_svm(
+    train: DataFrame, vector: str = "scaled", label: str = "label", c: float = 0.01, rounds: int = 50, tolerance: float = 1e-8
+) -> LinearMachine:
+    """Linear support vector machine of least squared hinge loss, by Newton steps.
+
+    Minimises 0.5 (|w|² + b²) + ``c`` Σ max(0, 1 - y (w·x + b))² with y = 1 for label 1, else
+    -1: the intercept is penalised like a weight. Each step is one pass over the rows; a
+    step that does not lower the objective is halved. Rows with a null vector or label are left out.
+    """
+    rows = train.filter(F.col(vector).isNotNull() & F.col(label).isNotNull())
+    rows = rows.select(F.transform(vector, lambda v: v.cast("double")).alias("x"), F.when(F.col(label) == 1, 1.0).otherwise(-1.0).alias("y"))
+    rows = materialize(rows, "svm-rows")
+    sizes = rows.agg(F.min(F.size("x")).alias("low"), F.max(F.size("x")).alias("high")).first()
+    if sizes.low is None or sizes.low != sizes.high or not 0 < sizes.high <= _MOST_COMPONENTS:
+        raise ValueError(f"vectors of 1 to {_MOST_COMPONENTS} components, all as long, are needed")
+    point = np.zeros(sizes.high + 1)
+    value, slope, curve = _hinge_sums(rows, point, c)
+    first = np.linalg.norm(slope)
+    done = 0
+    while done < rounds and np.linalg.norm(slope) > tolerance * max(first, 1e-12):
+        step, share = np.linalg.solve(curve, slope), 1.0
+        while True:
+            done += 1
+            ahead = _hinge_sums(rows, point - share * step, c)
+            if ahead[0] < value or share < 1e-6 or done >= rounds:
+                break
+            share /= 2
+        if ahead[0] >= value:
+            break
+        point, (value, slope, curve) = point - share * step, ahead
+    return LinearMachine(tuple(map(float, point[:-1])), float(point[-1]), value, done)
+
+
 def standard_scaler(features: str = "features") -> StandardScaler:
     return StandardScaler(inputCol=features, outputCol="scaled", withMean=True, withStd=True)
 
@@ -295,19 +487,24 @@ def _share(part: Column, whole: Column) -> Column:
     return F.coalesce(part.cast("double") / F.nullif(whole.cast("double"), F.lit(0.0)), F.lit(0.0))
 
 
+#: Classes a full matrix is made for.
+_MOST_CLASSES = 10_000
+
+
 def full_confusion_matrix(
     df: DataFrame, label: str = "label", prediction: str = "prediction"
 ) -> DataFrame:
     """A cell for each label with each prediction among the classes of either side; 0 where no row falls."""
     cells = confusion_matrix(df, label, prediction)
-    # a cell per pair of classes at most, so one row holds them all
-    classes = F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.array("label", "prediction")))))
-    counts = F.map_from_entries(F.collect_list(F.struct(F.struct("label", "prediction"), "rows")))
-    grid = cells.agg(classes.alias("classes"), counts.alias("counts"))
-    grid = grid.select(F.explode("classes").alias("label"), "classes", "counts")
-    grid = grid.select("label", F.explode("classes").alias("prediction"), "counts")
-    found = F.try_element_at("counts", F.struct("label", "prediction"))
-    return grid.select("label", "prediction", F.coalesce(found, F.lit(0)).alias("rows"))
+    classes = cells.select(F.explode(F.array("label", "prediction")).alias("class")).distinct()
+    # the classes alone lie in one row, and no more of them than can be shown as a table
+    listed = classes.agg(F.array_sort(F.collect_set("class")).alias("all"))
+    checked = F.when(F.size("all") <= _MOST_CLASSES, F.col("all")).otherwise(
+        F.raise_error(F.lit(f"a matrix of more than {_MOST_CLASSES} classes")).cast(listed.schema["all"].dataType)
+    )
+    # a row for each class, each with all of them
+    grid = listed.select(F.explode(checked).alias("label"), "all").select("label", F.explode("all").alias("prediction"))
+    return grid.join(cells, ["label", "prediction"], "left").select("label", "prediction", F.coalesce("rows", F.lit(0)).alias("rows"))
 
 
 def _class_rates(df: DataFrame, label: str, prediction: str) -> DataFrame:

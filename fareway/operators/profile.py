@@ -170,6 +170,48 @@ def _exact_quartiles(values: DataFrame, counts: DataFrame, names: Sequence[str])
     return found.groupBy("column").agg(*quartiles)
 
 
+# --- quartiles from sketches kept in a table --------------------------------------------
+
+#: Size of a sketch; its quantiles are off by well under a hundredth of the rows.
+SKETCH_SIZE = 1_024
+
+
+def sketch_cube(df: DataFrame, keys: Sequence[str], columns: Sequence[str] = SUMMARY_COLUMNS, size: int = SKETCH_SIZE) -> DataFrame:
+    """A row for each group with a quantile sketch of every column, null and NaN left out.
+
+    Sketches merge, so quartiles of any coarser grouping come from this table, and a new
+    day is a few rows more instead of another pass over all days.
+    """
+    values = {c: F.col(c).cast("double") for c in columns}
+    sketches = [
+        F.kll_sketch_agg_double(F.when(~F.isnan(v), v), F.lit(size)).alias(f"{c}_sketch") for c, v in values.items()
+    ]
+    return df.groupBy(*keys).agg(*sketches)
+
+
+def sketch_quartiles(cube: DataFrame, keys: Sequence[str] = (), columns: Sequence[str] = SUMMARY_COLUMNS) -> DataFrame:
+    """(keys, column, count, quartile, value) from the merged sketches of each group of ``keys``."""
+    merged = cube.groupBy(*keys).agg(*[F.kll_merge_agg_double(f"{c}_sketch").alias(f"{c}_sketch") for c in columns])
+    rows = [F.struct(F.lit(c).alias("column"), F.col(f"{c}_sketch").alias("sketch")) for c in columns]
+    merged = merged.select(*keys, F.explode(F.array(*rows)).alias("s")).select(*keys, "s.column", "s.sketch")
+    counted = merged.withColumn("count", F.kll_sketch_get_n_double("sketch")).filter("count > 0")
+    shares = F.array(*[F.lit(q) for q in QUARTILES])
+    values = F.arrays_zip(shares.alias("quartile"), F.kll_sketch_get_quantile_double("sketch", shares).alias("value"))
+    return counted.select(*keys, "column", "count", F.explode(values).alias("q")).select(*keys, "column", "count", "q.quartile", "q.value")
+
+
+def rank_distances(df: DataFrame, quartiles: DataFrame, columns: Sequence[str] = SUMMARY_COLUMNS) -> DataFrame:
+    """``quartiles`` (column, quartile, value) with ``distance``: by what share of the rows the value misses its rank."""
+    # a quartile is one row for each summarised column
+    met = _long_values(df, columns).withColumnRenamed("value", "v").join(F.broadcast(quartiles), "column")
+    found = met.groupBy("column", "quartile", "value").agg(
+        F.count("*").alias("rows"), F.count_if(F.col("v") < F.col("value")).alias("below"), F.count_if(F.col("v") <= F.col("value")).alias("upto")
+    )
+    share = F.col("quartile")
+    off = F.greatest(F.lit(0.0), F.col("below") / F.col("rows") - share, share - F.col("upto") / F.col("rows"))
+    return found.select("column", F.col("rows").alias("count"), "quartile", "value", off.alias("distance"))
+
+
 # --- delivery checks -----------------------------------------------------------------
 
 
@@ -178,8 +220,11 @@ class Rule:
     """A check on one table.
 
     ``kind`` is ``rows`` (at least ``floor`` rows), ``columns`` (all present),
-    ``filled`` (no null in the columns), or ``values`` (each of ``values`` occurs
-    in the first column).
+    ``filled`` (no null in the columns), ``values`` (each of ``values`` occurs in the
+    first column), or ``bounds`` (the first column is a number from ``low`` to ``high`` in
+    every row). On a bundle, ``sections`` asks that each of ``values`` is a section with
+    records, ``keys`` that every record of ``section`` has the keys ``columns``, and with
+    ``section`` the other kinds look at the fields of its records.
     """
 
     table: str
@@ -187,20 +232,32 @@ class Rule:
     columns: tuple[str, ...] = ()
     floor: int = 1
     values: tuple[str, ...] = ()
+    section: str | None = None
+    low: float = float("-inf")
+    high: float = float("inf")
 
     @property
     def name(self) -> str:
         detail = {
             "rows": str(self.floor),
-            "columns": ",".join(self.columns),
-            "filled": ",".join(self.columns),
             "values": ",".join(self.values),
-        }[self.kind]
-        return f"{self.table}.{self.kind}({detail})"
+            "sections": ",".join(self.values),
+            "bounds": ",".join(map(str, (*self.columns, self.low, self.high))),
+        }.get(self.kind, ",".join(self.columns))
+        place = self.table if self.section is None else f"{self.table}.{self.section}"
+        return f"{place}.{self.kind}({detail})"
+
+
+def _occurring(column: Column, values: Sequence[str]) -> Column:
+    """How many of ``values`` occur in a column."""
+    hits = [F.max((column == v).cast("int")) for v in values]
+    return reduce(lambda a, b: a + b, [F.coalesce(h, F.lit(0)) for h in hits]).cast("bigint")
 
 
 def _observed(rule: Rule, df: DataFrame) -> tuple[Column, int]:
     """The measured number and the number it must reach, as an aggregate over the table."""
+    if rule.section is not None or rule.kind == "sections":
+        return _observed_in_bundle(rule, df)
     if rule.kind == "rows":
         return F.count("*"), rule.floor
     if rule.kind == "columns":
@@ -211,16 +268,41 @@ def _observed(rule: Rule, df: DataFrame) -> tuple[Column, int]:
     if rule.kind == "filled":
         broken = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in rule.columns])
         return -F.count_if(broken), 0
-    hits = [F.max((F.col(rule.columns[0]) == v).cast("int")) for v in rule.values]
-    total = reduce(lambda a, b: a + b, [F.coalesce(h, F.lit(0)) for h in hits])
-    return total.cast("bigint"), len(rule.values)
+    if rule.kind == "bounds":
+        return -F.count_if(_outside(F.col(rule.columns[0]).cast("double"), rule)), 0
+    return _occurring(F.col(rule.columns[0]), rule.values), len(rule.values)
+
+
+def _outside(value: Column, rule: Rule) -> Column:
+    # NaN is larger than any number here
+    return ~F.coalesce(~F.isnan(value) & (value >= F.lit(rule.low)) & (value <= F.lit(rule.high)), F.lit(False))
+
+
+def _observed_in_bundle(rule: Rule, df: DataFrame) -> tuple[Column, int]:
+    if rule.kind == "sections":
+        return _occurring(F.when(F.col("record").isNotNull(), F.col("section")), rule.values), len(rule.values)
+    mine = F.col("section") == rule.section
+    if rule.kind == "rows":
+        return F.count_if(mine), rule.floor
+    keys = F.coalesce(F.json_object_keys("record"), F.array().cast("array<string>"))
+    if rule.kind == "keys":
+        lacking = F.size(F.array_except(F.array(*[F.lit(c) for c in rule.columns]), keys)) > 0
+        return -F.count_if(mine & lacking), 0
+    fields = [F.get_json_object("record", f"$.{c}") for c in rule.columns]
+    if rule.kind == "filled":
+        return -F.count_if(mine & reduce(lambda a, b: a | b, [f.isNull() for f in fields])), 0
+    if rule.kind == "bounds":
+        return -F.count_if(mine & _outside(fields[0].try_cast("double"), rule)), 0
+    if rule.kind == "values":
+        return _occurring(F.when(mine, fields[0]), rule.values), len(rule.values)
+    raise ValueError(f"rule {rule.kind!r} does not apply to a section")
 
 
 def expectations(tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> DataFrame:
     """One row per rule: what was measured, what is needed, and whether it holds.
 
-    All rules of a table share one aggregate. ``observed`` of ``filled`` is the
-    number of offending rows with a minus sign.
+    All rules of a table share one aggregate. ``observed`` of ``filled``, ``bounds`` and
+    ``keys`` is the number of offending rows with a minus sign.
     """
     parts = []
     for table in dict.fromkeys(rule.table for rule in rules):

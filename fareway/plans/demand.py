@@ -14,7 +14,7 @@ from fareway.session import materialize
 
 @dataclass(frozen=True)
 class DemandModels:
-    linear: PipelineModel
+    linear: models.ZoneLine
     forest: PipelineModel
     train: DataFrame
     test: DataFrame
@@ -35,8 +35,13 @@ class DemandModels:
     def predictions(self, n: int = 5000) -> DataFrame:
         return models.predictions(self.forest.transform(self.test), n)
 
+    def side_by_side(self) -> DataFrame:
+        """Actual demand, the mean and the forest's prediction for every test row."""
+        mean = models.mean_baseline(self.train, self.test)
+        return models.prediction_table(self.forest.transform(mean))
+
     def save(self, root: str) -> None:
-        models.save_model(self.linear, f"{root}/{LINEAR}")
+        self.linear.save(f"{root}/{LINEAR}")
         models.save_model(self.forest, f"{root}/{FOREST}")
 
 
@@ -48,21 +53,22 @@ def train_demand_models(
     seed: int = SPLIT_SEED,
     scale: bool = False,
 ) -> DemandModels:
-    """Fit both pipelines on three quarters of the rows.
+    """Fit both models on three quarters of the rows.
 
     The averages among the features come from the same trips that are counted as
-    demand, so the models describe demand; they do not forecast it. A table of too many
-    zones is refused before training (``models.check_zones``).
+    demand, so the models describe demand; they do not forecast it. The line has a level
+    for each zone, however many; the forest sees up to ``models.ZONE_PLACES`` zones one by
+    one, and more of them by hash.
     """
     # training passes over its rows many times, so the features are written once, in as
     # many files as there are shuffle partitions: the trees are grown in that many tasks
     width = int(features.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = models.labelled(features).repartition(width, *models.DEMAND_KEY)
     table = materialize(spread, "demand-features")
-    models.check_zones(table)
     train, test = models.hash_split(table, seed=seed)
-    linear = models.demand_pipeline(models.linear_model(), scale=scale).fit(train)
+    linear = models.fit_zone_line(train)
     forest = models.demand_pipeline(
-        models.forest_model(trees=trees, depth=depth, min_leaf=min_leaf, seed=seed), scale=scale
+        models.forest_model(trees=trees, depth=depth, min_leaf=min_leaf, seed=seed),
+        scale=scale, encoded=models.zone_stages(train),
     ).fit(train)
     return DemandModels(linear, forest, train, test)

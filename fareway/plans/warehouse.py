@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fareway.constants import TripLimits
-from fareway.operators import cleaning, metrics, profile, reports
+from fareway.constants import FOREST, LINEAR, TripLimits
+from fareway.operators import cleaning, metrics, models, profile, reports
+from fareway.plans import demand
 from fareway.sources import tables as io
 
+# --- fixed values: table names, section names, row limits and checked columns ---------
+
 # table name -> order of its rows in an export
 GOLD_ORDER = {
     "hourly_metrics": ["pickup_hour"],
@@ -76,7 +79,8 @@ def build_silver(
     """Clean trips partitioned by month, so that a month is pruned at the scan."""
     named = cleaning.standardize_trips(bronze)
     clean = cleaning.clean_trips(named, limits, nulls)
-    io.write_table(clean, layout.silver, partition_by=["pickup_month"])
+    # rows of a month go to few tasks, a day to one, so that a month is not a file for every task
+    io.write_table(clean.repartition("pickup_month", "pickup_date"), layout.silver, partition_by=["pickup_month"])
     # the month comes back from the folder names, as text
     silver = bronze.sparkSession.read.schema(clean.schema).parquet(layout.silver)
     io.write_table(
@@ -141,63 +145,129 @@ def build_analysis(silver: DataFrame, layout: Layout, records: int = 500) -> dic
     return written
 
 
+# section -> table, and how many of its rows are shown
+SMALL_SECTIONS = {
+    "hourly": ("hourly_metrics", None),
+    "daily": ("daily_metrics", None),
+    "hotspots": ("pickup_hotspots", 15),
+    "od_routes": ("od_routes", 15),
+    "payment": ("payment_metrics", None),
+}
+FULL_SECTIONS = {
+    "hourly": ("hourly_metrics", None),
+    "daily": ("daily_metrics", None),
+    "hotspots": ("pickup_hotspots", 50),
+    "od_routes": ("od_routes", 50),
+    "payment": ("payment_metrics", None),
+    "demand_features": ("demand_features", 500),
+}
+ANALYSIS_LIMITS = {"hotspots": 30, "od_rank": 50}
+QUALITY_ORDER = {"source": "rows", "bronze_profile": "column", "silver_quality": "before_rows", "gold_manifest": "table"}
+MODEL_ORDER = {"metrics": ["model"], "evaluation_report": ["target"], "predictions": ["pickup_date", "pickup_hour", "pickup_zone"]}
+PREDICTIONS_SHOWN = {"small": 80, "full": 500}
+
+
 def small_bundle(gold: dict[str, DataFrame], predictions: DataFrame | None = None) -> DataFrame:
     """The short dashboard: whole small tables, 15 zones and routes, 80 predictions."""
-    limits = {"pickup_hotspots": 15, "od_routes": 15}
-    names = {
-        "hourly": "hourly_metrics",
-        "daily": "daily_metrics",
-        "hotspots": "pickup_hotspots",
-        "od_routes": "od_routes",
-        "payment": "payment_metrics",
-    }
     sections = {
-        shown: reports.Section(gold[name], export_order(name), limits.get(name))
-        for shown, name in names.items()
+        shown: reports.Section(gold[name], export_order(name), limit)
+        for shown, (name, limit) in SMALL_SECTIONS.items()
     }
     if predictions is not None:
-        order = ["pickup_date", "pickup_hour", "pickup_zone"]
-        sections["predictions"] = reports.Section(predictions, order, 80)
+        sections["predictions"] = reports.Section(predictions, MODEL_ORDER["predictions"], PREDICTIONS_SHOWN["small"])
     return reports.dashboard_bundle(sections)
 
 
 def full_bundle(
     gold: dict[str, DataFrame],
     analysis: dict[str, DataFrame],
-    quality: dict[str, tuple[DataFrame, list]],
-    model: dict[str, tuple[DataFrame, list]] | None = None,
+    quality: dict[str, DataFrame],
+    model: dict[str, DataFrame] | None = None,
 ) -> DataFrame:
-    """The long dashboard: metric, analysis, quality and model sections."""
-    limits = {"pickup_hotspots": 50, "od_routes": 50, "demand_features": 500, "hotspots": 30, "od_rank": 50}
+    """The long dashboard: metric, analysis, quality and model sections.
+
+    ``analysis`` may hold the ``summary``; ``quality`` and ``model`` are named as in
+    ``QUALITY_ORDER`` and ``MODEL_ORDER``.
+    """
     sections = {
-        f"gold.{name}": reports.Section(table, export_order(name), limits.get(name))
-        for name, table in gold.items()
+        f"gold.{shown}": reports.Section(gold[name], export_order(name), limit)
+        for shown, (name, limit) in FULL_SECTIONS.items()
     }
     for name, table in analysis.items():
-        sections[f"analysis.{name}"] = reports.Section(table, export_order(name), limits.get(name))
-    for name, (table, order) in quality.items():
-        sections[f"quality.{name}"] = reports.Section(table, order)
-    for name, (table, order) in (model or {}).items():
-        sections[f"model.{name}"] = reports.Section(table, order, 500)
+        order = ["top_hour"] if name == "summary" else export_order(name)
+        sections[f"analysis.{name}"] = reports.Section(table, order, ANALYSIS_LIMITS.get(name))
+    for name, table in quality.items():
+        sections[f"quality.{name}"] = reports.Section(table, [QUALITY_ORDER[name]])
+    for name, table in (model or {}).items():
+        limit = PREDICTIONS_SHOWN["full"] if name == "predictions" else None
+        sections[f"model.{name}"] = reports.Section(table, MODEL_ORDER[name], limit)
     return reports.dashboard_bundle(sections)
 
 
+def evaluation_report(metrics: DataFrame, train: DataFrame, test: DataFrame, target: str = "demand") -> DataFrame:
+    """What was learned from how many rows, and the model of the highest R²."""
+    best = models.best_model(metrics).select(F.lit(target).alias("target"), F.col("model").alias("selected_model"))
+    counted = best.withColumns({"train_rows": train.agg(F.count("*")).scalar(), "test_rows": test.agg(F.count("*")).scalar()})
+    return counted.select("target", "train_rows", "test_rows", "selected_model")
+
+
+def build_models(features: DataFrame, layout: Layout, records: int = 500, **forest) -> dict[str, DataFrame]:
+    """Train the demand models on the feature table; write them, their metrics, predictions and report."""
+    spark = features.sparkSession
+    trained = demand.train_demand_models(features, **forest)
+    trained.save(f"{layout.root}/models")
+    found = {"metrics": trained.metrics(), "predictions": trained.side_by_side()}
+    written = {}
+    for name, table in found.items():
+        io.write_table(table, layout.report(f"model_{name}"))
+        written[name] = spark.read.schema(table.schema).parquet(layout.report(f"model_{name}"))
+    io.export_csv(written["predictions"], layout.report("demand_predictions.csv"))
+    io.export_records(written["predictions"], layout.report("demand_predictions.json"), MODEL_ORDER["predictions"], records)
+    report = evaluation_report(written["metrics"], trained.train, trained.test)
+    io.write_table(report, layout.report("model_evaluation_report"))
+    written["evaluation_report"] = spark.read.schema(report.schema).parquet(layout.report("model_evaluation_report"))
+    return written
+
+
+def build_bundles(
+    spark: SparkSession, source: str, layout: Layout, gold: dict[str, DataFrame], analysis: dict[str, DataFrame], model: dict[str, DataFrame]
+) -> dict[str, DataFrame]:
+    """Both dashboards, from written tables."""
+    shown = {"summary": spark.read.parquet(layout.report("analysis_summary")), **analysis}
+    quality = {
+        "source": io.source_profile(spark, source) if source.rstrip("/").endswith(".parquet") else None,
+        "bronze_profile": spark.read.parquet(layout.report("missing_profile")),
+        "silver_quality": spark.read.parquet(layout.report("quality_report")),
+        "gold_manifest": spark.read.parquet(layout.report("gold_manifest")),
+    }
+    quality = {name: table for name, table in quality.items() if table is not None}
+    written = {}
+    for name, bundle in (("dashboard", small_bundle(gold, model["predictions"])), ("offline", full_bundle(gold, shown, quality, model))):
+        io.write_table(bundle, layout.report(name))
+        written[name] = spark.read.schema(bundle.schema).parquet(layout.report(name))
+    return written
+
+
 def run(
     spark: SparkSession,
     source: str,
     root: str,
     schema: T.StructType | None = None,
     limits: TripLimits = TripLimits(),
+    forest: dict | None = None,
 ) -> dict[str, DataFrame]:
-    """The whole offline job. Returns the written tables by name."""
+    """The whole offline job: tables, analysis, models and dashboards. Returns the written tables by name.
+
+    ``forest`` are parameters of ``demand.train_demand_models``.
+    """
     layout = Layout(root)
     bronze = build_bronze(spark, source, layout, schema)
     silver = build_silver(bronze, layout, limits)
     gold = build_gold(silver, layout)
     analysis = build_analysis(silver, layout)
-    bundle = small_bundle(gold)
-    io.write_table(bundle, layout.report("dashboard"))
-    return {"bronze": bronze, "silver": silver, **gold, **analysis}
+    model = build_models(gold["demand_features"], layout, **(forest or {}))
+    bundles = build_bundles(spark, source, layout, gold, analysis, model)
+    return {"bronze": bronze, "silver": silver, **gold, **analysis, **{f"model_{n}": t for n, t in model.items()}, **bundles}
 
 
 def delivery_rules(minimum_rows: int = 1_000_000, minimum_features: int = 10_000) -> list[profile.Rule]:
@@ -225,11 +295,21 @@ def delivery_rules(minimum_rows: int = 1_000_000, minimum_features: int = 10_000
 
 def model_rules() -> list[profile.Rule]:
     return [
-        profile.Rule(
-            "model_metrics",
-            "values",
-            ("model",),
-            values=("linear_regression_baseline", "random_forest_regressor"),
-        ),
+        profile.Rule("model_metrics", "values", ("model",), values=(LINEAR, FOREST)),
         profile.Rule("model_metrics", "filled", ("rmse", "mae", "r2")),
+        profile.Rule("model_metrics", "bounds", ("r2",), high=1.0),
+    ]
+
+
+def bundle_rules() -> list[profile.Rule]:
+    """Sections both dashboards must hold, and what the model section must say."""
+    offline = (
+        *[f"quality.{name}" for name in QUALITY_ORDER], "gold.hourly", "analysis.summary", "analysis.demand_pattern",
+        "analysis.peak_periods", "analysis.od_rank", *[f"model.{name}" for name in MODEL_ORDER],
+    )
+    return [
+        profile.Rule("dashboard", "sections", values=(*SMALL_SECTIONS, "predictions")),
+        profile.Rule("offline", "sections", values=offline),
+        profile.Rule("offline", "keys", ("model", "rmse", "mae", "r2"), section="model.metrics"),
+        profile.Rule("offline", "bounds", ("r2",), section="model.metrics", high=1.0),
     ]

@@ -24,25 +24,32 @@ def rounded(value: str, digits: int) -> str:
     return half_up(f"(({value}) * 1e{digits})", digits)
 
 
-def units(column: str, per_one: str = "1e4") -> str:
-    return f"CAST(floor(({column}) * {per_one} + 0.5e0) AS BIGINT)"
+def ratio(total: str, whole: str, digits: int) -> str:
+    """total / whole, both whole numbers, rounded away from zero at ties."""
+    steps = f"((abs({total}) * {2 * 10**digits} + {whole}) // (2 * {whole}))"
+    return f"((CASE WHEN {total} < 0 THEN -1 ELSE 1 END) * CAST({steps} AS DOUBLE) / 1e{digits})"
 
 
-def avg(column: str, digits: int = 3, per_one: str = "1e4") -> str:
-    total = f"CAST(sum({units(column, per_one)}) AS DOUBLE)"
-    return half_up(f"({total} * 1e{digits} / nullif(CAST(count({column}) AS DOUBLE) * {per_one}, 0))", digits)
+def decimal_sum(column: str) -> str:
+    """The sum of a column as a decimal, in 1/10^10."""
+    return f"CAST(sum(CAST(CAST({column} AS DOUBLE) AS DECIMAL(28, 10))) * 10000000000 AS HUGEINT)"
+
+
+def avg(column: str, digits: int = 3) -> str:
+    return ratio(decimal_sum(column), f"nullif(CAST(count({column}) AS HUGEINT), 0) * 10000000000", digits)
 
 
 def total(column: str, digits: int = 3) -> str:
-    return half_up(f"(CAST(sum({units(column)}) AS DOUBLE) * 1e{digits} / 1e4)", digits)
+    return ratio(decimal_sum(column), "CAST(10000000000 AS HUGEINT)", digits)
 
 
 def plain(column: str) -> str:
-    return f"(CAST(sum({units(column)}) AS DOUBLE) / nullif(CAST(count({column}) AS DOUBLE) * 1e4, 0))"
+    return f"(CAST({decimal_sum(column)} AS DOUBLE) / nullif(CAST(count({column}) AS DOUBLE) * 10000000000.0e0, 0))"
 
 
 DISTANCE, FARE, TOTAL = avg("trip_distance"), avg("fare_amount"), avg("total_amount")
-DURATION = avg("trip_duration_min", per_one="6e4")
+# a duration is a whole number of milliseconds
+DURATION = ratio("CAST(sum(CAST(round(trip_duration_min * 60000.0e0) AS HUGEINT)) AS HUGEINT)", "nullif(CAST(count(trip_duration_min) AS HUGEINT), 0) * 60000", 3)
 REVENUE, TIP = total("revenue"), avg("tip_amount")
 
 
@@ -78,7 +85,7 @@ trip_rows AS (
   FROM events),
 trip_raw AS (
   SELECT *, {case_map('payment_type', PAYMENT_LABELS, "'unknown'")} AS payment_type_label,
-    (epoch_us(dropoff_datetime) // 1000000 - epoch_us(pickup_datetime) // 1000000) / 6e1 AS trip_duration_min
+    (epoch_us(dropoff_datetime) // 1000000 - epoch_us(pickup_datetime) // 1000000) / 60.0e0 AS trip_duration_min
   FROM trip_rows)"""
 
 DERIVED = """*, CAST(pickup_datetime AS DATE) AS pickup_date,
@@ -121,21 +128,33 @@ flat AS (
   SELECT CAST(event_id AS VARCHAR) AS event_id,
     TIMESTAMP '2024-01-01 00:00:00' + to_milliseconds(event_id * 500) AS event_time,
     'R' || lpad(CAST(user_id % 10 + 1 AS VARCHAR), 3, '0') AS road_id, value AS speed_kmh,
-    CAST(event_id % 90 + 1 AS INTEGER) AS vehicle_count, (event_id * 13 % 100) / 1e2 AS occupancy,
+    CAST(event_id % 90 + 1 AS INTEGER) AS vehicle_count, (event_id * 13 % 100) / 100.0e0 AS occupancy,
     {rounded('1e3 / greatest(value, 1e0) * 3.6e0', 2)} AS travel_time_sec
   FROM events),
 readings AS (
   SELECT event_id, event_time, road_id, road_name, district, speed_kmh, vehicle_count, occupancy,
     travel_time_sec, {CLASS} AS congestion_level, lat, lon
-  FROM flat LEFT JOIN roads USING (road_id)),
-hopped AS (
+  FROM flat LEFT JOIN roads USING (road_id))"""
+
+HOPPED = """hopped AS (
   SELECT *, time_bucket(INTERVAL '10 seconds', event_time) - to_seconds(10 * i) AS window_start
   FROM readings, range(6) AS steps(i))"""
 
+# five deliveries, one in 40 readings one late and one in 40 two late; what a batch may still
+# count was fixed by the deliveries up to the one before the last
+LATE_HOPPED = """delivered AS (
+  SELECT *, least(4, CAST(floor(CAST(event_id AS BIGINT) * 5 / (max(CAST(event_id AS BIGINT)) OVER () + 1.0e0)) AS INTEGER)
+    + CASE CAST(event_id AS BIGINT) % 40 WHEN 7 THEN 1 WHEN 9 THEN 2 ELSE 0 END) AS delivery FROM readings),
+marks AS (SELECT d.n, max(event_time) - INTERVAL '5 seconds' AS mark FROM range(5) AS d(n) LEFT JOIN delivered ON delivery <= d.n - 2 GROUP BY d.n),
+hopped AS (
+  SELECT * FROM (
+    SELECT delivered.*, mark, time_bucket(INTERVAL '10 seconds', event_time) - to_seconds(10 * i) AS window_start
+    FROM delivered JOIN marks ON n = delivery, range(6) AS steps(i))
+  WHERE mark IS NULL OR window_start + INTERVAL '60 seconds' > mark)"""
+
 SEVERE_EVENTS = "count(*) FILTER (WHERE speed_kmh <= 12 OR congestion_level = 'severe')"
 
-ALERTS = f"""{READINGS},
-sums AS (
+ALERT_SUMS = f"""sums AS (
   SELECT window_start, window_start + INTERVAL '60 seconds' AS window_end, road_id, road_name, district,
     count(*) AS vehicle_count, {plain('speed_kmh')} AS speed, {plain('occupancy')} AS occ,
     {avg('speed_kmh', 2)} AS avg_speed_kmh, {avg('occupancy', 4)} AS avg_occupancy,
@@ -151,6 +170,9 @@ alerts AS (
       || CAST(avg_speed_kmh AS VARCHAR) || ' km/h' AS alert_text
   FROM sums WHERE speed <= 25 OR occ >= 0.65e0 OR severe_event_count >= 5)"""
 
+ALERTS = f"{READINGS}, {HOPPED}, {ALERT_SUMS}"
+CLOSED = "window_end <= (SELECT max(event_time) - INTERVAL '5 seconds' FROM readings)"
+
 CURRENT = "newest AS (SELECT * FROM alerts ORDER BY window_end DESC, window_start DESC, road_id LIMIT 100)"
 
 RANKED = """coalesce(severity <> 'severe', true), coalesce(avg_speed_kmh, 999),
@@ -163,6 +185,12 @@ def counted_text(name: str) -> str:
       || CAST(avg_speed_kmh AS VARCHAR) || ' km/h，车辆数 ' || vehicle_count"""
 
 
+SERVED = f"""clean AS (SELECT window_start, window_end, road_id, road_name, district, vehicle_count,
+        {rounded('avg_speed_kmh', 2)} AS avg_speed_kmh, {rounded('avg_occupancy', 3)} AS avg_occupancy,
+        avg_travel_time_sec, severe_event_count, severity FROM held)
+        SELECT *, {counted_text('road_name')} AS alert_text FROM clean ORDER BY {RANKED} LIMIT 30"""
+
+
 ALL_BOXES = """
 all_boxes AS (
   SELECT event_id // 20 AS image, event_id AS box_id,
@@ -294,6 +322,24 @@ parts AS (
 baseline AS (
   SELECT *, (SELECT avg(demand) FROM parts WHERE is_train) AS mean_demand FROM parts WHERE NOT is_train)"""
 
+LINE_FEATURES = ["pickup_hour", "pickup_weekday", "is_weekend", "avg_fare", "avg_duration_min"]
+LINE_SYSTEM = ", ".join(
+    "[" + ", ".join([f"sum(d[{i}] * d[{j}])" for j in range(1, 6)] + [f"sum(d[{i}] * e)"]) + "]" for i in range(1, 6)
+)
+# normal equations of the rows less their zone's means, solved by elimination
+ZONE_LINE = f"""{SPLIT},
+xs AS (SELECT *, CAST(demand AS DOUBLE) AS y, [{', '.join(f'CAST({c} AS DOUBLE)' for c in LINE_FEATURES)}] AS x FROM parts),
+means AS (SELECT pickup_zone, count(*) AS n, avg(y) AS my, [{', '.join(f'avg(x[{i}])' for i in range(1, 6))}] AS mx FROM xs WHERE is_train GROUP BY pickup_zone),
+centred AS (SELECT list_transform(range(1, 6), lambda i: x[i] - mx[i]) AS d, y - my AS e FROM xs JOIN means USING (pickup_zone) WHERE is_train),
+solve(k, m) AS (
+  SELECT 0, [{LINE_SYSTEM}] FROM centred
+  UNION ALL
+  SELECT k + 1, list_transform(m, lambda r, i: CASE WHEN i = k + 1 THEN list_transform(r, lambda v: v / r[k + 1])
+    ELSE list_transform(r, lambda v, j: v - r[k + 1] * m[k + 1][j] / m[k + 1][k + 1]) END) FROM solve WHERE k < 5),
+line AS (SELECT list_transform(m, lambda r: r[6]) AS b FROM solve WHERE k = 5),
+levels AS (SELECT pickup_zone, n, my - list_dot_product(mx, b) AS level FROM means, line),
+unseen AS (SELECT sum(n * level) / sum(n) AS level FROM levels)"""
+
 EVENT_ROWS = f"""{TRIPS},
 numbered AS (SELECT *, row_number() OVER (ORDER BY pickup_datetime, event_id) AS n FROM trips)"""
 
@@ -415,12 +461,17 @@ SMALL_SECTIONS = [
     ("payment", "payment_metrics", None),
 ]
 SMALL_BUNDLE = " UNION ALL ".join(records(s, GOLD_TABLES[t], TABLE_ORDER[t], n) for s, t, n in SMALL_SECTIONS)
-FULL_LIMITS = {"pickup_hotspots": 50, "od_routes": 50, "demand_features": 500}
-FULL_BUNDLE = " UNION ALL ".join(
-    [records(f"gold.{t}", sql, TABLE_ORDER[t], FULL_LIMITS.get(t)) for t, sql in GOLD_TABLES.items()]
-    + [records(f"analysis.{t}", sql, TABLE_ORDER[t]) for t, sql in ANALYSIS_TABLES.items()]
-    + [records("quality.silver", f"SELECT * FROM ({quality(valid(), 6)})", "before_rows")]
-)
+FULL_SECTIONS = [
+    ("hourly", "hourly_metrics", None),
+    ("daily", "daily_metrics", None),
+    ("hotspots", "pickup_hotspots", 50),
+    ("od_routes", "od_routes", 50),
+    ("payment", "payment_metrics", None),
+    ("demand_features", "demand_features", 500),
+]
+HEADLINE = """SELECT (SELECT pickup_hour FROM trips GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AS top_hour,
+        (SELECT pickup_zone FROM trips GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AS top_zone,
+        (SELECT od_pair FROM trips GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AS top_od_pair"""
 
 RAW_NAMES = [
     "event_id", "vendor_id", "pickup_datetime", "dropoff_datetime", "passenger_count", "trip_distance",
@@ -444,6 +495,47 @@ def missing(source: str, columns: list[str]) -> str:
     )
 
 
+MODEL_LINES = """lined AS (
+  SELECT xs.*, (SELECT avg(demand) FROM parts WHERE is_train) AS mean_demand, coalesce(levels.level, unseen.level) + list_dot_product(x, b) AS lined
+  FROM xs LEFT JOIN levels USING (pickup_zone), line, unseen WHERE NOT is_train)"""
+RATED = (
+    regression("'baseline_mean' AS model,", "lined", "demand", "mean_demand")
+    + " UNION ALL " + regression("'linear_regression_baseline' AS model,", "lined", "demand", "lined")
+)
+METRICS = f"SELECT model, {', '.join(f'CAST({c} AS DECIMAL(18, 4)) AS {c}' for c in ('rmse', 'mae', 'r2'))} FROM ({RATED})"
+EVALUATION = f"""SELECT 'demand' AS target, (SELECT count(*) FROM parts WHERE is_train) AS train_rows,
+    (SELECT count(*) FROM parts WHERE NOT is_train) AS test_rows,
+    (SELECT model FROM ({RATED}) WHERE r2 IS NOT NULL ORDER BY r2 DESC, model LIMIT 1) AS selected_model"""
+SIDE_BY_SIDE = f"""SELECT pickup_date, pickup_hour, pickup_zone, pickup_weekday, {rounded('CAST(demand AS DOUBLE)', 3)} AS actual_demand,
+    {rounded('mean_demand', 3)} AS baseline_prediction, {rounded('lined', 3)} AS improved_prediction FROM lined"""
+MANIFEST = " UNION ALL ".join(
+    f"SELECT '{t}' AS \"table\", 'gold/{t}' AS path, count(*) AS rows, [{', '.join(repr(c) for c in GOLD_COLUMNS[t].split(','))}] AS columns FROM ({sql})"
+    for t, sql in GOLD_TABLES.items()
+)
+BY_DEMAND = "pickup_date, pickup_hour, pickup_zone"
+SMALL_NAMES = ["hourly", "daily", "hotspots", "od_routes", "payment", "predictions"]
+OFFLINE_NAMES = [
+    "quality.source", "quality.bronze_profile", "quality.silver_quality", "quality.gold_manifest",
+    "gold.hourly", "analysis.summary", "analysis.demand_pattern", "analysis.peak_periods", "analysis.od_rank",
+    "model.metrics", "model.evaluation_report", "model.predictions",
+]
+FULL_BUNDLE = " UNION ALL ".join(
+    [records(f"gold.{s}", GOLD_TABLES[t], TABLE_ORDER[t], n) for s, t, n in FULL_SECTIONS]
+    + [records("analysis.summary", HEADLINE, "top_hour")]
+    + [records(f"analysis.{t}", sql, TABLE_ORDER[t]) for t, sql in ANALYSIS_TABLES.items()]
+    + [
+        records("quality.source", "SELECT count(*) AS rows, ['event_id', 'ts', 'user_id', 'event_type', 'value', 'props'] AS columns FROM events", "rows"),
+        records("quality.bronze_profile", missing("trip_raw", TRIP_COLUMNS), '"column"'),
+        records("quality.silver_quality", f"SELECT * FROM ({quality(valid(), 6)})", "before_rows"),
+        records("quality.gold_manifest", MANIFEST, '"table"'),
+        records("model.metrics", METRICS, "model"),
+        records("model.evaluation_report", EVALUATION, "target"),
+        records("model.predictions", SIDE_BY_SIDE, BY_DEMAND, 500),
+    ]
+)
+SMALL_WITH_MODEL = f"{SMALL_BUNDLE} UNION ALL " + records("predictions", SIDE_BY_SIDE, BY_DEMAND, 80)
+
+
 def check(rule: str, table: str, observed: str, needed: int) -> str:
     return f"""SELECT '{rule}' AS rule, '{table}' AS "table", observed, CAST({needed} AS BIGINT) AS needed,
     observed >= {needed} AS ok FROM (SELECT CAST({observed} AS BIGINT) AS observed FROM {table})"""
@@ -462,11 +554,11 @@ SELECT k AS event_id, CAST(count(*) AS INTEGER) AS window_size, count(*) AS trip
 FROM covered JOIN zones z USING (k) GROUP BY k"""
 
 
-def stratified(label: str) -> str:
+def stratified(label: str, key: str = "event_id", columns: str = "event_id, event_type", source: str = "events") -> str:
     return f"""coded AS (
-  SELECT event_id, event_type, {label} AS label, {md5_bits('event_id', 42)} AS code FROM events),
+  SELECT {columns}, {label} AS label, {md5_bits(key, 42)} AS code FROM {source}),
 split AS (
-  SELECT *, row_number() OVER (PARTITION BY label ORDER BY code, event_id)
+  SELECT *, row_number() OVER (PARTITION BY label ORDER BY code, {key})
     <= floor(count(*) OVER (PARTITION BY label) * 80 / 100.0) AS in_train FROM coded)"""
 
 
@@ -494,8 +586,8 @@ _ORACLES: dict[str, str] = {
     "payment_labels": f"WITH {TRIP_ROWS} SELECT event_id, payment_type, payment_type_label FROM trip_raw",
     "payment_labels_missing_column": "SELECT event_id, 'unknown' AS payment_type_label FROM events",
     "trip_durations": """SELECT event_id,
-        (epoch_us(ts + to_microseconds(750000 * (event_id % 400))) // 1000000 - epoch_us(ts) // 1000000) / 6e1 AS duration_min,
-        (750000 * (event_id % 400)) / 6e7 AS duration_min_fractional FROM events""",
+        (epoch_us(ts + to_microseconds(750000 * (event_id % 400))) // 1000000 - epoch_us(ts) // 1000000) / 60.0e0 AS duration_min,
+        (750000 * (event_id % 400)) / 60000000.0e0 AS duration_min_fractional FROM events""",
     "calendar_columns": """SELECT o_orderkey, CAST(o_orderdate AS DATE) AS order_date,
         strftime(o_orderdate, '%Y-%m') AS order_month, CAST(hour(o_orderdate) AS INTEGER) AS order_hour,
         CAST(isodow(o_orderdate) - 1 AS INTEGER) AS order_weekday,
@@ -520,6 +612,9 @@ _ORACLES: dict[str, str] = {
         FROM {rows_of([(i + 1, n, t) for i, (n, t) in enumerate(LINE_TYPES)], 'p, n, t')}""",
     "numeric_summary": f"WITH {TRIPS} " + summary("trips", SUMMARY_COLUMNS, False),
     "numeric_summary_exact": f"WITH {TRIPS} " + summary("trips", SUMMARY_COLUMNS, True),
+    "sketched_quartiles": f"""WITH {TRIPS}, v AS ({' UNION ALL '.join(f"SELECT '{c}' AS c, CAST({c} AS DOUBLE) AS v FROM trips" for c in SUMMARY_COLUMNS)})
+        SELECT c AS "column", count(v) AS count, q AS quartile, 0.01e0 AS bound, true AS within
+        FROM v, (VALUES (0.25e0), (0.5e0), (0.75e0)) AS l(q) GROUP BY c, q""",
     "lineitem_summary_exact": summary("lineitem", ["l_quantity", "l_extendedprice", "l_discount"], True),
     "table_manifest": f"WITH {FEATURES} " + " UNION ALL ".join(
         f"SELECT '{t}' AS \"table\", 'gold/{t}' AS path, count(*) AS rows, '{GOLD_COLUMNS[t]}' AS columns FROM ({sql})"
@@ -527,9 +622,10 @@ _ORACLES: dict[str, str] = {
     ),
     "source_files": """SELECT count(*) AS rows, 'o_orderkey,o_custkey,o_orderstatus,o_totalprice,o_orderdate,o_orderpriority' AS columns,
         true AS has_size FROM orders""",
-    "delivery_checks": f"""WITH {FEATURES}, bronze AS (SELECT * FROM trip_raw), silver AS (SELECT * FROM trips),
+    "delivery_checks": f"""WITH RECURSIVE {ZONE_LINE}, {MODEL_LINES}, bronze AS (SELECT * FROM trip_raw), silver AS (SELECT * FROM trips),
         demand_features AS (SELECT * FROM features), demand_pattern AS ({ANALYSIS_TABLES['demand_pattern']}),
-        od_rank AS ({ANALYSIS_TABLES['od_rank']}) """ + " UNION ALL ".join([
+        od_rank AS ({ANALYSIS_TABLES['od_rank']}), model_metrics AS ({METRICS}),
+        dashboard AS ({SMALL_WITH_MODEL}), offline AS ({FULL_BUNDLE}) """ + " UNION ALL ".join([
         check("bronze.rows(5000)", "bronze", "count(*)", 5000),
         check("silver.rows(5000)", "silver", "count(*)", 5000),
         check(f"silver.columns({SILVER_CHECKED})", "silver", "9 + 0 * count(*)", 9),
@@ -538,6 +634,14 @@ _ORACLES: dict[str, str] = {
         check("od_rank.rows(1)", "od_rank", "count(*)", 1),
         check("bronze.filled(passenger_count)", "bronze", "-count(*) FILTER (WHERE passenger_count IS NULL)", 0),
         check("silver.values(cash,dispute,barter)", "silver", "count(DISTINCT payment_type_label) FILTER (WHERE payment_type_label IN ('cash', 'dispute', 'barter'))", 3),
+        # one of the two demanded models is not among them
+        check("model_metrics.values(linear_regression_baseline,random_forest_regressor)", "model_metrics", "count(*) FILTER (WHERE model = 'linear_regression_baseline')", 2),
+        check("model_metrics.filled(rmse,mae,r2)", "model_metrics", "-count(*) FILTER (WHERE rmse IS NULL OR mae IS NULL OR r2 IS NULL)", 0),
+        check("model_metrics.bounds(r2,-inf,1.0)", "model_metrics", "-count(*) FILTER (WHERE r2 IS NULL OR r2 > 1)", 0),
+        check(f"dashboard.sections({','.join(SMALL_NAMES)})", "dashboard", f"count(DISTINCT section) FILTER (WHERE section IN ({', '.join(repr(n) for n in SMALL_NAMES)}))", len(SMALL_NAMES)),
+        check(f"offline.sections({','.join(OFFLINE_NAMES)})", "offline", f"count(DISTINCT section) FILTER (WHERE section IN ({', '.join(repr(n) for n in OFFLINE_NAMES)}))", len(OFFLINE_NAMES)),
+        check("offline.model.metrics.keys(model,rmse,mae,r2)", "offline", "-count(*) FILTER (WHERE section = 'model.metrics' AND NOT list_has_all(json_keys(record), ['model', 'rmse', 'mae', 'r2']))", 0),
+        check("offline.model.metrics.bounds(r2,-inf,1.0)", "offline", "-count(*) FILTER (WHERE section = 'model.metrics' AND NOT coalesce(CAST(json_extract(record, '$.r2') AS DOUBLE) <= 1, false))", 0),
     ]),
     "hourly_metrics": f"WITH {TRIPS} {GOLD_TABLES['hourly_metrics']}",
     "hourly_metrics_counting_passengers": f"WITH {KEPT} SELECT pickup_hour, count(passenger_count) AS trip_count, {HOURLY} FROM trips GROUP BY ALL",
@@ -561,30 +665,33 @@ _ORACLES: dict[str, str] = {
         filled AS (SELECT c.pickup_weekday, c.pickup_hour, coalesce(trip_count, 0) AS trip_count, avg_fare
         FROM cells c LEFT JOIN ({ANALYSIS_TABLES['time_features']}) t USING (pickup_weekday, pickup_hour))
         SELECT *, max(trip_count) OVER () AS max_count FROM filled""",
-    "trip_headline": f"""WITH {TRIPS} SELECT
-        (SELECT pickup_hour FROM trips GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AS top_hour,
-        (SELECT pickup_zone FROM trips GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AS top_zone,
-        (SELECT od_pair FROM trips GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AS top_od_pair""",
+    "trip_headline": f"WITH {TRIPS} {HEADLINE}",
     "top_zones": f"WITH {TRIPS} {ANALYSIS_TABLES['hotspots']}",
     "top_routes": f"WITH {TRIPS} {ANALYSIS_TABLES['od_rank']}",
+    "seven_decimals": f"""WITH v AS (SELECT event_type, (value + event_id / 10000000.0e0) * CASE WHEN event_id % 3 = 0 THEN -1 ELSE 1 END AS v FROM events)
+        SELECT event_type, count(*) AS rows, CAST(sum(CAST(v AS DECIMAL(28, 7))) AS DOUBLE) AS total, {avg('v', 7)} AS average FROM v GROUP BY event_type""",
     "lineitem_hotspots": f"WITH {LINE_TRIPS} SELECT pickup_zone, count(*) AS trip_count, {REVENUE} AS revenue, {DISTANCE} AS avg_distance FROM line_trips GROUP BY pickup_zone",
     "lineitem_routes": f"WITH {LINE_TRIPS} SELECT od_pair, count(*) AS trip_count, {FARE} AS avg_fare, {DURATION} AS avg_duration_min FROM line_trips GROUP BY od_pair",
     "lineitem_top_routes": f"WITH {LINE_TRIPS} SELECT od_pair, count(*) AS trip_count, {FARE} AS avg_fare FROM line_trips GROUP BY od_pair ORDER BY trip_count DESC, od_pair LIMIT 50",
     "first_feature_records": f"WITH {FEATURES} SELECT * FROM features ORDER BY pickup_date, pickup_hour, pickup_zone LIMIT 500",
-    "dashboard_small": f"WITH {TRIPS} {SMALL_BUNDLE}",
-    "dashboard_full": f"WITH {FEATURES} {FULL_BUNDLE}",
+    "dashboard_small": f"WITH RECURSIVE {ZONE_LINE}, {MODEL_LINES} {SMALL_WITH_MODEL}",
+    "dashboard_full": f"WITH RECURSIVE {ZONE_LINE}, {MODEL_LINES} {FULL_BUNDLE}",
     "dashboard_sections": f"WITH {TRIPS} SELECT section, count(*) AS records FROM ({SMALL_BUNDLE}) GROUP BY section",
     "stacked_tables": f"""WITH {TRIPS} SELECT 'hourly' AS "table", * FROM ({GOLD_TABLES['hourly_metrics']})
         UNION ALL BY NAME SELECT 'daily' AS "table", * FROM ({GOLD_TABLES['daily_metrics']})
         UNION ALL BY NAME SELECT 'pattern' AS "table", * FROM ({ANALYSIS_TABLES['demand_pattern']})""",
-    "congestion_classes": f"SELECT event_id, {CLASS} AS congestion_level FROM (SELECT event_id, value AS speed_kmh, (event_id * 13 % 100) / 1e2 AS occupancy FROM events)",
+    "congestion_classes": f"SELECT event_id, {CLASS} AS congestion_level FROM (SELECT event_id, value AS speed_kmh, (event_id * 13 % 100) / 100.0e0 AS occupancy FROM events)",
     "reading_measures": f"""WITH {READINGS} SELECT event_id,
         {rounded('least(1e0, greatest(0.05e0, vehicle_count / CAST(capacity AS DOUBLE)))', 4)} AS occupancy, travel_time_sec
         FROM readings JOIN roads USING (road_id)""",
     "json_readings": f"WITH {READINGS} SELECT * FROM readings",
-    "hop_windows": f"WITH {READINGS} SELECT window_start, window_start + INTERVAL '60 seconds' AS window_end, road_id, count(*) AS readings FROM hopped GROUP BY window_start, road_id",
+    "hop_windows": f"WITH {READINGS}, {HOPPED} SELECT window_start, window_start + INTERVAL '60 seconds' AS window_end, road_id, count(*) AS readings FROM hopped GROUP BY window_start, road_id",
     "congestion_alerts": f"WITH {ALERTS} SELECT * FROM alerts",
-    "stream_congestion_alerts": f"WITH {ALERTS} SELECT * FROM alerts WHERE window_end <= (SELECT max(event_time) - INTERVAL '5 seconds' FROM readings)",
+    "stream_congestion_alerts": f"WITH {ALERTS} SELECT * FROM alerts WHERE {CLOSED}",
+    "stream_late_readings": f"WITH {READINGS}, {LATE_HOPPED}, {ALERT_SUMS} SELECT * FROM alerts WHERE {CLOSED}",
+    "served_alerts_from_sink": f"""WITH {ALERTS}, held AS (SELECT * FROM alerts WHERE {CLOSED} ORDER BY window_end DESC, window_start DESC, road_id LIMIT 100),
+        {SERVED}""",
+    "stream_named_alerts": f"WITH {ALERTS} SELECT * REPLACE ({counted_text('road_name')} AS alert_text) FROM alerts",
     "severe_alerts": f"WITH {ALERTS} SELECT window_start, window_end, road_id, avg_speed_kmh FROM alerts WHERE severity = 'severe'",
     "enriched_alerts": f"""WITH {ALERTS} SELECT window_start, window_end, road_id,
         CASE WHEN road_id <> 'R010' THEN road_name END AS road_name, CASE WHEN road_id <> 'R010' THEN district ELSE '?' END AS district,
@@ -596,10 +703,7 @@ _ORACLES: dict[str, str] = {
     "ranked_alerts": f"WITH {ALERTS} SELECT window_start, window_end, road_id, severity, avg_speed_kmh, vehicle_count FROM alerts ORDER BY {RANKED} LIMIT 30",
     "newest_alert": f"WITH {ALERTS} SELECT window_start, window_end, road_id, avg_speed_kmh FROM alerts ORDER BY window_end DESC, window_start DESC, {RANKED} LIMIT 1",
     "served_alerts": f"""WITH {ALERTS}, held AS (SELECT * FROM alerts ORDER BY window_end DESC, window_start DESC, road_id LIMIT 100),
-        clean AS (SELECT window_start, window_end, road_id, road_name, district, vehicle_count,
-        {rounded('avg_speed_kmh', 2)} AS avg_speed_kmh, {rounded('avg_occupancy', 3)} AS avg_occupancy,
-        avg_travel_time_sec, severe_event_count, severity FROM held)
-        SELECT *, {counted_text('road_name')} AS alert_text FROM clean ORDER BY {RANKED} LIMIT 30""",
+        {SERVED}""",
     "speed_trend": f"""WITH {ALERTS}, top AS (SELECT * FROM alerts QUALIFY row_number() OVER (PARTITION BY window_start, window_end ORDER BY {RANKED}) = 1)
         SELECT window_start, window_end, coalesce(avg_speed_kmh, 0) AS speed_kmh FROM top ORDER BY window_end DESC LIMIT 30""",
     "severity_counts": f"""WITH {ALERTS} SELECT s AS severity, count(severity) AS alerts,
@@ -626,6 +730,7 @@ _ORACLES: dict[str, str] = {
     "numbered_events": f"WITH {EVENT_ROWS} SELECT n AS event_id, event_id AS trip_id FROM numbered",
     "first_events": f"WITH {EVENT_ROWS} SELECT n AS event_id, event_id AS trip_id, pickup_zone FROM numbered WHERE n <= 500",
     "count_windows": COUNT_WINDOWS,
+    "stream_count_windows": COUNT_WINDOWS,
     "annotation_boxes": """SELECT event_id AS image, CAST(k AS INTEGER) AS object_id,
         CAST((event_id * 97 + k * 11) % 400 AS INTEGER) AS x1, CAST((event_id * 53 + k * 7) % 200 AS INTEGER) AS y1,
         CAST((event_id * 97 + k * 11) % 400 + 60 AS INTEGER) AS x2, CAST((event_id * 53 + k * 7) % 200 + 120 AS INTEGER) AS y2
@@ -664,6 +769,17 @@ _ORACLES: dict[str, str] = {
         SELECT *, {rounded('CAST(negatives AS DOUBLE) / nullif(CAST(positives AS DOUBLE), 0)', 2)} AS negatives_per_positive FROM n""",
     "mean_baseline": f"WITH {SPLIT} SELECT pickup_date, pickup_hour, pickup_zone, {rounded('mean_demand', 4)} AS baseline_prediction FROM baseline",
     "mean_baseline_metrics": f"WITH {SPLIT} " + regression("", "baseline", "demand", "mean_demand"),
+    "zone_line_coefficients": f"""WITH RECURSIVE {ZONE_LINE}
+        SELECT unnest([{', '.join(repr(c) for c in LINE_FEATURES)}]) AS feature, unnest(list_transform(b, lambda v: {rounded('v', 6)})) AS coefficient FROM line
+        UNION ALL SELECT 'level', {rounded('level', 6)} FROM unseen""",
+    "zone_line_predictions": f"""WITH RECURSIVE {ZONE_LINE} SELECT pickup_date, pickup_hour, pickup_zone,
+        {rounded('coalesce(levels.level, unseen.level) + list_dot_product(x, b)', 5)} AS baseline_prediction
+        FROM xs LEFT JOIN levels USING (pickup_zone), line, unseen WHERE NOT is_train""",
+    "demand_prediction_rows": f"""WITH {SPLIT} SELECT pickup_date, pickup_hour, pickup_weekday, pickup_zone, demand, true AS in_range
+        FROM baseline ORDER BY pickup_date, pickup_hour, pickup_zone LIMIT 5000""",
+    "svm_optimum": f"""WITH {stratified('CASE WHEN label < 5 THEN 1 ELSE 0 END', 'vec_id', 'vec_id', 'embeddings')}
+        SELECT CAST(dim AS INTEGER) AS dim, count(*) AS rows, true AS weight_at_rest, true AS bias_at_rest
+        FROM split, range(64) AS d(dim) WHERE in_train GROUP BY dim""",
     "model_comparison": f"WITH {MODEL_ROWS} " + regression("model,", "guesses", "y", "p", "GROUP BY model"),
     "best_model": f"WITH {MODEL_ROWS}, m AS ({regression('model,', 'guesses', 'y', 'p', 'GROUP BY model')}) SELECT model, r2 FROM m ORDER BY r2 DESC, model LIMIT 1",
     "linear_scores": f"WITH {SCORES} SELECT vec_id, {rounded('decision', 6)} AS decision FROM scored",

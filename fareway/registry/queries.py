@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareway import bindings as B
@@ -19,7 +20,7 @@ from fareway.constants import (
     roads_table,
 )
 from fareway.functions import columns as C
-from fareway.functions.measures import round_half_up
+from fareway.functions.measures import count_known, limb_sums, round_half_up, rounded_avg, rounded_sum
 from fareway.operators import (
     alerts as A,
     boxes as X,
@@ -36,6 +37,7 @@ from fareway.plans import demand, detection, warehouse
 from fareway.session import materialize, new_folder
 from fareway.sources import streams, tables
 from fareway.streaming import congestion as S
+from fareway.streaming import count_windows as CW
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -221,6 +223,16 @@ def numeric_summary(spark, sf):
     return _rounded_summary(P.numeric_summary(B.clean(spark, sf))).drop("q25", "q50", "q75")
 
 
+@query
+def sketched_quartiles(spark, sf):
+    """Quartiles from sketches kept by date and hour, and whether their ranks are within the bound."""
+    trips = B.clean(spark, sf)
+    cube = materialize(P.sketch_cube(trips, ["pickup_date", "pickup_hour"]), "sketches")
+    found = P.rank_distances(trips, materialize(P.sketch_quartiles(cube), "quartiles"))
+    bound = 0.01
+    return found.select("column", "count", "quartile", F.lit(bound).alias("bound"), (F.col("distance") <= bound).alias("within"))
+
+
 @query
 def numeric_summary_exact(spark, sf):
     """A14, exact quartiles."""
@@ -242,8 +254,7 @@ def _rounded_summary(df: DataFrame) -> DataFrame:
 @query
 def table_manifest(spark, sf):
     """S10."""
-    cube = M.trip_cube(B.clean(spark, sf))
-    gold = warehouse.gold_tables(cube, B.clean(spark, sf))
+    gold, _, _ = _gold(spark, sf)
     listing = P.manifest({name: (df, f"gold/{name}") for name, df in gold.items()})
     return listing.withColumn("columns", F.concat_ws(",", "columns"))
 
@@ -261,18 +272,24 @@ def source_files(spark, sf):
 
 @query
 def delivery_checks(spark, sf):
-    """A24."""
+    """Tables, models, and sections of both dashboards. One of the two demanded models is missing, so its rule fails."""
     clean = B.clean(spark, sf)
+    small, full, model = _bundles(spark, sf)
     checked = {
         "bronze": B.trips(spark, sf),
         "silver": clean,
         "demand_features": M.demand_features(clean),
         "demand_pattern": M.demand_pattern(clean),
         "od_rank": M.top_routes(clean),
+        "model_metrics": materialize(model["metrics"], "metrics"),
+        "dashboard": materialize(small, "bundle"),
+        "offline": materialize(full, "bundle"),
     }
     rules = warehouse.delivery_rules(5_000, 1_000) + [
         P.Rule("bronze", "filled", ("passenger_count",)),
         P.Rule("silver", "values", ("payment_type_label",), values=("cash", "dispute", "barter")),
+        *warehouse.model_rules(),
+        *warehouse.bundle_rules(),
     ]
     return P.expectations(checked, rules)
 
@@ -400,6 +417,16 @@ def top_routes(spark, sf):
     return M.top_routes(B.clean(spark, sf))
 
 
+@query
+def seven_decimals(spark, sf):
+    """Sums and averages of values of either sign with seven decimals."""
+    e = F.col("event_id")
+    value = (F.col("value") + e / 10_000_000) * F.when(e % 3 == 0, -1).otherwise(1)
+    rows = B.events(spark, sf).select("event_type", value.alias("v"))
+    sums = rows.groupBy("event_type").agg(F.count("*").alias("rows"), *limb_sums("v", "v"), count_known("v").alias("known"))
+    return sums.select("event_type", "rows", rounded_sum("v", 7).alias("total"), rounded_avg("v", F.col("known"), 7).alias("average"))
+
+
 def _line_trips(spark, sf):
     """Line items as trips between suppliers and parts."""
     lines = B.table(spark, sf, "lineitem")
@@ -480,20 +507,46 @@ def _gold(spark, sf):
     return warehouse.gold_tables(cube, clean), cube, clean
 
 
+def _line_models(features: DataFrame) -> dict[str, DataFrame]:
+    """Model sections from the mean and the zone line, which SQL can repeat."""
+    train, test = L.hash_split(materialize(L.labelled(features), "features"))
+    line = L.fit_zone_line(train, numeric=LINE_FEATURES)
+    scored = L.mean_baseline(train, line.transform(test, "improved_prediction"))
+    metrics = L.compare_models({"baseline_mean": (scored, "baseline_prediction"), demand.LINEAR: (scored, "improved_prediction")})
+    shown = metrics.select("model", *[F.col(c).cast("decimal(18,4)").alias(c) for c in ("rmse", "mae", "r2")])
+    return {
+        "metrics": shown,
+        "evaluation_report": warehouse.evaluation_report(metrics, train, test),
+        "predictions": L.prediction_table(scored),
+    }
+
+
+def _bundles(spark, sf):
+    gold, cube, clean = _gold(spark, sf)
+    bronze = B.trips(spark, sf)
+    analysis = {"summary": M.headline(clean), **warehouse.analysis_tables(cube, clean)}
+    model = _line_models(gold["demand_features"])
+    files = tables.source_profile(spark, f"{sf}/events.parquet")
+    quality = {
+        "source": files.agg(F.sum("rows").alias("rows"), F.max("columns").alias("columns")),
+        "bronze_profile": P.missing_profile(bronze),
+        "silver_quality": K.quality_report(bronze),
+        "gold_manifest": P.manifest({name: (df, f"gold/{name}") for name, df in gold.items()}),
+    }
+    return warehouse.small_bundle(gold, model["predictions"]), warehouse.full_bundle(gold, analysis, quality, model), model
+
+
 @query
 def dashboard_small(spark, sf):
-    """S8."""
+    """S8, with predictions."""
     gold, _, _ = _gold(spark, sf)
-    return warehouse.small_bundle(gold)
+    return warehouse.small_bundle(gold, _line_models(gold["demand_features"])["predictions"])
 
 
 @query
 def dashboard_full(spark, sf):
-    """Metric, analysis and quality sections."""
-    gold, cube, clean = _gold(spark, sf)
-    analysis = warehouse.analysis_tables(cube, clean)
-    report = K.quality_report(B.trips(spark, sf))
-    return warehouse.full_bundle(gold, analysis, {"silver": (report, ["before_rows"])})
+    """Metric, analysis, quality and model sections."""
+    return _bundles(spark, sf)[1]
 
 
 @query
@@ -566,13 +619,99 @@ def stream_congestion_alerts(spark, sf):
     """S3, S4, ST1-ST5: the same alerts from a stream of JSON messages, closed windows only."""
     messages = streams.reading_messages(B.readings_of(B.event_stream(spark, sf), roads_table(spark)))
     folder = new_folder(spark, "alerts")
-    cores = spark.sparkContext.defaultParallelism
-    width = min(int(spark.conf.get("spark.sql.shuffle.partitions")), cores)
-    run = stream_plan.start(messages, f"{folder}/sink", f"{folder}/state", state_partitions=width)
+    run = stream_plan.start(messages, f"{folder}/sink", f"{folder}/state", state_partitions=_state_width(spark))
     run.awaitTermination()
-    stored = stream_plan.stored_alerts(spark, f"{folder}/sink")
-    times = {c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")}
-    return stored.withColumns(times)
+    return _plain_times(stream_plan.stored_alerts(spark, f"{folder}/sink"))
+
+
+def _state_width(spark: SparkSession) -> int:
+    """State partitions of a stream: as many as tasks run at once, the shuffle width at most."""
+    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
+@contextmanager
+def _state_conf(spark: SparkSession):
+    """The shuffle width a stream takes its state partitions from when it starts."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(_state_width(spark)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def _plain_times(alerts: DataFrame) -> DataFrame:
+    return alerts.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
+
+
+def _delivered(df: DataFrame, delivery: str, root: str):
+    """Write the rows of each value of ``delivery`` as one file, in order; yields after each."""
+    placed = materialize(df, "deliveries")
+    for n in sorted(r[0] for r in placed.select(delivery).distinct().collect()):
+        placed.filter(F.col(delivery) == n).drop(delivery).coalesce(1).write.mode("append").parquet(root)
+        yield n
+
+
+def _part_of(number: Column, last: Column, parts: int) -> Column:
+    """Which of ``parts`` equal ranges of 0..last a number falls into."""
+    return (number * parts / (last + 1)).cast("int")
+
+
+LATE_PARTS = 5
+
+
+@query
+def stream_late_readings(spark, sf):
+    """ST1, ST4, ST5: readings in five deliveries, a batch each; one in 40 comes a delivery late, one in 40 two and is dropped where its window is closed."""
+    events = B.events(spark, sf)
+    number, last = F.col("number"), F.col("last")
+    part = _part_of(number, last, LATE_PARTS)
+    delay = F.when(number % 40 == 7, 1).when(number % 40 == 9, 2).otherwise(0)
+    rows = B.readings(spark, sf).withColumns({"number": F.col("event_id").cast("bigint"), "last": events.agg(F.max("event_id")).scalar()})
+    rows = rows.withColumn("delivery", F.least(part + delay, F.lit(LATE_PARTS - 1))).drop("number", "last")
+    messages = streams.reading_messages(rows.drop("delivery")).columns
+    fields = [F.date_format(n, "yyyy-MM-dd HH:mm:ss.SSS").alias(n) if k.startswith("timestamp") else F.col(n) for n, k in rows.dtypes if n != "delivery"]
+    rows = rows.select("delivery", F.col("road_id").alias("key"), F.to_json(F.struct(*fields)).alias("value"))
+    folder = new_folder(spark, "late")
+    for _ in _delivered(rows, "delivery", f"{folder}/in"):
+        pass
+    incoming = spark.readStream.schema("key STRING, value STRING").option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    stream_plan.start(incoming.select(*messages), f"{folder}/sink", f"{folder}/state", state_partitions=_state_width(spark)).awaitTermination()
+    return _plain_times(stream_plan.stored_alerts(spark, f"{folder}/sink"))
+
+
+@query
+def served_alerts_from_sink(spark, sf):
+    """S4, ST6, W4, J1, L4: readings in three deliveries, a run of the stream for each; the served table after the last."""
+    last = B.events(spark, sf).agg(F.max("event_id")).scalar()
+    rows = B.readings(spark, sf)
+    part = _part_of(F.col("number"), F.col("last"), 3)
+    placed = rows.withColumns({"number": F.col("event_id").cast("bigint"), "last": last}).withColumn("delivery", part).drop("number", "last")
+    folder = new_folder(spark, "serving")
+    with _state_conf(spark):
+        for _ in _delivered(placed, "delivery", f"{folder}/in"):
+            incoming = streams.reading_messages(spark.readStream.schema(rows.schema).parquet(f"{folder}/in"))
+            stream_plan.start_serving(incoming, folder, f"{folder}/state", period="hour").awaitTermination()
+    return _plain_times(stream_plan.served_table(spark, folder))
+
+
+@query
+def stream_named_alerts(spark, sf):
+    """Alerts in three deliveries, each repeated with another count in the next; first deliveries come out, named."""
+    alerts = _alerts(spark, sf).withColumns({c: F.col(c).cast("timestamp") for c in ("window_start", "window_end")})
+    alerts = alerts.withColumn("road_name", F.lit("?"))
+    spans = alerts.agg(F.min("window_end").alias("low"), F.max("window_end").alias("high"))
+    seconds = {n: F.unix_seconds(spans.select(n).scalar()) for n in ("low", "high")}
+    part = _part_of(F.unix_seconds("window_end") - F.col("low"), F.col("high") - F.col("low"), 3)
+    first = alerts.withColumns(seconds).withColumn("delivery", part).drop("low", "high")
+    again = first.withColumns({"delivery": F.col("delivery") + 1, "vehicle_count": F.col("vehicle_count") + 1})
+    folder = new_folder(spark, "naming")
+    for _ in _delivered(first.unionByName(again), "delivery", f"{folder}/in"):
+        pass
+    incoming = spark.readStream.schema(stream_plan.ALERT_SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    stream_plan.start_naming(incoming, f"{folder}/sink", f"{folder}/state", state_partitions=_state_width(spark)).awaitTermination()
+    return _plain_times(stream_plan.stored_alerts(spark, f"{folder}/sink"))
 
 
 @query
@@ -717,6 +856,21 @@ def count_windows(spark, sf):
     return W.count_window(N.number_events(_trip_events(spark, sf), EVENT_ORDER))
 
 
+@query
+def stream_count_windows(spark, sf):
+    """W2, W3, ST8: the same snapshots from a stream, in four deliveries with a run for each."""
+    events = _trip_events(spark, sf)
+    at = F.unix_micros(F.col("pickup_datetime").cast("timestamp"))
+    cuts = materialize(events.withColumn("at", at), "trip-events")
+    edges = cuts.approxQuantile("at", [0.25, 0.5, 0.75], 0.01)
+    delivery = sum(((F.col("at") > edge).cast("int") for edge in edges), F.lit(0))
+    folder = new_folder(spark, "count-windows")
+    for _ in _delivered(cuts.withColumn("delivery", delivery).drop("at"), "delivery", f"{folder}/in"):
+        incoming = spark.readStream.schema(events.schema).parquet(f"{folder}/in")
+        CW.start_count_windows(incoming, folder, f"{folder}/state-of-query", EVENT_ORDER).awaitTermination()
+    return CW.stored_count_windows(spark, folder)
+
+
 # --- boxes --------------------------------------------------------------------------------------------
 
 
@@ -849,9 +1003,8 @@ def hash_split(spark, sf):
 @query
 def zone_indexes(spark, sf):
     """M3: index of every zone of the feature table."""
-    features = M.demand_features(B.clean(spark, sf))
-    indexed = L.zone_index().fit(features).transform(features.select("pickup_zone").distinct())
-    return indexed.select("pickup_zone", F.col("pickup_zone_index").cast("int").alias("zone_index"))
+    numbers = L.zone_numbers(M.demand_features(B.clean(spark, sf)))
+    return numbers.select("pickup_zone", F.col("zone_index").cast("int").alias("zone_index"))
 
 
 @query
@@ -991,16 +1144,70 @@ def stored_model(spark, sf):
     )
 
 
-@query
-def svm_decisions(spark, sf):
-    """Linear SVM on embeddings, decision values of the held-out rows."""
+def _svm_rows(spark, sf):
+    """Embeddings with a label, scaled on the training rows; and the squared-hinge machine trained on those."""
     rows = B.table(spark, sf, "embeddings").select(
         "vec_id", "embedding", (F.col("label") < 5).cast("int").alias("label")
     )
     split = L.as_vectors(materialize(L.stratified_split(rows, "label", "vec_id"), "split"), "embedding")
-    model = L.scaled_svm().fit(split.filter("in_train"))
-    return L.decision_values(model.transform(split.filter("NOT in_train"))).select(
-        "vec_id", "label", "prediction", "decision"
+    scaled = L.standard_scaler().fit(split.filter("in_train")).transform(split)
+    scaled = materialize(scaled.select("vec_id", "label", "in_train", L.vector_to_array("scaled").alias("scaled")), "scaled")
+    return scaled, L.squared_hinge_svm(scaled.filter("in_train"))
+
+
+@query
+def svm_decisions(spark, sf):
+    """Squared-hinge linear SVM on embeddings, decision values of the held-out rows."""
+    scaled, machine = _svm_rows(spark, sf)
+    return machine.transform(scaled.filter("NOT in_train")).select("vec_id", "label", "prediction", "decision")
+
+
+@query
+def svm_optimum(spark, sf):
+    """Training rows, and whether the trained machine is the least: no weight can move and lower the objective, whose slope is summed again in SQL terms."""
+    scaled, machine = _svm_rows(spark, sf)
+    side = F.when(F.col("label") == 1, 1.0).otherwise(-1.0)
+    scored = machine.transform(scaled.filter("in_train")).withColumn("gap", F.greatest(F.lit(0.0), 1 - side * F.col("decision")))
+    pulls = scored.select("vec_id", F.posexplode(F.transform("scaled", lambda v: v * side * F.col("gap"))).alias("dim", "pull"), (side * F.col("gap")).alias("push"))
+    slopes = pulls.groupBy("dim").agg(F.sum("pull").alias("pull"), F.sum("push").alias("push"), F.count("*").alias("rows"))
+    weights = F.lit(list(machine.weights))
+    at_rest = F.abs(F.element_at(weights, F.col("dim") + 1) - 0.02 * F.col("pull")) < 1e-6
+    level = F.abs(F.lit(machine.bias) - 0.02 * F.col("push")) < 1e-6
+    return slopes.select("dim", "rows", at_rest.alias("weight_at_rest"), level.alias("bias_at_rest"))
+
+
+#: The average distance is a fifth of the average fare in these trips, so a line over both has no single solution.
+LINE_FEATURES = ("pickup_hour", "pickup_weekday", "is_weekend", "avg_fare", "avg_duration_min")
+
+
+def _zone_line(spark, sf):
+    train, test = L.hash_split(materialize(L.labelled(M.demand_features(B.clean(spark, sf))), "features"))
+    return L.fit_zone_line(train, numeric=LINE_FEATURES), test
+
+
+@query
+def zone_line_coefficients(spark, sf):
+    """M7: least squares with a level for each zone."""
+    line, _ = _zone_line(spark, sf)
+    return line.table().select("feature", round_half_up(F.col("coefficient"), 6).alias("coefficient"))
+
+
+@query
+def zone_line_predictions(spark, sf):
+    """M7, M9: predictions of the held-out rows."""
+    line, test = _zone_line(spark, sf)
+    return line.transform(test).select(*L.DEMAND_KEY, round_half_up(F.col("baseline_prediction"), 5).alias("baseline_prediction"))
+
+
+@query
+def demand_prediction_rows(spark, sf):
+    """M8, M9: the first 5,000 held-out rows in order, and whether the forest's prediction lies among the labels."""
+    models = demand.train_demand_models(M.demand_features(B.clean(spark, sf)), trees=8, depth=5)
+    spread = models.train.agg(F.min("demand").alias("low"), F.max("demand").alias("high")).first()
+    rows = models.predictions()
+    return rows.select(
+        "pickup_date", "pickup_hour", "pickup_weekday", "pickup_zone", "demand",
+        F.col("improved_prediction").between(spread.low, spread.high).alias("in_range"),
     )
 
 

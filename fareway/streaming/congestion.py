@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fareway.constants import WindowThresholds
 from fareway.functions import columns as C
-from fareway.functions.measures import as_units, plain_avg, rounded_avg
+from fareway.functions.measures import count_known, limb_sums, plain_avg, rounded_avg
 
 WINDOW_SECONDS = 60
 SLIDE_SECONDS = 10
@@ -44,14 +44,14 @@ def _first_sums(limits: WindowThresholds) -> list[Column]:
     )
     sums = [F.count("*").alias("events"), F.count_if(severe).alias("severe_events")]
     for name, column in _MEASURED.items():
-        sums += [F.sum(as_units(column)).alias(name), F.count(as_units(column)).alias(f"{name}_n")]
+        sums += [*limb_sums(name, column), count_known(column).alias(f"{name}_n")]
     return sums
 
 
 def _panes_to_windows(readings: DataFrame, size: int, slide: int, limits: WindowThresholds) -> DataFrame:
     """Sums per slide interval first, then each interval goes to the windows over it.
 
-    Counts and whole units add up exactly, so this equals grouping every reading
+    Counts and limbs add up exactly, so this equals grouping every reading
     into size/slide windows, with one copied row per interval and road instead.
     """
     keys = [c for c in ROAD_KEY]
@@ -61,7 +61,7 @@ def _panes_to_windows(readings: DataFrame, size: int, slide: int, limits: Window
     spread = panes.select("*", F.explode(back).alias("_back")).withColumn(
         "window_start", F.col("pane") - F.col("_back")
     )
-    names = ["events", "severe_events"] + [n + s for n in _MEASURED for s in ("", "_n")]
+    names = ["events", "severe_events"] + [n + s for n in _MEASURED for s in ("", "_low", "_n")]
     summed = spread.groupBy("window_start", *keys).agg(*[F.sum(n).alias(n) for n in names])
     return summed.withColumn(
         "window_end", F.col("window_start") + F.expr(f"INTERVAL '{size}' SECOND")
@@ -94,8 +94,8 @@ def congestion_alerts(
         sums = _direct_windows(with_event_time(readings, delay), size, slide, limits)
     else:
         sums = _panes_to_windows(readings, size, slide, limits)
-    speed = plain_avg(F.col("speed"), F.col("speed_n"))
-    occupancy = plain_avg(F.col("occupancy"), F.col("occupancy_n"))
+    speed = plain_avg("speed", F.col("speed_n"))
+    occupancy = plain_avg("occupancy", F.col("occupancy_n"))
     alarming = (
         (speed <= limits.alert[0])
         | (occupancy >= limits.alert[1])
@@ -106,9 +106,9 @@ def congestion_alerts(
         "window_end",
         *ROAD_KEY,
         F.col("events").alias("vehicle_count"),
-        rounded_avg(F.col("speed"), F.col("speed_n"), 2).alias("avg_speed_kmh"),
-        rounded_avg(F.col("occupancy"), F.col("occupancy_n"), 4).alias("avg_occupancy"),
-        rounded_avg(F.col("travel"), F.col("travel_n"), 2).alias("avg_travel_time_sec"),
+        rounded_avg("speed", F.col("speed_n"), 2).alias("avg_speed_kmh"),
+        rounded_avg("occupancy", F.col("occupancy_n"), 4).alias("avg_occupancy"),
+        rounded_avg("travel", F.col("travel_n"), 2).alias("avg_travel_time_sec"),
         F.col("severe_events").alias("severe_event_count"),
         C.alert_severity(speed, occupancy, limits).alias("severity"),
     )

@@ -115,10 +115,11 @@ def test_count_window_averages(spark):
 
 
 def test_measures_beyond_their_units_are_refused(spark):
-    from fareway.functions.measures import as_units
+    from fareway.functions.measures import limbs
 
-    df = spark.createDataFrame([(1.23456,), (float("nan"),), (None,), (-9e14,)], "v DOUBLE")
-    assert [r[0] for r in df.select(as_units("v")).collect()] == [12346, None, None, -9 * 10**18]
+    df = spark.createDataFrame([(1.23456,), (float("nan"),), (None,), (-9e14,), (-0.00005,), (-1.5,)], "v DOUBLE")
+    got = [tuple(r) for r in df.select(*limbs("v")).collect()]
+    assert got == [(12345, 600000), (None, None), (None, None), (-9 * 10**18, 0), (-1, 500000), (-15000, 0)]
     for wrong in (1e16, -1e16, float("inf"), float("-inf")):
         with pytest.raises(Exception, match="range of its units"):
-            spark.createDataFrame([(wrong,)], "v DOUBLE").select(as_units("v")).collect()
+            spark.createDataFrame([(wrong,)], "v DOUBLE").select(*limbs("v")).collect()

@@ -22,7 +22,7 @@ def job(spark, sf_dir, tmp_path_factory):
     root = tmp_path_factory.mktemp("warehouse")
     source = str(root / "raw.parquet")
     B.raw_trips(spark, sf_dir).write.parquet(source)
-    return str(root / "out"), warehouse.run(spark, source, str(root / "out"))
+    return str(root / "out"), warehouse.run(spark, source, str(root / "out"), forest={"trees": 4, "depth": 3})
 
 
 def test_job_equals_the_operators(spark, sf_dir, job):
@@ -45,7 +45,7 @@ def test_job_reports(spark, job):
     assert manifest["daily_metrics"] == tables["daily_metrics"].count()
     bundle = spark.read.parquet(f"{root}/reports/dashboard")
     sections = {r.section: r.records for r in R.filled_sections(bundle).collect()}
-    assert set(sections) == {"hourly", "daily", "hotspots", "od_routes", "payment"}
+    assert set(sections) == {"hourly", "daily", "hotspots", "od_routes", "payment", "predictions"}
     first = bundle.filter("section = 'hotspots' AND rank = 1").first()
     assert json.loads(first.record)["trip_count"] == tables["pickup_hotspots"].agg(F.max("trip_count")).first()[0]
 
