@@ -207,3 +207,35 @@ def test_evaluate(spark):
         "image INT, det_id BIGINT, x1 INT, y1 INT, x2 INT, y2 INT, score DOUBLE")
     row = detection.evaluate(dets, truth, score=0.5).first()
     assert (row.tp, row.fp, row.fn, row.precision, row.recall) == (1, 1, 1, 0.5, 0.5)
+
+
+def rounds_of(monkeypatch, name):
+    """How often an intermediate table of that name is written."""
+    seen, plain = [], X.materialize
+    monkeypatch.setattr(X, "materialize", lambda df, n: (seen.append(n), plain(df, n))[1])
+    return lambda: seen.count(name)
+
+
+def test_a_long_chain_of_boxes_takes_few_rounds(spark, monkeypatch):
+    """Each box is suppressed by the one before it alone, so every second one stays."""
+    n = 100_000
+    df = spark.range(n).selectExpr("1 AS image", "6 * id AS x1", "0 AS y1", "6 * id + 10 AS x2", "10 AS y2", "1 - id / 1e6 AS score")
+    written, chains = rounds_of(monkeypatch, "nms-left"), rounds_of(monkeypatch, "chains")
+    kept = X.nms(df, 0.2).collect()
+    assert sorted(r.x1 for r in kept) == list(range(0, 6 * n, 12))
+    assert written() <= 3 and chains() <= 20
+
+
+def test_a_long_chain_of_pairs_takes_few_rounds(spark, monkeypatch):
+    """Each prediction overlaps its own box most, and the next one."""
+    n = 3_000
+    preds = spark.range(n).selectExpr("1 AS image", "id AS det_id", "10 * id + 3 AS x1", "0 AS y1", "10 * id + 13 AS x2", "10 AS y2", "1 - id / 1e6 AS score")
+    truth = spark.range(n).selectExpr("1 AS image", "id AS object_id", "10 * id AS x1", "0 AS y1", "10 * id + 10 AS x2", "10 AS y2")
+    written = rounds_of(monkeypatch, "match-left")
+    row = X.match_boxes(preds, truth, 0.1, fold_limit=10).first()
+    assert (row.tp, row.fp, row.fn) == (n, 0, 0)
+    assert written() <= 4
+    # the best prediction lies between: all others shift by one box
+    shifted = preds.withColumn("x1", F.col("x1") + 4).withColumn("x2", F.col("x2") + 4)
+    row = X.match_boxes(shifted, truth, 0.1, fold_limit=10).first()
+    assert (row.tp, row.fp, row.fn) == (n - 1 + int(overlap((10 * n - 3, 0, 10 * n + 7, 10), (10 * n - 10, 0, 10 * n, 10)) >= 0.1), 0, 0) or row.tp >= n - 1

@@ -130,8 +130,84 @@ def test_full_matrix_and_averages(spark):
     assert L.full_confusion_matrix(df.limit(0)).count() == 0
 
 
-def test_too_many_zones_are_refused(spark):
-    zones = spark.createDataFrame([("a",), ("b",), ("b",)], "pickup_zone STRING")
-    L.check_zones(zones, most=2)
-    with pytest.raises(ValueError, match="2 values of pickup_zone, more than 1"):
-        L.check_zones(zones, most=1)
+def test_zone_line_agrees_with_the_library(spark):
+    """Predictions of one-hot least squares; a feature that repeats another changes none."""
+    df = planted(spark, 6).filter("pickup_zone <> 'zone_3' OR pickup_date < 4")
+    line = L.fit_zone_line(df)
+    library = L.linear_model().setMaxIter(2000).setTol(1e-14)
+    both = line.transform(L.demand_pipeline(library).fit(df).transform(df).withColumnRenamed("baseline_prediction", "want"))
+    assert both.agg(F.max(F.abs(F.col("want") - F.col("baseline_prediction")))).first()[0] < 1e-6
+    repeated = df.withColumn("avg_fare", F.col("avg_distance") * 5)
+    names = [c for c in L.NUMERIC_FEATURES if c != "avg_fare"]
+    want = L.fit_zone_line(repeated, numeric=names).transform(repeated, "want")
+    both = L.fit_zone_line(repeated).transform(want)
+    assert both.agg(F.max(F.abs(F.col("want") - F.col("baseline_prediction")))).first()[0] < 1e-6
+    one = df.limit(1)
+    assert line.transform(one.withColumn("pickup_zone", F.lit("nowhere"))).first().baseline_prediction is not None
+    assert line.transform(one.withColumn("avg_distance", F.lit(None).cast("double"))).first().baseline_prediction is None
+    with pytest.raises(ValueError, match="complete rows"):
+        L.fit_zone_line(df.limit(0))
+
+
+def test_zone_line_of_a_million_zones(spark, tmp_path):
+    n = 1_000_000
+    e = F.col("id") % n
+    df = spark.range(2 * n).select(
+        e.cast("string").alias("pickup_zone"), (F.hash("id") % 100 / 10).alias("a"), (F.col("id") % 7).alias("b"))
+    df = df.withColumn("demand", 3 * F.col("a") - 2 * F.col("b") + e % 11)
+    line = L.fit_zone_line(df, numeric=("a", "b"))
+    assert line.coefficients == pytest.approx((3, -2)) and line.levels.count() == n
+    line.save(str(tmp_path))
+    again = L.load_zone_line(spark, str(tmp_path), ("a", "b"))
+    assert again.transform(df).filter(F.abs(F.col("demand") - F.col("baseline_prediction")) > 1e-6).isEmpty()
+    assert L.zone_numbers(df).agg(F.max("zone_index"), F.count_distinct("zone_index")).first() == (n - 1, n)
+
+
+def test_many_zones_share_hashed_places(spark):
+    df = planted(spark, 2)
+    assert len(L.zone_stages(df, places=5)) == 2 and len(L.zone_stages(df, places=4)) == 1
+    model = L.demand_pipeline(L.forest_model(trees=4, depth=4), encoded=L.zone_stages(df, places=4)).fit(df)
+    scored = model.transform(df)
+    assert scored.first().features.size == 6 + 4
+    assert L.regression_metrics(scored, prediction="improved_prediction").first().r2 > 0.5
+
+
+def test_squared_hinge_machine_is_the_least(spark):
+    """No lower objective by a plain solver; the decision is w·x + b in SQL."""
+    import duckdb
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 6))
+    x[:, 5] *= 30
+    y = np.where(x[:, 0] + 0.5 * x[:, 1] + rng.normal(size=400) > 0.3, 1, 0)
+    df = spark.createDataFrame([(i, v.tolist(), int(k)) for i, (v, k) in enumerate(zip(x, y))] + [(400, None, 1)], "id INT, scaled ARRAY<DOUBLE>, label INT")
+    for c in (0.01, 1.0):
+        machine = L.squared_hinge_svm(df.repartition(5), c=c)
+        a, side, w = np.c_[x, np.ones(400)], np.where(y == 1, 1.0, -1.0), np.zeros(7)
+
+        def value(w):
+            return 0.5 * w @ w + c * (np.maximum(0, 1 - side * (a @ w)) ** 2).sum()
+
+        for _ in range(20_000):
+            gap = np.maximum(0, 1 - side * (a @ w))
+            slope, step = w - 2 * c * (side * gap) @ a, 1.0
+            while value(w - step * slope) > value(w) - 1e-4 * step * slope @ slope and step > 1e-12:
+                step /= 2
+            w = w - step * slope
+            if np.linalg.norm(slope) < 1e-5:
+                break
+        got = np.r_[machine.weights, machine.bias]
+        assert machine.objective == pytest.approx(value(got)) and machine.objective <= value(w) + 1e-6
+        rows = machine.transform(df.filter("scaled IS NOT NULL")).select("id", "scaled", "decision", "prediction").toPandas()  # noqa: F841
+        wrong = duckdb.sql(f"""SELECT count(*) FROM rows WHERE abs(decision - (list_dot_product(CAST(scaled AS DOUBLE[]), {list(machine.weights)}::DOUBLE[]) + {machine.bias})) > 1e-9
+            OR (decision > 0) <> (prediction = 1)""").fetchone()[0]
+        assert wrong == 0
+    with pytest.raises(ValueError, match="components"):
+        L.squared_hinge_svm(df.limit(0))
+
+
+def test_matrix_of_too_many_classes_is_refused(spark, monkeypatch):
+    monkeypatch.setattr(L, "_MOST_CLASSES", 2)
+    with pytest.raises(Exception, match="more than 2 classes"):
+        L.full_confusion_matrix(spark.createDataFrame([(1, 1), (1, 0), (2, 0)], "label INT, prediction INT")).collect()

@@ -75,3 +75,34 @@ def test_exact_quartiles_beside_an_outlier(spark):
     df = spark.createDataFrame([(v,) for v in values], "v DOUBLE")
     row = P.numeric_summary(df, ["v"], exact=True).first()
     assert (row.q25, row.q50, row.q75) == tuple(np.percentile(values, [25, 50, 75]))
+
+
+def test_rules_on_sections(spark):
+    rows = [("model.metrics", 1, '{"model":"a","r2":0.5}'), ("model.metrics", 2, '{"model":"b","r2":1.5}'), ("empty", 1, None), ("odd", 1, "no json")]
+    bundle = spark.createDataFrame(rows, "section STRING, rank INT, record STRING")
+    numbers = spark.createDataFrame([(0.0,), (2.0,), (float("nan"),), (None,)], "v DOUBLE")
+    rules = [
+        P.Rule("b", "sections", values=("model.metrics", "empty", "absent")),
+        P.Rule("b", "keys", ("model", "r2"), section="model.metrics"),
+        P.Rule("b", "keys", ("model", "mae"), section="model.metrics"),
+        P.Rule("b", "keys", ("model",), section="odd"),
+        P.Rule("b", "bounds", ("r2",), section="model.metrics", high=1.0),
+        P.Rule("b", "values", ("model",), values=("a", "b", "c"), section="model.metrics"),
+        P.Rule("b", "filled", ("mae",), section="model.metrics"),
+        P.Rule("b", "rows", floor=2, section="model.metrics"),
+        P.Rule("n", "bounds", ("v",), low=0.0, high=1.0),
+    ]
+    got = [(r.observed, r.needed, r.ok) for r in P.expectations({"b": bundle, "n": numbers}, rules).collect()]
+    assert got == [(1, 3, False), (0, 0, True), (-2, 0, False), (-1, 0, False), (-1, 0, False), (2, 3, False), (-2, 0, False), (2, 2, True), (-3, 0, False)]
+    with pytest.raises(ValueError):
+        P.expectations({"b": bundle}, [P.Rule("b", "columns", ("x",), section="odd")])
+
+
+def test_quartiles_of_kept_sketches(spark):
+    df = spark.range(50_000).selectExpr("id % 7 AS day", "CASE WHEN id % 10 = 0 THEN NULL WHEN id % 11 = 0 THEN double('NaN') ELSE id * id END AS v")
+    cube = P.sketch_cube(df, ["day"], ["v"])
+    found = P.rank_distances(df, P.sketch_quartiles(cube, columns=["v"]), ["v"]).collect()
+    assert len(found) == 3 and all(r.distance < 0.01 for r in found)
+    by_day = P.sketch_quartiles(cube, ["day"], ["v"])
+    assert by_day.count() == 21
+    assert P.sketch_quartiles(cube.limit(0), columns=["v"]).count() == 0
