@@ -64,8 +64,9 @@ def decode(code: int) -> str:
 def learn_profiles(docs: DataFrame, size: int = 300) -> DataFrame:
     """The ``size`` most frequent n-grams of each language: lang, code, rank (from 0).
 
-    Rows need ``text`` and ``lang``; those with a null in either are not used.
-    Counts cover every row. Ties go to the smaller code.
+    Rows need ``text`` and ``lang``; those with a null in either are not used, and texts
+    without letters add nothing. Counts cover every row, repeated ones too, and whole texts
+    of any length. Ties go to the smaller code. An empty table has no profiles.
     """
 
     def counts(batches):
@@ -91,7 +92,9 @@ def learn_profiles(docs: DataFrame, size: int = 300) -> DataFrame:
     rows = docs.select(F.col("lang").cast("string").alias("lang"), "text").dropna()
     grams = map_rows(rows, "lang string, code long, n long", counts).groupBy("lang", "code").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "code")
-    return grams.withColumn("rank", F.row_number().over(order) - 1).filter(F.col("rank") < size).drop("n")
+    # this form lets every task keep its own first rows of a language before they meet
+    first = grams.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= size)
+    return first.select("lang", "code", (F.col("place") - 1).alias("rank"))
 
 
 class Profiles:
