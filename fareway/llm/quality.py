@@ -77,6 +77,14 @@ def passages(text: str | None) -> np.ndarray:
     return found if len(found) else np.zeros((1, FEATURES), np.float32)
 
 
+def stretches(x: np.ndarray, most: int) -> np.ndarray:
+    """``x`` itself, or the means of ``most`` stretches of its rows if it has more."""
+    if len(x) <= most:
+        return x
+    edges = len(x) * np.arange(most + 1) // most
+    return (np.add.reduceat(x, edges[:-1]) / np.diff(edges)[:, None]).astype(np.float32)
+
+
 class AttentionModel:
     """h = tanh(We x); weight = softmax(w · tanh(V h) · sigmoid(U h)); score = sigmoid(c · Σ weight h + b)."""
 
@@ -146,11 +154,14 @@ class AttentionModel:
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = 6000, bag: int = 32) -> AttentionModel:
-    """Model fitted on at most ``sample`` labelled documents and ``bag`` passages of each, evenly spaced.
-
-    ``labels`` holds doc_id and quality (0 or 1; others are not used). The sample is
-    the rows of smallest id hash, so it repeats. With labels of one kind or none the
-    untrained output only shifts to that kind or stays near one half.
+    """Model fitted on at most ``sample`` labelled documents, each with its whole text.
+
+    Of a text of more than ``bag`` passages, neighbouring ones are put together: the bag
+    holds the means of ``bag`` stretches of equal length, so every passage counts.
+    ``labels`` holds doc_id and quality (0 or 1; others are not used); an id with several
+    labels, or several texts, is a document for each. The sample is the rows of smallest
+    id hash, so it repeats. With labels of one kind or none the untrained output only
+    shifts to that kind or stays near one half.
     """
     chosen = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
@@ -165,8 +176,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = 6000, bag: int
         for batch in batches:
             bags = []
             for text in batch["text"]:
-                x = passages(text.as_py())
-                bags.append(x[np.linspace(0, len(x) - 1, min(bag, len(x))).astype(int)].tobytes())
+                bags.append(stretches(passages(text.as_py()), bag).tobytes())
             yield {"doc_id": batch["doc_id"], "order": batch["order"], "quality": batch["quality"], "bag": bags}
 
     found = map_rows(rows, "doc_id long, order long, quality int, bag binary", encode).collect()
