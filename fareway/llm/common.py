@@ -41,6 +41,14 @@ def id_and_text(docs: DataFrame) -> DataFrame:
     return docs.select(key().alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not hold, in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the Python workers, once an application, so that they can import it."""
     context = spark.sparkContext

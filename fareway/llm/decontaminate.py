@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareway.llm.common import PLAIN, WordCodes, append, distinct, id_and_text, key, map_rows, mix, shingles, unkey
+from fareway.llm.common import PLAIN, WordCodes, append, distinct, id_and_text, key, map_rows, mix, shingles, unkey, unused
 
 MINIMA = 64
 _MISS = 1e-5
@@ -204,13 +204,18 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, n: int = 5, threshold
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 5, threshold: float = 0.8) -> DataFrame:
-    """``docs`` without the rows in which a benchmark item is contained."""
+    """``docs`` without the rows in which a benchmark item is contained.
+
+    Each row is judged by itself: repeated rows stay or go together, null and empty texts
+    stay. All columns pass through, whatever their names; empty tables change nothing.
+    """
+    name = unused(docs, "contaminated")
     for rows in item_blocks(benchmark):
         shared = docs.sparkSession.sparkContext.broadcast((Items(rows, n, threshold), WordCodes()))
 
         def hits(batch, shared=shared) -> dict:
             items, codes = shared.value
-            return {"contaminated": [bool(items.search(codes.of(words(t.as_py())))) for t in batch["text"]]}
+            return {name: [bool(items.search(codes.of(words(t.as_py())))) for t in batch["text"]]}
 
-        docs = append(docs, "contaminated boolean", hits).filter("NOT contaminated").drop("contaminated")
+        docs = append(docs, f"`{name}` boolean", hits).filter(~F.col(f"`{name}`")).drop(name)
     return docs

@@ -5,10 +5,13 @@ Only DataFrame functions: no Python runs on the rows.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fareway.llm.common import key, unkey
+from fareway.llm.common import key, unkey, unused
+from fareway.operators.numbering import number_rows
 from fareway.session import materialize
 
 #: Runs of anything but white space.
@@ -16,8 +19,6 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Anything but letters and white space.
 MARK = r"[^\p{L}\x20\x09-\x0D]"
 WEIGHTS = (1, 2, 3)
-#: Buckets of sampling keys in a source; one of them is cut, the others go whole.
-BUCKETS = 4096
 
 
 def text_quality(text: Column) -> Column:
@@ -35,20 +36,35 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, most: int = 3) -> DataFram
     going through the sources by most * size / weight, the level that is right for the
     sources behind rises up to the true one and then falls, so it is their maximum.
     """
-    everything = Window.partitionBy()
-    order = Window.orderBy(F.col("source").asc_nulls_last())
-    turn = (F.row_number().over(order) - 1) % len(weights)
-    weighed = sizes.withColumn("weight", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), turn + 1))
-    cap = F.col("source_size") * F.lit(float(most))
-    before = (
-        Window.orderBy(cap / F.col("weight"), F.col("source").asc_nulls_last())
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    left = F.sum("source_size").over(everything) - F.coalesce(F.sum(cap).over(before), F.lit(0.0))
-    rest = F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0.0))
-    levels = weighed.withColumn("level", left / rest)
-    target = F.least(cap, F.col("weight") * F.max("level").over(everything))
-    return levels.select("source", "source_size", F.greatest(target, F.lit(0.0)).alias("target"))
+    by_name = F.col("source").asc_nulls_last()
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), ((F.col("no") - 1) % len(weights) + 1).cast("int"))
+    weighed = number_rows(sizes, [by_name], "no").withColumn("weight", weight)
+    weighed = weighed.withColumn("cap", F.col("source_size") * F.lit(float(most)))
+    weighed = running_sums(weighed.withColumn("turn", F.col("cap") / F.col("weight")), [F.asc("turn"), by_name], ["cap", "weight"])
+    total = weighed.agg(F.sum("source_size").alias("size"), F.sum("weight").alias("weight"))
+    left = total.select("size").scalar() - F.col("before_cap")
+    rest = total.select("weight").scalar() - F.col("before_weight")
+    level = weighed.agg(F.max(left / rest)).scalar()
+    target = F.greatest(F.least(F.col("cap"), F.col("weight") * level), F.lit(0.0))
+    return weighed.select("source", "source_size", target.alias("target"))
+
+
+def running_sums(df: DataFrame, order: Sequence[Column], columns: Sequence[str]) -> DataFrame:
+    """``df`` with ``before_`` and each of ``columns``: its sum over all rows that come earlier in ``order``.
+
+    Rows are dealt by ranges of the whole order, so no key or source stays in one piece:
+    sums run inside a range, and the sums of whole ranges, as many as the shuffle is wide, over them.
+    """
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = materialize(df.repartitionByRange(width, *order).withColumn("range", F.spark_partition_id()), "ranges")
+    inside = Window.partitionBy("range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    over = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = placed.groupBy("range").agg(*[F.sum(c).alias(c) for c in columns])
+    totals = totals.select("range", *[F.coalesce(F.sum(c).over(over), F.lit(0)).alias(f"up_to_{c}") for c in columns])
+    summed = placed.withColumns({f"before_{c}": F.coalesce(F.sum(c).over(inside), F.lit(0)) for c in columns})
+    joined = summed.join(F.broadcast(totals), "range")
+    joined = joined.withColumns({f"before_{c}": F.col(f"before_{c}") + F.col(f"up_to_{c}") for c in columns})
+    return joined.drop("range", *[f"up_to_{c}" for c in columns])
 
 
 def mix(docs: DataFrame, quality: Column | None = None, weights=WEIGHTS, most: int = 3, seed: int = 42) -> DataFrame:
@@ -58,16 +74,17 @@ def mix(docs: DataFrame, quality: Column | None = None, weights=WEIGHTS, most: i
     source whole; for the rest of the target its rows are ordered by exponential keys
     -ln(u) / quality, u from a hash of id and ``seed``, and taken while that brings the
     sum nearer to the target. So a source misses its target by at most half the size of
-    one row, and no row is taken more than ``most`` times. Running sums go by source and
-    key bucket, so that a source with a third of all rows spreads over many tasks.
+    one row, and no row is taken more than ``most`` times. Running sums go by ranges of the
+    order, so that a source with a third of all rows spreads over many tasks.
 
     Null texts have size 0 and are taken as 0 words; a null source is a source of its
-    own; rows with null ids share one key. Rows equal in id and size are interchangeable:
-    either may be the last taken. An empty table gives no rows. Other columns are only
+    own; rows with null ids take u from their text. Rows equal in id, key and size are
+    interchangeable: either may be the last taken. An empty table gives no rows. Other columns are only
     read by ``quality``, an expression above 0.
     """
     weight = text_quality(F.coalesce("text", F.lit(""))) if quality is None else quality
-    digits = F.conv(F.substring(F.md5(F.concat(key().cast("string"), F.lit(f"|{seed}")).cast("binary")), 1, 12), 16, 10)
+    named = F.coalesce(F.col("doc_id").cast("string"), F.md5(F.coalesce("text", F.lit(""))))
+    digits = F.conv(F.substring(F.md5(F.concat(named, F.lit(f"|{seed}")).cast("binary")), 1, 12), 16, 10)
     u = (digits.cast("double") + 0.5) / F.lit(float(16**12))
     rows = materialize(
         docs.select(
@@ -75,26 +92,18 @@ def mix(docs: DataFrame, quality: Column | None = None, weights=WEIGHTS, most: i
             "source",
             F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
             (-F.log(u) / weight).alias("order"),
-        ).withColumn("bucket", F.floor((F.lit(1.0) - F.exp(-F.col("order"))) * (BUCKETS - 1)).cast("int")),
+        ),
         "mix",
     )
-    buckets = rows.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
-    up_to = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    buckets = buckets.withColumn("before", F.coalesce(F.sum("bucket_size").over(up_to), F.lit(0)))
-    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
-    targets = source_targets(sizes, weights, most)
-    plan = buckets.alias("b").join(targets.alias("t"), F.col("b.source").eqNullSafe(F.col("t.source"))).select(
-        F.col("b.source").alias("plan_source"), F.col("bucket").alias("plan_bucket"), "before", "source_size", "target"
-    )
-    within = Window.partitionBy("source", "bucket").orderBy("order", "doc_id", "size")
-    inside = F.sum("size").over(within.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
-    summed = rows.withColumn("inside", inside)
-    joined = summed.join(
-        plan, F.col("source").eqNullSafe(F.col("plan_source")) & (F.col("bucket") == F.col("plan_bucket"))
-    )
+    order = [F.col("source").asc_nulls_last(), F.asc("order"), F.asc("doc_id"), F.asc("size")]
+    summed = running_sums(rows, order, ["size"])
+    sizes = materialize(summed.groupBy("source").agg(F.sum("size").alias("source_size"), F.min("before_size").alias("start")), "sources")
+    targets = source_targets(sizes.drop("start"), weights, most).alias("t").join(sizes.alias("s"), F.col("s.source").eqNullSafe(F.col("t.source")))
+    plan = targets.select(F.col("t.source").alias("plan_source"), "t.source_size", "t.target", "s.start")
+    joined = summed.join(plan, F.col("source").eqNullSafe(F.col("plan_source"))).withColumn("before", F.col("before_size") - F.col("start"))
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     rest = F.col("target") - F.col("epochs") * F.col("source_size")
-    extra = (2 * (F.col("before") + F.col("inside")) + F.col("size") <= 2 * rest) & (F.col("size") > 0) & (rest > 0)
+    extra = (2 * F.col("before") + F.col("size") <= 2 * rest) & (F.col("size") > 0) & (rest > 0)
     copies = F.least(F.col("epochs") + extra.cast("long"), F.lit(most)).cast("int")
     return (
         joined.withColumn("epochs", epochs.cast("long"))
@@ -109,8 +118,14 @@ def mix(docs: DataFrame, quality: Column | None = None, weights=WEIGHTS, most: i
 def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     """``docs`` itself as mixed: each row as often as ``mix`` takes it, rows taken 0 times gone.
 
-    Rows that share an id are repeated equally, as the most often taken of them.
+    Rows are known by id and text: of rows equal in both, each is repeated as the most
+    often taken of them. Rows without id are mixed by their text. Null and empty texts
+    have no words and go. All columns pass through, whatever their names; an empty table stays empty.
     """
-    copies = mix(docs, **how).filter("copies > 0").groupBy(key().alias("mix_id")).agg(F.max("copies").alias("mix_copies"))
-    joined = docs.join(copies, key() == F.col("mix_id")).withColumn("mix_copy", F.explode(F.sequence(F.lit(1), "mix_copies")))
-    return joined.select(*[docs[c] for c in docs.columns])
+    node = F.xxhash64(key(), F.coalesce("text", F.lit("")))
+    # mix() knows a row by its id alone; the hash goes through it as the id
+    copies = mix(docs.select(node.alias("doc_id"), "source", "text"), **how).filter("copies > 0")
+    names = [unused(docs, name) for name in ("mix_node", "mix_copies", "mix_copy")]
+    copies = copies.groupBy(F.col("doc_id").alias(names[0])).agg(F.max("copies").alias(names[1]))
+    joined = docs.join(copies, node == F.col(names[0])).withColumn(names[2], F.explode(F.sequence(F.lit(1), names[1])))
+    return joined.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareway.llm.common import NO_ID, WordCodes, distinct, id_and_text, key, map_rows, shingles, ship, unkey
+from fareway.llm.common import NO_ID, WordCodes, distinct, id_and_text, key, map_rows, shingles, ship, unkey, unused
 from fareway.session import materialize
 
 BANDS, ROWS = 32, 5
@@ -177,7 +177,8 @@ def _within_families(members: DataFrame, texts: DataFrame, n: int, numerator: in
 
 
 def _linked(a: np.ndarray, b: np.ndarray, numerator: int, denominator: int) -> bool:
-    if denominator * min(len(a), len(b)) < numerator * max(len(a), len(b)):
+    # an empty set is linked with nothing
+    if not len(a) or not len(b) or denominator * min(len(a), len(b)) < numerator * max(len(a), len(b)):
         return False
     both = len(np.intersect1d(a, b, assume_unique=True))
     return denominator * both >= numerator * (len(a) + len(b) - both)
@@ -305,6 +306,25 @@ def near_duplicates(docs: DataFrame, n: int = 5, numerator: int = 80, denominato
 
 
 def without_near_duplicates(docs: DataFrame, **how) -> DataFrame:
-    """``docs`` with one document of each group: the one of the smallest id."""
-    gone = near_duplicates(docs, **how).filter("NOT kept").select(key().alias("gone_id")).distinct()
-    return docs.join(gone, key() == F.col("gone_id"), "left_anti")
+    """``docs`` with one row of each group of near duplicates: the one of the smallest id, then of the smallest text hash.
+
+    A row is known by its id and the hash of its text, so rows that share an id are judged
+    apart, and of rows equal in both one stays: the first in the order of all columns. Null
+    and empty texts are near duplicates of nothing else; rows without id come before all
+    others. All columns pass through, whatever their names; an empty table stays empty.
+    """
+    node = F.xxhash64(key(), F.coalesce("text", F.lit("")))
+    nodes = materialize(docs.select(key().alias("id"), node.alias("node")).groupBy("id", "node").agg(F.count("*").alias("rows")), "rows")
+    found = near_duplicates(docs.select(node.alias("doc_id"), "text"), **how).select(F.col("doc_id").alias("node"), "component_id").distinct()
+    placed = materialize(nodes.join(found, "node"), "components")
+    first = placed.groupBy("component_id").agg(F.min(F.struct("id", "node")).alias("first")).select("first.node")
+    gone = placed.join(first, "node", "left_anti").select(F.col("node").alias(unused(docs, "gone")))
+    left = docs.join(gone, node == F.col(gone.columns[0]), "left_anti")
+    repeated = nodes.filter("rows > 1").select(F.col("node").alias(unused(docs, "again")))
+    if repeated.isEmpty():
+        return left
+    same = node == F.col(repeated.columns[0])
+    row = unused(docs, "row")
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    chosen = left.join(repeated, same, "left_semi").groupBy(node.alias(repeated.columns[0])).agg(F.min(F.struct(*names)).alias(row))
+    return left.join(repeated, same, "left_anti").unionByName(chosen.select(f"{row}.*"))
