@@ -12,31 +12,41 @@ from fareway.session import new_folder
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that is found; profiles and least scores are learned from the documents themselves."""
+    """Documents in a language that is found; profiles and least scores are learned from the documents themselves.
+
+    Each row is judged by its text alone, so repeated rows stay or go together; null texts
+    and texts without letters go, and so does everything if no row has a language. All
+    columns pass through, whatever their names; an empty table stays empty.
+    """
     profiles = language.load_profiles(language.learn_profiles(docs))
-    found = language.identify(docs.select(F.struct(*docs.columns).alias("row"), "text"), profiles)
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    found = language.identify(docs.select(whole.alias("row"), "text"), profiles)
     # at most one row a language, and no row for an undetermined one
     found = found.join(F.broadcast(language.least_scores(docs, profiles)), "lang_pred").filter("score >= least")
     return found.select("row.*")
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, by five-word shingles."""
+    """One document of each group of near duplicates, by five-word shingles (see ``without_near_duplicates``)."""
     return near_dup.without_near_duplicates(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item (see ``without_contaminated``)."""
     return decontaminate.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of sources takes them."""
+    """Documents as often as the mix of sources takes them (see ``mixed_documents``)."""
     return mixing.mixed_documents(docs)
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token files of the mix, read back."""
+    """Token files of the mix, read back: a row for each copy of a document.
+
+    Null and empty texts hold the end id alone; of the columns only doc_id and text are
+    read; an empty table gives no rows.
+    """
     path = new_folder(spark, "corpus-token-ids")
     token_ids.write_token_ids(docs, path, tokenizer_file("word_bpe_49k.json"), END_ID)
     return token_ids.read_token_ids(spark, path)
