@@ -20,26 +20,65 @@ PHRASES = (
     ("cc-by-nc", "cc by nc"),
 )
 
-#: Notices with markup.
+#: Notices with markup: headers of files, leading sentences of whole licenses, titles. Fixed values.
 TEMPLATES = (
     ("mit", "released under the <<optional>>terms of the<</optional>> mit license"),
+    ("mit", "licensed under the <<optional>>terms of the<</optional>> mit license"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this <<replace 2>>"
             " and associated documentation files the <<replace 2>> to deal in the <<replace 2>> without restriction"),
     ("apache-2", "licensed under the apache license version 2 0 <<optional>>the license<</optional>>"),
     ("apache-2", "you may obtain a copy of the license at <<optional>>http<</optional>> <<replace 1>> apache org licenses license 2 0"),
+    ("apache-2", "apache license version 2 0 january 2004"),
     ("cc-by-nc", "licensed under <<optional>>a<</optional>> <<optional>>the<</optional>> cc by nc <<replace 1>> 4 0"),
     ("cc-by-nc", "creative commons attribution noncommercial <<replace 2>> <<optional>>international<</optional>> license"),
     ("cc-by-sa", "licensed under <<optional>>a<</optional>> <<optional>>the<</optional>> cc by sa"),
+    ("cc-by-sa", "creative commons attribution sharealike <<replace 2>> <<optional>>international<</optional>> license"),
+    ("cc-by", "creative commons attribution 4 0 international license"),
+    ("cc0", "to the extent possible under law <<replace 6>> waived all copyright and related or neighboring rights"),
+    ("gpl-2", "free software you can redistribute it and or modify it under the terms of the gnu general public license"
+              " as published by the free software foundation <<optional>>either<</optional>> version 2"),
+    ("gpl-2", "licensed under the gnu general public license version 2 <<optional>>or any later version<</optional>>"),
+    ("gpl-2", "gnu general public license version 2 june 1991"),
     ("gpl-3", "licensed under the gnu general public license version 3 <<optional>>or any later version<</optional>>"),
     ("gpl-3", "under the terms of the gnu general public license as published by the free software foundation"
               " <<optional>>either<</optional>> version 3"),
+    ("gpl-3", "gnu general public license version 3 29 june 2007"),
+    ("agpl-3", "under the terms of the gnu affero general public license as published by the free software foundation"
+               " <<optional>>either<</optional>> version 3"),
     ("lgpl", "gnu lesser general public license <<replace 4>> version <<replace 1>>"),
+    ("lgpl", "under the terms of the gnu lesser general public license as published by the free software foundation"
+             " <<optional>>either<</optional>> version <<replace 1>>"),
+    ("lgpl-2.1", "under the terms of the gnu lesser general public license as published by the free software foundation"
+                 " <<optional>>either<</optional>> version 2 1"),
+    ("lgpl-3", "under the terms of the gnu lesser general public license as published by the free software foundation"
+               " <<optional>>either<</optional>> version 3"),
+    ("isc", "permission to use copy modify and <<optional>>or<</optional>> distribute this software for any purpose"
+            " with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted"
             " provided that the following conditions are met"),
     ("bsd", "licensed under <<optional>>the<</optional>> <<replace 1>> bsd license"),
+    ("bsd-2", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"
+              " <<replace 1>> redistributions in binary form must reproduce the above copyright notice this list of conditions and the"
+              " following disclaimer in the documentation and or other materials provided with the distribution this software is provided"),
+    ("bsd-3", "neither the name of <<replace 12>> may be used to endorse or promote products derived from this software"
+              " without specific prior written permission"),
     ("mpl-2", "subject to the terms of the mozilla public license <<replace 1>> 2 0"),
+    ("mpl-2", "mozilla public license version 2 0"),
+    ("epl-2", "made available under the terms of the eclipse public license <<replace 1>> 2 0"),
+    ("boost-1", "distributed under the boost software license version 1 0"),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable"
+             " for any damages arising from the use of this software"),
+    ("unlicense", "this is free and unencumbered software released into the public domain"),
     ("reserved", "copyright <<replace 8>> all rights reserved"),
     ("proprietary", "proprietary and confidential <<optional>>all rights reserved<</optional>>"),
+    ("mit", "spdx license identifier mit"),
+    ("apache-2", "spdx license identifier apache 2 0"),
+    ("gpl-2", "spdx license identifier gpl 2 0"),
+    ("gpl-3", "spdx license identifier gpl 3 0"),
+    ("bsd-2", "spdx license identifier bsd 2 clause"),
+    ("bsd-3", "spdx license identifier bsd 3 clause"),
+    ("mpl-2", "spdx license identifier mpl 2 0"),
+    ("isc", "spdx license identifier isc"),
 )
 
 _ANY = None
