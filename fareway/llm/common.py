@@ -92,16 +92,19 @@ def append(df: DataFrame, fields: str, fn: Callable[[pa.RecordBatch], dict]) ->
     new = StructType.fromDDL(fields)
     names = {f.name.lower() for f in new.fields}
     df = df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in names])
-    target = to_arrow_schema(new)
+    target, given = to_arrow_schema(new), df.columns
     ship(df.sparkSession)
 
     def run(batches):
         for batch in batches:
-            columns = fn(batch)
+            columns = fn(pa.RecordBatch.from_arrays(batch.columns, names=given))
             arrays = [pa.array(columns[f.name], f.type) for f in target]
             yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], names=[*batch.schema.names, *target.names])
 
-    return df.mapInArrow(run, StructType([*df.schema.fields, *new.fields]))
+    # a name with a dot does not pass through a Python worker
+    plain = df.toDF(*[f"c{i}" for i in range(len(given))])
+    found = plain.mapInArrow(run, StructType([*plain.schema.fields, *new.fields]))
+    return found.toDF(*given, *new.names)
 
 
 def segments(text: str, size: int = 1 << 20):

@@ -120,7 +120,7 @@ def mixed_documents(docs: DataFrame, **how) -> DataFrame:
 
     Rows are known by id and text: of rows equal in both, each is repeated as the most
     often taken of them. Rows without id are mixed by their text. Null and empty texts
-    have no words and go. All columns pass through, whatever their names; an empty table stays empty.
+    add no words and come as often as their source is taken whole. All columns pass through, whatever their names; an empty table stays empty.
     """
     node = F.xxhash64(key(), F.coalesce("text", F.lit("")))
     # mix() knows a row by its id alone; the hash goes through it as the id
