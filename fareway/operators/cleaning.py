@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,13 +33,28 @@ def rename_columns(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     return df.withColumnsRenamed({old: new for old, new in mapping.items() if old in df.columns})
 
 
+def missing_columns(df: DataFrame, names: Iterable[str]) -> list[str]:
+    return sorted(set(names) - set(df.columns))
+
+
 def require_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:
-    missing = sorted(set(names) - set(df.columns))
+    missing = missing_columns(df, names)
     if missing:
         raise ValueError(f"missing required columns: {missing}")
     return df
 
 
+def column_report(tables: Mapping[str, DataFrame], names: Iterable[str]) -> DataFrame:
+    """A row for each table: its name, its rows, and what ``require_columns`` would say of it, null if nothing."""
+    names = list(names)
+    rows = []
+    for name, df in tables.items():
+        missing = missing_columns(df, names)
+        error = F.lit(f"missing required columns: {missing}") if missing else F.lit(None).cast("string")
+        rows.append(df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("table"), "rows", error.alias("error")))
+    return reduce(DataFrame.unionByName, rows)
+
+
 def coerce_types(df: DataFrame, spec: Mapping[str, str]) -> DataFrame:
     """Cast to the wanted types; what cannot be read becomes null.
 
@@ -70,6 +86,27 @@ def standardize_trips(raw: DataFrame) -> DataFrame:
     return C.label_codes(named, "payment_type", PAYMENT_LABELS, "payment_type_label")
 
 
+def _bounds(limits: TripLimits) -> dict[str, Column]:
+    """The rule of each measured column, null where it is unknown."""
+    highest = {
+        "trip_duration_min": limits.max_duration_min,
+        "trip_distance": limits.max_trip_distance,
+        "fare_amount": limits.max_fare_amount,
+        "passenger_count": limits.max_passenger_count,
+    }
+    return {name: (F.col(name) > 0) & (F.col(name) <= bound) for name, bound in highest.items()}
+
+
+def _strict(limits: TripLimits) -> list[Column]:
+    """What a trip without unknown values must pass, as bare comparisons a scan can evaluate; null counts as no."""
+    needed = ("pickup_datetime", "dropoff_datetime", "pickup_location_id", "dropoff_location_id")
+    return [*[F.col(name).isNotNull() for name in needed], *_bounds(limits).values()]
+
+
+def _all_of(rules: list[Column]) -> Column:
+    return reduce(lambda a, b: a & b, rules)
+
+
 def trip_validity(limits: TripLimits = TripLimits(), nulls: str = "drop") -> Column:
     """The rule a trip must pass, never null.
 
@@ -77,24 +114,12 @@ def trip_validity(limits: TripLimits = TripLimits(), nulls: str = "drop") -> Col
     where a rule is broken: unknown distance, fare or passenger count stays, and
     zones are not tested; both times are needed either way.
     """
-    bounds = {
-        "trip_duration_min": limits.max_duration_min,
-        "trip_distance": limits.max_trip_distance,
-        "fare_amount": limits.max_fare_amount,
-        "passenger_count": limits.max_passenger_count,
-    }
-    rules = [(F.col(name) > 0) & (F.col(name) <= bound) for name, bound in bounds.items()]
-    rule = F.col("pickup_datetime").isNotNull() & F.col("dropoff_datetime").isNotNull()
     if nulls == "drop":
-        for part in rules:
-            rule = rule & part
-        rule = rule & F.col("pickup_location_id").isNotNull()
-        rule = rule & F.col("dropoff_location_id").isNotNull()
-        return F.coalesce(rule, F.lit(False))
+        return F.coalesce(_all_of(_strict(limits)), F.lit(False))
     if nulls == "keep":
-        for name, part in zip(bounds, rules):
-            rule = rule & (F.isnan(F.col(name).cast("double")) | F.coalesce(part, F.lit(True)))
-        return rule
+        times = [F.col("pickup_datetime").isNotNull(), F.col("dropoff_datetime").isNotNull()]
+        known = [F.isnan(F.col(name).cast("double")) | F.coalesce(rule, F.lit(True)) for name, rule in _bounds(limits).items()]
+        return _all_of([*times, *known])
     raise ValueError(f"nulls must be 'drop' or 'keep', not {nulls!r}")
 
 
@@ -123,22 +148,7 @@ def clean_trips(
 def _pushable(limits: TripLimits, nulls: str) -> Column:
     """The same rule without the outer null guard: a filter drops null anyway,
     and bare comparisons are what the scan can evaluate itself."""
-    if nulls != "drop":
-        return trip_validity(limits, nulls)
-    return (
-        F.col("pickup_datetime").isNotNull()
-        & F.col("dropoff_datetime").isNotNull()
-        & F.col("pickup_location_id").isNotNull()
-        & F.col("dropoff_location_id").isNotNull()
-        & (F.col("trip_distance") > 0)
-        & (F.col("trip_distance") <= limits.max_trip_distance)
-        & (F.col("fare_amount") > 0)
-        & (F.col("fare_amount") <= limits.max_fare_amount)
-        & (F.col("passenger_count") > 0)
-        & (F.col("passenger_count") <= limits.max_passenger_count)
-        & (F.col("trip_duration_min") > 0)
-        & (F.col("trip_duration_min") <= limits.max_duration_min)
-    )
+    return _all_of(_strict(limits)) if nulls == "drop" else trip_validity(limits, nulls)
 
 
 def quality_report(

@@ -583,6 +583,9 @@ _ORACLES: dict[str, str] = {
         CASE WHEN event_id % 13 <> 0 THEN pickup_datetime END AS pickup_datetime,
         CASE WHEN event_id % 13 <> 0 THEN trip_distance END AS trip_distance,
         CASE WHEN event_id % 13 <> 0 THEN fare_amount END AS fare_amount, payment_type_label FROM trip_raw""",
+    "required_columns": """SELECT 'trips' AS "table", count(*) AS rows, CAST(NULL AS VARCHAR) AS error FROM events
+        UNION ALL SELECT 'events', count(*), 'missing required columns: [''dropoff_datetime'', ''dropoff_location_id'', ''fare_amount'', ''passenger_count'', ''payment_type'', ''pickup_datetime'', ''pickup_location_id'', ''total_amount'', ''trip_distance'']' FROM events
+        UNION ALL SELECT 'fares', count(*), 'missing required columns: [''fare_amount'', ''payment_type'']' FROM events""",
     "payment_labels": f"WITH {TRIP_ROWS} SELECT event_id, payment_type, payment_type_label FROM trip_raw",
     "payment_labels_missing_column": "SELECT event_id, 'unknown' AS payment_type_label FROM events",
     "trip_durations": """SELECT event_id,

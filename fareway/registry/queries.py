@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from fareway import bindings as B
 from fareway.constants import (
     PAYMENT_LABELS,
+    REQUIRED_TRIP_COLUMNS,
     TRIP_RENAMES,
     TRIP_TYPES,
     TripLimits,
@@ -160,6 +161,13 @@ def _clean_columns(df: DataFrame) -> DataFrame:
     )
 
 
+@query
+def required_columns(spark, sf):
+    """The error each table would raise, as a row."""
+    found = {"trips": B.trips(spark, sf), "events": B.events(spark, sf), "fares": B.trips(spark, sf).drop("fare_amount", "payment_type")}
+    return K.column_report(found, REQUIRED_TRIP_COLUMNS)
+
+
 @query
 def quality_report(spark, sf):
     """F3, P17."""

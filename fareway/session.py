@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -46,9 +47,31 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_kept: set[str] = set()
+
+
+def _remove_at_exit(spark: SparkSession, folder: str) -> None:
+    """Remove an application's folder of intermediate tables when its driver ends."""
+    if folder in _kept:
+        return
+    _kept.add(folder)
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    conf = spark._jsc.hadoopConfiguration()
+
+    def remove() -> None:
+        try:
+            path.getFileSystem(conf).delete(path, True)
+        except Exception:  # noqa: BLE001  the driver's JVM may be gone before
+            pass
+
+    atexit.register(remove)
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder, private to this application."""
-    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, private to this application and removed with it."""
+    folder = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
+    _remove_at_exit(spark, folder)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
