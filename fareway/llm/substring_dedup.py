@@ -24,8 +24,8 @@ from fareway.session import materialize
 MINIMISER = 5
 #: Distinct packed strings of one bucket that are sorted in one task; beyond, they are cut by a further minimiser.
 _HOT = 2_000
-#: Further minimisers; windows that are in a crowded bucket by all of them travel alone.
-_LEVELS = 3
+#: Further minimisers; windows that are in a crowded bucket by all of them travel alone, as 128 bits each.
+_LEVELS = 1
 
 
 def split_words(text: str) -> list[bytes]:
