@@ -43,15 +43,14 @@ def _known(value: Column) -> Column:
 def limbs(col: Column | str, units: int = UNITS) -> tuple[Column, Column]:
     """Whole units and millionths of a unit (0 to 999,999) of a value; NaN becomes null, a value too large is an error."""
     value = (F.col(col) if isinstance(col, str) else col).cast("double")
-    fits = F.abs(value) < F.lit(2.0**63 / units)
-    refused = F.when(_known(value), F.raise_error(F.lit("a measure exceeds the range of its units")).cast("bigint"))
+    refused = F.when(_known(value), F.raise_error(F.lit("a measure exceeds the range of its units")).cast("double"))
+    # one guarded value, on which generated code shares all that follows
+    value = F.when(F.abs(value) < F.lit(2.0**63 / units), value).otherwise(refused)
     # whole numbers and fractions part without loss; parts of a unit are whole numbers below 2^53
-    whole = F.when(fits, value).cast("bigint")
+    whole = value.cast("bigint")
     parts = F.rint((value - whole.cast("double")) * F.lit(float(units * PARTS)))
     above = F.floor(parts / F.lit(float(PARTS)))
-    high = whole * F.lit(units).cast("bigint") + above
-    low = parts.cast("bigint") - above * F.lit(PARTS).cast("bigint")
-    return F.when(fits, high).otherwise(refused), F.when(fits, low)
+    return whole * F.lit(units).cast("bigint") + above, parts.cast("bigint") - above * F.lit(PARTS).cast("bigint")
 
 
 def limb_sums(name: str, col: Column | str, units: int = UNITS) -> list[Column]:
