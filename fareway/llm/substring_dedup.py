@@ -91,7 +91,7 @@ def _first_places(strings: list[tuple], window: int, codes: WordCodes) -> dict:
 def duplicate_windows(docs: DataFrame, window: int = 20) -> DataFrame:
     """doc_id, content, suspects and firsts: per text, runs whose windows repeat, and those windows that come first.
 
-    All windows of the suspects (start, size) but the firsts repeat an earlier window.
+    All windows of the suspects (start, size, minimiser) but the firsts repeat an earlier window.
     """
     if window < 1:
         raise ValueError("a window holds a word at least")
@@ -114,25 +114,23 @@ def duplicate_windows(docs: DataFrame, window: int = 20) -> DataFrame:
     often = found.groupBy("minimiser").agg(F.sum("hits").alias("times")).filter("times > 1").select("minimiser")
     suspects = (
         found.join(often, "minimiser", "left_semi")
-        .groupBy("doc_id", "content").agg(F.sort_array(F.collect_set(F.struct("start", "size"))).alias("suspects"))
+        .groupBy("doc_id", "content").agg(F.sort_array(F.collect_set(F.struct("start", "size", "minimiser"))).alias("suspects"))
     )
     suspects = materialize(suspects, "suspects")
 
     def pack(batches):
-        codes = WordCodes()
         for batch in batches:
             out: dict[str, list] = {"doc_id": [], "content": [], "start": [], "minimiser": [], "packed": []}
             rows = zip(*(batch[c].to_pylist() for c in ("doc_id", "content")), batch["text"], batch["suspects"], strict=True)
             for doc_id, content, text, mine in rows:
                 own = zlib.decompress(text.as_py()).split()
-                best = _minimisers(codes.of(own), window)[1].view(np.int64)
-                for run in mine.as_py():
-                    start = run["start"]
-                    out["doc_id"].append(doc_id)
-                    out["content"].append(content)
-                    out["start"].append(start)
-                    out["minimiser"].append(int(best[start]))
-                    out["packed"].append(b" ".join(own[start : start + run["size"] + window - 1]))
+                mine = mine.values.flatten()
+                starts, sizes = mine[0].to_pylist(), mine[1].to_pylist()
+                out["doc_id"] += [doc_id] * len(starts)
+                out["content"] += [content] * len(starts)
+                out["start"] += starts
+                out["minimiser"] += mine[2].to_pylist()
+                out["packed"] += [b" ".join(own[at : at + size + window - 1]) for at, size in zip(starts, sizes, strict=True)]
             yield out
 
     with_runs = _packed_texts(docs).join(suspects, ["doc_id", "content"])
