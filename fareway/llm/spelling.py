@@ -23,7 +23,7 @@ from fareway.operators.numbering import number_rows
 from fareway.session import materialize
 
 #: Words that are numbered one after the other in one task.
-_CHUNK = 1 << 16
+_CHUNK = 1 << 13
 #: Lower bits of a node number, for its depth.
 _DEPTH_BITS = 24
 #: Distinct words a task counts before it hands them on.
@@ -85,7 +85,7 @@ def trie_nodes(words: DataFrame) -> DataFrame:
     edge = edge.unionByName(placed.filter(F.col("rank") % _CHUNK == 0).select((F.col("chunk") + 1).alias("edge"), F.lit(0).alias("side"), "spelled", "rank"))
 
     def starts(batches):
-        # a row for each edge between chunks, that is one for 65,536 words
+        # a row for each edge between chunks, that is one for 8,192 words
         names: list[int] = []
         before, spanned = None, ""
         for batch in batches:
