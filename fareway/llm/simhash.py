@@ -215,9 +215,10 @@ def simhash_groups(docs: DataFrame, n: int = 4, budget: int = 4) -> DataFrame:
     rows = materialize(fingerprints(docs, n), "fingerprints")
     nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("doc_id"))
     slots = [F.struct(F.lit(s).alias("slot"), F.col("fp").bitwiseAND(F.lit(_signed(c[0]))).alias("bucket")) for s, c in enumerate(chains(budget))]
-    # a node becomes a row for each slot: few small partitions would make large tasks
+    # a node becomes a row for each slot: few small partitions would make large tasks.
+    # Not by fp, as the grouping is: that exchange would be left out and its partitions joined.
     width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keyed = nodes.repartition(width, "fp").select("fp", F.explode(F.array(*slots)).alias("key")).select("fp", "key.*")
+    keyed = nodes.repartition(width).select("fp", F.explode(F.array(*slots)).alias("key")).select("fp", "key.*")
     hubs = keyed.groupBy("slot", "bucket").agg(F.min("fp").alias("hub"), F.max("fp").alias("last")).filter("hub < last")
     buckets = materialize(keyed.join(hubs.drop("last"), ["slot", "bucket"]), "buckets")
     stars = buckets.filter((F.col("fp") != F.col("hub")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("hub"))) <= budget))
