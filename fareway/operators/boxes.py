@@ -399,6 +399,7 @@ def nms(
     image: str = "image",
     score: str = "score",
     fold_limit: int = 2_000,
+    crowd: tuple[int, int] = CROWD,
 ) -> DataFrame:
     """Greedy non-maximum suppression per image, best score first.
 
@@ -407,7 +408,8 @@ def nms(
     bring an image together: a box that no better box suppresses is final, and what
     it suppresses is gone; a box that one other could suppress follows from that one, so
     a whole chain of them is settled in a round. Both lead to the same boxes as the
-    sequential loop, since a box is kept exactly when no kept box suppresses it.
+    sequential loop, since a box is kept exactly when no kept box suppresses it. Only
+    images beyond ``crowd`` have their boxes copied to cells in a round.
     """
     _check_overlap(threshold)
     crowded = _crowded(_side_counts(dets, dets.limit(0), image), image, (fold_limit, 0))
@@ -415,11 +417,11 @@ def nms(
         return _fold_nms(dets, threshold, image, score)
     quiet = _fold_nms(dets.join(crowded, image, "left_anti"), threshold, image, score)
     busy = dets.join(crowded, image, "left_semi")
-    return quiet.unionByName(_round_nms(busy, threshold, image, score, fold_limit)).select(dets.columns)
+    return quiet.unionByName(_round_nms(busy, threshold, image, score, fold_limit, crowd)).select(dets.columns)
 
 
 def _round_nms(
-    dets: DataFrame, threshold: float, image: str, score: str, fold_limit: int
+    dets: DataFrame, threshold: float, image: str, score: str, fold_limit: int, crowd: tuple[int, int]
 ) -> DataFrame:
     # of identical boxes only the best can stay, so copies go before any shuffle of pairs;
     # a box too small to suppress its own copy suppresses nothing and is never suppressed
@@ -439,19 +441,17 @@ def _round_nms(
     better = F.struct((-F.col(f"t_{score}")).alias("r"), *[f"t_{c}" for c in CORNERS]) < rank
     hit = _suppresses(C.corners(), C.corners("t_"), threshold)
 
-    def unless(rows: DataFrame, by: DataFrame, condition: Column) -> DataFrame:
-        near = _prefixed(_in_reach(by.select(image, score, *CORNERS), threshold), "t_")
-        return _at_home(rows).join(near, _meet(image) & condition, "left_anti").drop(*_CELL)
-
     place = [image, *CORNERS]
     left = materialize(solid, "nms-left")
+    # each box of an image is compared with all, so the smaller of the limits holds
+    crowded = _crowded(_side_counts(left, left.limit(0), image), image, (min(crowd), 0))
     while True:
         sizes = left.groupBy(image).agg(F.count("*").alias("n"))
         if (sizes.agg(F.max("n")).first()[0] or 0) <= fold_limit:
             return result.unionByName(_fold_nms(left, threshold, image, score))
         # how many open boxes may suppress a box, and one of them
-        near = _prefixed(_in_reach(left.select(image, score, *CORNERS), threshold), "t_")
-        met = _at_home(left.select(image, score, *CORNERS)).join(near, _meet(image) & better & hit, "inner")
+        boxes = left.select(image, score, *CORNERS)
+        met = _partners(boxes, boxes, better & hit, threshold, image, crowded, "inner")
         blocked = met.groupBy(*place).agg(
             F.count("*").alias("n"), F.max(F.struct(*[F.col(f"t_{c}").alias(c) for c in place])).alias("by")
         )
@@ -467,7 +467,8 @@ def _round_nms(
         result = result.unionByName(settled)
         # a settled box suppresses itself too, so it leaves the remainder as well
         left = left.join(sure.filter("gone"), place, "left_anti").select(left.columns)
-        left = materialize(unless(left, settled, hit), "nms-left")
+        by = settled.select(image, score, *CORNERS)
+        left = materialize(_partners(left, by, hit, threshold, image, crowded, "left_anti"), "nms-left")
 
 
 def settle_chains(links: DataFrame) -> DataFrame:

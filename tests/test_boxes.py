@@ -82,6 +82,22 @@ def test_suppression_equals_a_loop(spark, seed, hot, copies, threshold):
         assert sorted((r.image, r.x1, r.y1, r.x2, r.y2, r.score) for r in kept.collect()) == want, limit
 
 
+def test_rounds_copy_only_crowded_images_to_cells(spark, monkeypatch):
+    rows = random_boxes(4, 6, 60, 20)
+    df, want = spark.createDataFrame(rows, BOX), loop_nms(rows, 0.3)
+    reach, calls = X._in_reach, []
+    monkeypatch.setattr(X, "_in_reach", lambda boxes, overlap: calls.append(1) or reach(boxes, overlap))
+
+    def kept(**crowd):
+        return sorted((r.image, r.x1, r.y1, r.x2, r.y2, r.score) for r in X.nms(df, 0.3, fold_limit=4, **crowd).collect())
+
+    assert kept() == want and not calls
+    # all images, and only the hot one
+    for crowd in ((0, 0), (20, 20)):
+        assert kept(crowd=crowd) == want and calls, crowd
+        calls.clear()
+
+
 def test_suppression_of_tiny_boxes(spark):
     """Boxes without extent, or too small to reach the threshold, never suppress."""
     df = spark.createDataFrame([(1, 1.0, 1.0, 1.0, 5.0, 0.5)] * 3 + [(1, 0.0, 0.0, 1e-4, 1e-4, 0.5)] * 3,
