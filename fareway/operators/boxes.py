@@ -329,8 +329,13 @@ def window_grid(
     step: int = GRID_STEP,
     window: tuple[int, int] = (WINDOW_WIDTH, WINDOW_HEIGHT),
 ) -> DataFrame:
-    """All window positions of every image at every scale, one window at least."""
+    """All window positions of every image at every scale, one window at least.
+
+    An image makes about a thousand rows, so the images are dealt over all tasks before:
+    a small table of them would be read as one partition.
+    """
     width, height = window
+    tasks = int(images.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def scaled(side: str, least: int) -> Column:
         return F.greatest(F.lit(least), F.floor(F.col(side) * F.col("scale")).cast("int"))
@@ -340,6 +345,7 @@ def window_grid(
 
     return (
         images.select("image", "width", "height")
+        .repartition(tasks)
         .withColumn("scale", F.explode(F.array(*[F.lit(float(s)) for s in scales])))
         .withColumn("y", positions("height", height))
         .withColumn("x", positions("width", width))

@@ -35,7 +35,9 @@ def detections(scored: DataFrame, threshold: float = 0.5, suppression: float = 0
     found = boxes.rescale_boxes(good).select(
         "image", "x1", "y1", "x2", "y2", F.col("decision").alias("score")
     )
-    return boxes.nms(found.withColumn("det_id", F.xxhash64("image", "x1", "y1", "x2", "y2")), suppression)
+    found = found.withColumn("det_id", F.xxhash64("image", "x1", "y1", "x2", "y2"))
+    # written, as suppression reads them more than once and they are few among the windows
+    return boxes.nms(materialize(found, "good-windows"), suppression)
 
 
 def evaluate(

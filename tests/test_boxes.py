@@ -98,6 +98,19 @@ def test_rounds_copy_only_crowded_images_to_cells(spark, monkeypatch):
         calls.clear()
 
 
+def test_windows_of_few_images_are_dealt_over_all_tasks(spark):
+    images = spark.range(40).selectExpr("id AS image", "320 AS width", "260 AS height").coalesce(1)
+    parts = X.window_grid(images).groupBy(F.spark_partition_id()).count().collect()
+    assert len(parts) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_windows_are_scored_once(spark):
+    images = spark.range(4).selectExpr("id AS image", "320 AS width", "260 AS height")
+    scored = X.window_grid(images).withColumn("decision", F.lit(0.1) * F.col("scale"))
+    found = detection.detections(scored, 0.1)
+    assert found.count() and all("good-windows" in name for name in found.inputFiles())
+
+
 def test_suppression_of_tiny_boxes(spark):
     """Boxes without extent, or too small to reach the threshold, never suppress."""
     df = spark.createDataFrame([(1, 1.0, 1.0, 1.0, 5.0, 0.5)] * 3 + [(1, 0.0, 0.0, 1e-4, 1e-4, 0.5)] * 3,
