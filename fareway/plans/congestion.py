@@ -63,6 +63,11 @@ def store_batch(alerts: DataFrame, batch: int, root: str, period: str = "day") -
     placed = alerts.select(
         *ALERT_SCHEMA.names, F.date_format("window_end", PERIODS[period]).alias("alert_period"), F.lit(batch).cast("bigint").alias("arrival")
     )
+    # many periods: a file for each; few: as many files for each as keep all tasks at work
+    width = int(alerts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    periods = placed.select("alert_period").distinct().limit(width).count()
+    slices = -(-width // max(periods, 1))
+    placed = placed.repartition(width, "alert_period", F.pmod(F.xxhash64(*A.ALERT_KEY), F.lit(slices)))
     writer = placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy("alert_period", "arrival").parquet(f"{root}/alerts")
 
@@ -92,8 +97,15 @@ def serve_stored(spark: SparkSession, root: str, cap: int = 100, n: int = 30) ->
 def serve_batch(alerts: DataFrame, batch: int, root: str, period: str = "day", cap: int = 100, n: int = 30) -> None:
     """Store a batch and replace the served table. A repeated batch changes nothing."""
     spark = alerts.sparkSession
-    if not alerts.isEmpty():
-        store_batch(alerts, batch, root, period)
+    # read three times: without this each time would update the state of the windows again
+    alerts = alerts.persist()
+    try:
+        empty = alerts.isEmpty()
+        if not empty:
+            store_batch(alerts, batch, root, period)
+    finally:
+        alerts.unpersist()
+    if not empty:
         write_version(serve_stored(spark, root, cap, n), f"{root}/served", batch)
         kept = versions(spark, f"{root}/served")[-2:]
         drop_versions(spark, f"{root}/served", kept[0])

@@ -301,3 +301,31 @@ def test_serving_reads_the_newest_periods_only(spark, tmp_path):
     assert len(served) == 30 and {r.vehicle_count for r in served} == {9} and min(r.avg_speed_kmh for r in served) == 0.5
     congestion.serve_batch(alerts.withColumn("vehicle_count", F.lit(9).cast("bigint")), 1, root, "hour")
     assert sorted(congestion.served_table(spark, root).collect()) == served
+
+
+def test_stored_batches_have_a_file_for_each_of_many_periods(spark, tmp_path):
+    """Not one for each period and task."""
+    end = "timestamp'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, id * 60)"
+    alerts = spark.range(0, 1800, 1, 8).repartition(8).selectExpr(
+        f"{end} - interval 1 minute AS window_start", f"{end} AS window_end", "'R001' AS road_id", "'n' AS road_name", "'d' AS district",
+        "1L AS vehicle_count", "1.0D AS avg_speed_kmh", "0.5D AS avg_occupancy", "1.0D AS avg_travel_time_sec", "0L AS severe_event_count",
+        "'severe' AS severity", "'t' AS alert_text")
+    plan.store_batch(alerts, 0, str(tmp_path), "hour")
+    assert len(list(tmp_path.glob("alerts/*/*/*.parquet"))) == 30
+    # one period is still written by several tasks
+    plan.store_batch(alerts.filter("window_end < timestamp'2024-01-01 01:00:00'"), 1, str(tmp_path), "hour")
+    assert 1 < len(list(tmp_path.glob("alerts/*/arrival=1/*.parquet"))) <= 8
+
+
+def test_large_deliveries_have_equally_many_files(spark, tmp_path):
+    from fareway.registry import queries
+
+    rows = spark.range(100).selectExpr("id", "CAST(id >= 40 AS INT) AS part")
+    for file_rows, files in ((10, 4), (100, 1)):
+        root = tmp_path / str(files)
+        seen = []
+        for n in queries._delivered(rows, "part", str(root), file_rows):
+            seen.append(len(list(root.glob("*.parquet"))))
+            assert n == files
+        assert seen == [files, 2 * files]
+        assert sorted(r.id for r in spark.read.parquet(str(root)).collect()) == list(range(100))
