@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fareway.llm.common import NO_ID, id_and_text, map_rows, unkey
@@ -219,8 +219,11 @@ def simhash_groups(docs: DataFrame, n: int = 4, budget: int = 4) -> DataFrame:
     # Not by fp, as the grouping is: that exchange would be left out and its partitions joined.
     width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keyed = nodes.repartition(width).select("fp", F.explode(F.array(*slots)).alias("key")).select("fp", "key.*")
-    hubs = keyed.groupBy("slot", "bucket").agg(F.min("fp").alias("hub"), F.max("fp").alias("last")).filter("hub < last")
-    buckets = materialize(keyed.join(hubs.drop("last"), ["slot", "bucket"]), "buckets")
+    # the smallest of a bucket and whether another follows, in one pass that holds two rows at a time
+    in_order = Window.partitionBy("slot", "bucket").orderBy("fp")
+    met = keyed.select("*", F.first("fp").over(in_order).alias("hub"), F.lead("fp").over(in_order).alias("next"))
+    shared = (F.col("fp") != F.col("hub")) | F.col("next").isNotNull()
+    buckets = materialize(met.filter(shared).drop("next"), "buckets")
     stars = buckets.filter((F.col("fp") != F.col("hub")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("hub"))) <= budget))
     found = components(stars.select(F.col("fp").alias("u"), F.col("hub").alias("v")))
     met = buckets.select(F.col("fp").alias("node")).distinct()

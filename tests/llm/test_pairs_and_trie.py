@@ -199,6 +199,19 @@ def test_chains_let_every_close_pair_meet():
             assert ring.close(np.full(len(slots), a), np.full(len(slots), b), slots).any()
 
 
+def test_simhash_buckets_need_no_join(spark, monkeypatch):
+    plans, write = {}, simhash.materialize
+
+    def noted(df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return write(df, name)
+
+    monkeypatch.setattr(simhash, "materialize", noted)
+    docs = spark.createDataFrame([(i, f"a b c d {i}") for i in range(20)], "doc_id long, text string")
+    assert simhash.simhash_groups(docs).count() == 20
+    assert "Window" in plans["buckets"] and "Join" not in plans["buckets"]
+
+
 def test_simhash_of_nothing(spark):
     assert simhash.simhash_groups(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
