@@ -211,3 +211,12 @@ def test_matrix_of_too_many_classes_is_refused(spark, monkeypatch):
     monkeypatch.setattr(L, "_MOST_CLASSES", 2)
     with pytest.raises(Exception, match="more than 2 classes"):
         L.full_confusion_matrix(spark.createDataFrame([(1, 1), (1, 0), (2, 0)], "label INT, prediction INT")).collect()
+
+
+def test_many_training_rows_are_dealt_over_more_tasks(spark):
+    rows = spark.range(1_000).selectExpr("DATE'2024-01-01' AS pickup_date", "1 AS pickup_hour", "id AS pickup_zone").coalesce(1)
+    dealt = demand._dealt(rows, 50)
+    sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 1_000 and len(sizes) >= 18 and max(sizes) <= 100
+    assert dealt.exceptAll(rows).isEmpty()
+    assert demand._dealt(rows, 1_000) is rows
