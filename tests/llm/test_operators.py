@@ -8,6 +8,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from fareway.llm import (
@@ -225,6 +226,39 @@ def test_word_ids_equal_whole_text_ids():
         assert ids[end - n : end].tolist() == [*encoded.ids, 2]
 
 
+def test_forgotten_pieces_are_learnt_again(monkeypatch):
+    from tokenizers import Tokenizer
+
+    file, rng = public_tokenizers.path("word_bpe_49k.json"), random.Random(6)
+    parts = ["ab", "Cd", "É", "÷", "ª", "e\u0301", "J\u030c", "don't", "<|endoftext|>", "a<b", "...", "x-y", "7", "\xa0", " ", " ", "\n"]
+    some = ["", *("".join(rng.choices(parts, k=rng.randint(0, 30))) for _ in range(400)), " \n", ""]
+    monkeypatch.setattr(token_ids, "_REMEMBERED", 300)
+    words = token_ids.WordIds(file, 2)
+    for begin in range(0, len(some), 50):
+        texts = some[begin : begin + 50]
+        ids, counts = words.texts(texts)
+        want = [[*e.ids, 2] for e in Tokenizer.from_file(file).encode_batch(texts, add_special_tokens=False)]
+        assert counts.tolist() == [len(w) for w in want]
+        assert ids.tolist() == [i for w in want for i in w]
+        assert len(words.index) <= 300
+
+
+def test_tasks_of_a_worker_share_a_tokenizer(spark, docs, monkeypatch):
+    from pyspark import cloudpickle
+
+    file, tasks, loads, key = public_tokenizers.path("word_bpe_49k.json"), [], [], "spark.sql.execution.arrow.maxBytesPerBatch"
+    before, map_rows, load = spark.conf.get(key), token_ids.map_rows, token_ids.WordIds.__init__
+    monkeypatch.setattr(token_ids, "map_rows", lambda df, schema, fn: tasks.append(cloudpickle.dumps(fn)) or map_rows(df, schema, fn))
+    token_ids.write_token_ids(docs, new_folder(spark, "ids"), file, 2)
+    assert spark.conf.get(key) == before
+    monkeypatch.setattr(token_ids, "_TOKENIZERS", {})
+    monkeypatch.setattr(token_ids.WordIds, "__init__", lambda self, *args: loads.append(args) or load(self, *args))
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1], "text": ["a b"]})
+    for _ in range(3):
+        assert len(list(cloudpickle.loads(tasks[0])([batch]))) == 1
+    assert loads == [(file, 2)]
+
+
 def test_neighbours(spark):
     rng = np.random.default_rng(1)
     x = rng.normal(size=(900, 20)).astype("float32")
