@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareway.llm.common import PLAIN, WordCodes, append, distinct, id_and_text, key, map_rows, mix, shingles, unkey, unused
+from fareway.llm.common import PLAIN, WordCodes, append, distinct, id_and_text, key, map_rows, mix, shingles, small_batches, unkey, unused
 
 MINIMA = 64
 _MISS = 1e-5
@@ -182,6 +182,7 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, n: int = 5, threshold
     documents each. Empty tables give no rows; other columns are not read.
     """
     found = None
+    small_batches(docs.sparkSession)
     for rows in item_blocks(benchmark):
         shared = docs.sparkSession.sparkContext.broadcast(Items(rows, n, threshold))
 
@@ -210,6 +211,7 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 5, thre
     stay. All columns pass through, whatever their names; empty tables change nothing.
     """
     name = unused(docs, "contaminated")
+    small_batches(docs.sparkSession)
     for rows in item_blocks(benchmark):
         shared = docs.sparkSession.sparkContext.broadcast((Items(rows, n, threshold), WordCodes()))
 

@@ -9,11 +9,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fareway.llm.common import append, map_rows, segments
+from fareway.llm.common import append, map_rows, segments, small_batches
 
 UNDETERMINED = "und"
 _BLANK = 32
-_PENDING = 4_000_000
+#: Counts a task holds before it adds up those of equal n-grams.
+_PENDING = 500_000
 
 
 @lru_cache(maxsize=1)
@@ -73,9 +74,14 @@ def learn_profiles(docs: DataFrame, size: int = 300) -> DataFrame:
         held: dict[str, list] = {}
         pending = 0
 
+        def add_up():
+            for lang, parts in held.items():
+                held[lang] = [_count(np.concatenate([c for c, _ in parts]), np.concatenate([n for _, n in parts]))]
+            return sum(len(parts[0][0]) for parts in held.values())
+
         def flush():
             for lang, parts in held.items():
-                codes, n = _count(np.concatenate([c for c, _ in parts]), np.concatenate([n for _, n in parts]))
+                codes, n = parts[0]
                 yield {"lang": [lang] * len(codes), "code": codes, "n": n}
             held.clear()
 
@@ -85,10 +91,14 @@ def learn_profiles(docs: DataFrame, size: int = 300) -> DataFrame:
                 held.setdefault(lang, []).append(part)
                 pending += len(part[0])
                 if pending > _PENDING:
-                    yield from flush()
-                    pending = 0
+                    pending = add_up()
+                    if pending > _PENDING // 2:
+                        yield from flush()
+                        pending = 0
+        add_up()
         yield from flush()
 
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col("lang").cast("string").alias("lang"), "text").dropna()
     grams = map_rows(rows, "lang string, code long, n long", counts).groupBy("lang", "code").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "code")
@@ -142,6 +152,7 @@ def identify(docs: DataFrame, profiles: Profiles) -> DataFrame:
     every row is ``und``. Repeated rows get equal results; other columns pass through.
     """
     shared = docs.sparkSession.sparkContext.broadcast(profiles)
+    small_batches(docs.sparkSession)
 
     def predict(batch: pa.RecordBatch) -> dict:
         model = shared.value
@@ -176,12 +187,14 @@ def least_scores(docs: DataFrame, profiles: Profiles, distance: float = 6.0, lea
         at = np.searchsorted(np.cumsum([counts[s] for s in order]), share * sum(counts.values()))
         return order[int(at)] / steps
 
-    out = []
+    names, least = [], []
     for lang in profiles.langs if together else ():
         middle = quantile(held.get(lang, together), 0.5)
         gap = max(middle - quantile(held.get(lang, together), 0.25), quantile(together, 0.5) - quantile(together, 0.25), least_gap)
-        out.append((lang, middle - distance * gap))
-    return docs.sparkSession.createDataFrame(out, "lang_pred string, least double")
+        names.append(lang), least.append(middle - distance * gap)
+    # an Arrow table becomes rows without Python workers of another kind, which would stay beside the others
+    found = pa.table({"lang_pred": pa.array(names, pa.string()), "least": pa.array(least, pa.float64())})
+    return docs.sparkSession.createDataFrame(found)
 
 
 def is_held_out(modulus: int, remainder: int):

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareway.llm.common import NO_ID, WordCodes, distinct, id_and_text, key, map_rows, shingles, ship, unkey, unused
+from fareway.llm.common import NO_ID, WordCodes, distinct, id_and_text, key, map_rows, shingles, ship, small_batches, unkey, unused
 from fareway.session import materialize
 
 BANDS, ROWS = 32, 5
@@ -68,6 +68,7 @@ def signatures(docs: DataFrame, n: int) -> DataFrame:
                 sigs.append((found & np.uint32(255)).astype(np.uint8).tobytes())
             yield {"doc_id": batch["doc_id"], "n_shingles": sizes, "content": contents, "bands": bands, "sig": sigs}
 
+    small_batches(docs.sparkSession)
     return map_rows(id_and_text(docs), "doc_id long, n_shingles long, content binary, bands array<long>, sig binary", run)
 
 
@@ -204,6 +205,7 @@ def confirm(pairs: DataFrame, texts: DataFrame, n: int, numerator: int, denomina
                     us.append(u), vs.append(node)
             yield {"u": us, "v": vs}
 
+    small_batches(rows.sparkSession)
     return map_rows(rows, "u long, v long", run)
 
 

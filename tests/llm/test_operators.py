@@ -363,3 +363,23 @@ def test_pipeline(spark, sf_dir):
             mixed = docs.count()
     found = docs.orderBy("start").collect()
     assert len(found) == mixed and [r["start"] for r in found] == np.r_[0, np.cumsum([r["n_tokens"] for r in found])[:-1]].tolist()
+
+
+def test_workers_do_not_grow_from_task_to_task(spark):
+    """What a task of the pipeline's stages leaves behind in its worker, and what reaches it at once, stay small."""
+    rng = random.Random(8)
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=8)) for _ in range(120_000)]
+    texts = [" ".join(words[i : i + 400]) for i in range(0, len(words), 400)]
+    known = token_ids.WordIds(public_tokenizers.path("word_bpe_49k.json"), 2)
+    for begin in range(0, len(texts), 20):
+        known.texts(texts[begin : begin + 20])
+    known.rest()
+    assert len(known.index) == len(set(" ".join(texts[-20:]).split()))
+    ids, counts = known.texts([texts[0], texts[-1]])
+    want = [[*e.ids, 2] for e in known.tokenizer.encode_batch([texts[0], texts[-1]], add_special_tokens=False)]
+    assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+
+    docs = spark.createDataFrame([(i, "xy " * 40_000, "en") for i in range(40)], "doc_id long, text string, lang string").repartition(1)
+    for learnt in (language.identify(docs, language.load_profiles(language.learn_profiles(docs))), decontaminate.without_contaminated(docs, docs.selectExpr("doc_id item_id", "'a b c d e f g h' text"))):
+        sizes = learnt.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in batches), "n long").collect()
+        assert sum(r["n"] for r in sizes) == 40 and max(r["n"] for r in sizes) <= 12
