@@ -60,6 +60,30 @@ def test_demand_models_do_not_visit_all_places(spark, monkeypatch):
     assert models.predictions(10).count() == 10
 
 
+def test_predictions_are_those_of_the_estimator(spark, monkeypatch):
+    """As in demand_predictions: rows, order and every digit, and the estimator does not grow the trees."""
+    df = trips(spark, 1_500)
+    with monkeypatch.context() as m:
+        m.setattr(RandomForestRegressor, "_fit", lambda *_: pytest.fail("all places are visited for each row"))
+        models = demand.train_demand_models(df, trees=5, depth=4)
+    want = pipeline(models.train, trees=5, depth=4).fit(demand._dealt(models.train))
+    got = models.predictions(200).collect()
+    assert got == L.predictions(want.transform(models.test), 200).collect()
+    assert len(got) == 200 and got == sorted(got, key=lambda r: (r.pickup_date, r.pickup_hour, r.pickup_zone is not None, r.pickup_zone))
+
+
+def test_rows_of_a_hot_place_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(forest, "_LEAST_ROWS", 500)
+    df = trips(spark, 4_000).withColumn("pickup_zone", F.when(F.col("pickup_hour") > 1, "hot").otherwise(F.col("pickup_zone")))
+    prepared = Pipeline(stages=pipeline(df).getStages()[:-1]).fit(df).transform(df)
+    kept = []
+    monkeypatch.setattr(forest, "_grown", lambda bagged, *_: kept.append(bagged) or [])
+    monkeypatch.setattr(forest, "_model", lambda *_: None)
+    forest.grow(prepared, L.forest_model(trees=3), 6)
+    sizes = [r["count"] for r in kept[0].groupBy(F.input_file_name()).count().collect()]
+    assert sum(sizes) == 4_000 and len(sizes) == 8 and max(sizes) < 800
+
+
 def test_sums_follow_the_rows_and_not_the_places():
     rng = np.random.default_rng(1)
     rows, numbers, places = 50, 3, 4_000
